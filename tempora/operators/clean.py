@@ -39,27 +39,48 @@ def parse_text(df: DataFrame, date_col: str, date_fmt: str, value_col: str,
     return d, v
 
 
-def normalise(frames: dict[str, DataFrame], specs: Sequence[SeriesSpec],
-              keep_lineage: bool = True) -> DataFrame:
-    """Stack raw per-source tables into one typed long table
-    ``(data, indicador, valor, fonte, unidade[, _data_ingestao])`` (C3).
-
-    Rows are only parsed here; nothing is dropped yet (see ``waterfall``).
-    """
+def normalise_long(long: DataFrame, specs: Sequence[SeriesSpec], table_col: str = "tabela",
+                   date_col: str = "data_txt", value_col: str = "valor_txt",
+                   decimal_type: str = "decimal(18,6)") -> DataFrame:
+    """Typed long table ``(data, indicador, valor, fonte, unidade
+    [, _data_ingestao])`` from a stacked raw table ``(tabela, date text,
+    value text)`` (C3). One pass: each row is parsed with its own source's
+    date format via a CASE over the catalogue. Rows are only parsed here;
+    nothing is dropped yet (see ``waterfall``)."""
+    t = F.col(table_col)
+    raw_d = F.col(f"`{date_col}`")
+    d = code = src = unit = None
+    for s in specs:
+        hit = t == s.table
+        d = (F.when(hit, F.try_to_date(raw_d, s.date_fmt)) if d is None
+             else d.when(hit, F.try_to_date(raw_d, s.date_fmt)))
+        code = F.when(hit, s.code) if code is None else code.when(hit, s.code)
+        src = F.when(hit, s.source) if src is None else src.when(hit, s.source)
+        unit = F.when(hit, s.unit) if unit is None else unit.when(hit, s.unit)
+    cols = [d.alias("data"), code.alias("indicador"),
+            F.trim(F.col(f"`{value_col}`")).try_cast(decimal_type).alias("valor"),
+            src.alias("fonte"), unit.alias("unidade")]
+    if LINEAGE_TS in long.columns:
+        cols.append(F.col(LINEAGE_TS))
+    return long.filter(t.isin([s.table for s in specs])).select(*cols)
+
+
+def normalise(frames: dict[str, DataFrame], specs: Sequence[SeriesSpec]) -> DataFrame:
+    """Stack per-source raw tables (each with its own column names) and parse
+    them in one pass (C3): each frame is only renamed to
+    ``(tabela, data_txt, valor_txt[, _data_ingestao])`` before the union."""
     parts = []
     for s in specs:
         src = frames[s.table]
-        d, v = parse_text(src, s.date_col, s.date_fmt, s.value_col)
-        cols = [d.alias("data"), F.lit(s.code).alias("indicador"), v.alias("valor"),
-                F.lit(s.source).alias("fonte"), F.lit(s.unit).alias("unidade")]
-        if keep_lineage:
-            ts = F.col(LINEAGE_TS) if LINEAGE_TS in src.columns else F.lit(None).cast("timestamp")
-            cols.append(ts.alias(LINEAGE_TS))
+        cols = [F.lit(s.table).alias("tabela"), F.col(f"`{s.date_col}`").alias("data_txt"),
+                F.col(f"`{s.value_col}`").alias("valor_txt")]
+        if LINEAGE_TS in src.columns:
+            cols.append(F.col(LINEAGE_TS))
         parts.append(src.select(*cols))
     out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        out = out.unionByName(p, allowMissingColumns=True)
+    return normalise_long(out, specs)
 
 
 def label_rules(df: DataFrame, date: str = "data", value: str = "valor",

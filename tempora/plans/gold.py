@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tempora.functions import metrics as M
 from tempora.operators.calendar import date_spine, dim_time as _dim_time
-from tempora.operators.clean import normalise, waterfall
+from tempora.operators.clean import normalise, normalise_long, waterfall
 from tempora.operators.windows import WindowPlan, ffill
 from tempora.plans.series_catalogue import (
     BAND_LABELS, HORIZONS, INDICATOR_COLUMNS, INDICATORS, LEDGER_COLUMNS, REFERENCE_CODE,
@@ -35,20 +35,23 @@ FIXED_RUN_TS = "2026-09-27 00:00:00"
 DEFAULT_BLOCK_ROWS = 10_000     # ~40 years of business days per block
 
 
-def silver(frames: dict[str, DataFrame], cutoff=STUDY_CUTOFF, run_ts=None,
+def silver(frames, cutoff=STUDY_CUTOFF, run_ts=None,
            specs=SERIES) -> tuple[DataFrame, DataFrame]:
-    """``(serie_diaria, controle_qualidade)`` from raw-layout frames.
+    """``(serie_diaria, controle_qualidade)`` from raw text.
 
+    ``frames``: either a dict of per-source raw frames (the sources' own
+    column names) or one stacked ``(tabela, data_txt, valor_txt)`` frame.
     ``serie_diaria``: ``data, indicador, valor DECIMAL(18,6), fonte, unidade,
     _data_ingestao``; one row per (indicador, data). ``controle_qualidade``:
     one row per indicator with the waterfall counters and ``data_execucao``.
     """
     ts = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
-    stamped = {}
-    for s in specs:
-        f = frames[s.table]
-        stamped[s.table] = f if LINEAGE_TS in f.columns else f.withColumn(LINEAGE_TS, ts)
-    long = normalise(stamped, specs)
+    if isinstance(frames, dict):
+        long = normalise(frames, specs)
+    else:
+        long = normalise_long(frames, specs)
+    if LINEAGE_TS not in long.columns:
+        long = long.withColumn(LINEAGE_TS, ts)
     clean, ledger = waterfall(long, ["indicador"], "data", "valor", cutoff)
     clean = clean.select("data", "indicador", "valor", "fonte", "unidade", LINEAGE_TS)
     ledger = ledger.select(*LEDGER_COLUMNS).withColumn("data_execucao", ts)
@@ -116,13 +119,18 @@ def _regime_cuts(df: DataFrame, col: str, keys: Sequence[str], exact: bool, accu
 
 def wide_fact(silver_df: DataFrame, block_rows: int | None = DEFAULT_BLOCK_ROWS,
               exact_regime: bool = False, regime_accuracy: int = 10000,
-              horizons: Sequence[tuple[int, int]] = HORIZONS, keys: Sequence[str] = ()) -> DataFrame:
+              horizons: Sequence[tuple[int, int]] = HORIZONS, keys: Sequence[str] = (),
+              materialise=None) -> DataFrame:
     """``fato_janela_cambial`` (36 columns without keys).
 
     Windows are ROWS frames over reference days: lags 1 and 5, rolling 21/63/
     252 rows, leads and forward maxima up to the longest horizon. With
     ``block_rows`` they run in ordered blocks with a halo of 251 rows before
-    and the longest horizon after (see ``operators.windows``)."""
+    and the longest horizon after (see ``operators.windows``).
+
+    The regime cut points are quantiles over the whole windowed table, which
+    is therefore read twice; pass ``materialise`` (e.g. ``cut_lineage``) to
+    write it once instead of computing it twice."""
     keys = list(keys)
     base = align_last_known(silver_df, keys=keys)
     max_h = max(du for du, _ in horizons)
@@ -155,6 +163,8 @@ def wide_fact(silver_df: DataFrame, block_rows: int | None = DEFAULT_BLOCK_ROWS,
         fwd_cols[f"_max_{dc}d"] = F.max("ptax").over(frame(1, du))
     df = df.withColumns(fwd_cols)
     df = plan.finish(df)
+    if materialise is not None:
+        df = materialise(df)
 
     cuts = _regime_cuts(df, "vol_21d_anual_pct", keys, exact_regime, regime_accuracy)
     if keys:

@@ -12,16 +12,41 @@ from pyspark.sql import types as T
 
 from tempora.plans import gold
 from tempora.plans.series_catalogue import RANGE_BOUNDS
-from tempora.sources.fixtures import bronze_frames
+from tempora.session import cut_lineage
+from tempora.sources.fixtures import bronze_long
 
 
-def silver(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return gold.silver(bronze_frames(spark, sf_dir), cutoff=gold.FIXTURE_CUTOFF,
-                       run_ts=gold.FIXED_RUN_TS)
+_MEMO: dict = {}
 
 
-def wide(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    return gold.wide_fact(silver(spark, sf_dir)[0], **kw)
+def _memo(spark: SparkSession, key: tuple, build):
+    """Materialised layers are reused within one session (the layer tables a
+    pipeline run writes once and every report reads)."""
+    k = (id(spark), spark.sparkContext.applicationId, *key)
+    if k not in _MEMO:
+        _MEMO[k] = build()
+    return _MEMO[k]
+
+
+def silver(spark: SparkSession, sf_dir: str, materialise: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Silver layer; by default materialised in the shared checkpoint folder
+    (the layer boundary the study writes as a table)."""
+    def build():
+        clean, ledger = gold.silver(bronze_long(spark, sf_dir, materialise), cutoff=gold.FIXTURE_CUTOFF,
+                                    run_ts=gold.FIXED_RUN_TS)
+        if materialise:
+            clean, ledger = cut_lineage(clean, "silver"), cut_lineage(ledger, "ledger")
+        return clean, ledger
+    return _memo(spark, ("silver", sf_dir), build) if materialise else build()
+
+
+def wide(spark: SparkSession, sf_dir: str, materialise: bool = True, **kw) -> DataFrame:
+    """Gold wide fact; materialised like the table the reports read."""
+    def build():
+        w = gold.wide_fact(silver(spark, sf_dir, materialise)[0],
+                           materialise=cut_lineage if materialise else None, **kw)
+        return cut_lineage(w, "wide") if materialise else w
+    return _memo(spark, ("wide", sf_dir, tuple(sorted(kw.items()))), build) if materialise else build()
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:

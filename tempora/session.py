@@ -53,3 +53,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     on a cluster)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cut_lineage(df, name: str = "layer"):
+    """Materialise ``df`` as parquet in the shared checkpoint folder and
+    return a frame that reads it back: later plans stay small, each source
+    is scanned once, and a lost executor recomputes from these files, not
+    from the raw inputs (a layer boundary, like a written Bronze / Silver /
+    Gold table). One job; never a machine-local folder on a cluster."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora.plans.series_catalogue import SERIES
+from tempora.session import cut_lineage
 
 # --- fixed values: which rows make which series ------------------------------
 ORDER_SERIES = {"1-URGENT": "PTAX_VENDA", "2-HIGH": "DOLAR_AMPLO", "3-MEDIUM": "VIX"}
@@ -54,79 +55,111 @@ def _cents(col: str):
     return F.round(F.col(col) * 100).cast("bigint")
 
 
+def _stack(df: DataFrame, parts: list[tuple[str, str, str, int, int]]) -> DataFrame:
+    """One row per (day, series) from per-day conditional sums:
+    ``parts`` = (indicador, sum column, count column, k, j) with the average
+    in micro-units = half-up((sum * k) / (count * j))."""
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(code).alias("indicador"), F.col(c).cast(DEC38).alias("c"),
+                 F.col(n).alias("n"), F.lit(k).cast(DEC38).alias("k"), F.lit(j).cast(DEC38).alias("j"))
+        for code, c, n, k, j in parts]))
+    return (df.select("d", rows.alias("s"))
+            .select("s.indicador", "d", "s.c", "s.n", "s.k", "s.j")
+            .filter(F.col("n") > 0)
+            .select("indicador", "d", F.expr("(2 * c * k + n * j) div (2 * n * j)").alias("m")))
+
+
 def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long daily series ``(indicador, d DATE, valor_txt STRING)``, one row
     per observed day per indicator.
 
-    Averages are computed exactly in integer micro-units (1e-6) with
-    half-up rounding: sums of whole cents, then ``(2*sum*scale + n) div 2n``.
+    Each source table is scanned once: one aggregate grouped by day with a
+    conditional sum and count per series (partial aggregation map-side, so
+    only one row per day and task is shuffled), then unpivoted. Averages are
+    exact, in integer micro-units (1e-6) with half-up rounding: sums of whole
+    cents, then ``(2 * sum * k + n * j) div (2 * n * j)``.
     """
     orders = (read_table(spark, sf_dir, "orders")
               .select("o_orderdate", "o_orderpriority", "o_totalprice")
               .filter(F.col("o_orderpriority").isin(list(ORDER_SERIES))))
-    o_day = (orders.groupBy(F.to_date("o_orderdate").alias("d"), "o_orderpriority")
-             .agg(F.sum(_cents("o_totalprice")).cast(DEC38).alias("c"), F.count("*").alias("n"))
-             .select(_map_col("o_orderpriority", ORDER_SERIES).alias("indicador"), "d",
-                     F.expr("(2 * c * 10000 + n) div (2 * n)").alias("m")))
+    prio = F.col("o_orderpriority")
+    o_aggs, o_parts = [], []
+    for i, (k, code) in enumerate(ORDER_SERIES.items()):
+        o_aggs += [F.sum(F.when(prio == k, _cents("o_totalprice"))).alias(f"c{i}"),
+                   F.count_if(prio == k).alias(f"n{i}")]
+        o_parts.append((code, f"c{i}", f"n{i}", 10_000, 1))
+    o_day = _stack(orders.groupBy(F.to_date("o_orderdate").alias("d")).agg(*o_aggs), o_parts)
 
     li = (read_table(spark, sf_dir, "lineitem")
           .select("l_shipdate", "l_returnflag", "l_linestatus", "l_discount", "l_tax",
-                  "l_extendedprice", "l_quantity"))
-    flag_ok = F.col("l_returnflag").isin(list(RETURNFLAG_SERIES))
-    status_ok = F.col("l_linestatus").isin(list(LINESTATUS_SERIES))
-    # unit price in 1e-8 units, half-up: (2 * price_cents * 1e8 + qty_cents) div (2 * qty_cents)
-    unit = F.expr("(2 * CAST(round(l_extendedprice * 100) AS DECIMAL(38,0)) * 100000000"
-                  " + CAST(round(l_quantity * 100) AS DECIMAL(38,0)))"
-                  " div (2 * CAST(round(l_quantity * 100) AS DECIMAL(38,0)))")
-    # one scan and one shuffle of lineitem: pre-aggregate by (day, flag, status)
-    l_day = (li.filter(flag_ok | status_ok)
-             .groupBy(F.to_date("l_shipdate").alias("d"), "l_returnflag", "l_linestatus")
-             .agg(F.sum(F.when(flag_ok, _cents("l_discount"))).alias("c_disc"),
-                  F.sum(F.when(flag_ok, _cents("l_tax"))).alias("c_tax"),
-                  F.sum(F.when(status_ok, unit).cast(DEC38)).alias("u"),
-                  F.count("*").alias("n")))
-    by_flag = (l_day.filter(flag_ok)
-               .groupBy("d", "l_returnflag")
-               .agg(F.sum(F.when(F.col("l_returnflag") == "R", F.col("c_disc"))
-                           .otherwise(F.col("c_tax"))).cast(DEC38).alias("c"),
-                    F.sum("n").alias("n"))
-               .select(_map_col("l_returnflag", RETURNFLAG_SERIES).alias("indicador"), "d",
-                       F.expr("(2 * c * 1000000 + n) div (2 * n)").alias("m")))
-    by_status = (l_day.filter(status_ok)
-                 .groupBy("d", "l_linestatus")
-                 .agg(F.sum("u").cast(DEC38).alias("u"), F.sum("n").alias("n"))
-                 .select(_map_col("l_linestatus", LINESTATUS_SERIES).alias("indicador"), "d",
-                         F.expr("(2 * u + 100 * n) div (200 * n)").alias("m")))
-
-    return (o_day.unionByName(by_flag).unionByName(by_status)
+                  "l_extendedprice", "l_quantity")
+          .filter(F.col("l_returnflag").isin(list(RETURNFLAG_SERIES))
+                  | F.col("l_linestatus").isin(list(LINESTATUS_SERIES))))
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    # unit price in 1e-8 units, half-up: (2 * price_cents * 1e8 + qty_cents) div (2 * qty_cents),
+    # in 64-bit integers; summed as two exact 64-bit parts (whole 1e-8 units / 1e9, remainder)
+    # so a day with ~1e8 rows cannot overflow the sum
+    unit = F.expr("(2 * CAST(round(l_extendedprice * 100) AS BIGINT) * 100000000"
+                  " + CAST(round(l_quantity * 100) AS BIGINT))"
+                  " div (2 * CAST(round(l_quantity * 100) AS BIGINT))")
+    measure = {"R": _cents("l_discount"), "A": _cents("l_tax")}
+    l_aggs, l_parts = [], []
+    for i, (k, code) in enumerate(RETURNFLAG_SERIES.items()):
+        l_aggs += [F.sum(F.when(flag == k, measure[k])).alias(f"fc{i}"), F.count_if(flag == k).alias(f"fn{i}")]
+        l_parts.append((code, f"fc{i}", f"fn{i}", 1_000_000, 1))
+    li = li.withColumns({f"_u{i}": F.when(status == k, unit) for i, k in enumerate(LINESTATUS_SERIES)})
+    for i, (k, code) in enumerate(LINESTATUS_SERIES.items()):
+        l_aggs += [F.sum(F.expr(f"_u{i} div 1000000000")).alias(f"sh{i}"),
+                   F.sum(F.expr(f"_u{i} % 1000000000")).alias(f"sl{i}"),
+                   F.count_if(status == k).alias(f"sn{i}")]
+        l_parts.append((code, f"sc{i}", f"sn{i}", 1, 100))
+    l_agg = li.groupBy(F.to_date("l_shipdate").alias("d")).agg(*l_aggs)
+    l_agg = l_agg.withColumns({f"sc{i}": F.col(f"sh{i}").cast(DEC38) * 1_000_000_000 + F.col(f"sl{i}").cast(DEC38)
+                               for i in range(len(LINESTATUS_SERIES))})
+    l_day = _stack(l_agg, l_parts)
+
+    return (o_day.unionByName(l_day)
             .select("indicador", "d",
                     F.format_string("%d.%06d", F.expr("m div 1000000"), F.expr("m % 1000000"))
                     .alias("valor_txt")))
 
 
-def bronze_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Raw-layout text frames, one per Bronze table of ``SERIES``.
+def bronze_long(spark: SparkSession, sf_dir: str, materialise: bool = True) -> DataFrame:
+    """All six raw-layout series in one long text table
+    ``(tabela, data_txt, valor_txt)``.
 
-    JSON-like tables: ``(data, valor)`` over observed days. CSV-like tables:
-    ``(observation_date, <CODE>)`` over every calendar day of the series,
-    NULL value (an empty CSV cell) on days without an observation.
-    """
+    JSON-like tables list observed days (``dd/MM/yyyy``); CSV-like tables list
+    every calendar day between their first and last observation
+    (``yyyy-MM-dd``), with a NULL value (an empty CSV cell) on days without an
+    observation. One spine per series, built from a one-row-per-series
+    ``agg(min, max)`` exploded with ``sequence`` (bounded by the calendar)."""
     daily = daily_series(spark, sf_dir)
-    out: dict[str, DataFrame] = {}
-    for spec in SERIES:
-        one = daily.filter(F.col("indicador") == spec.code)
-        if spec.date_fmt == "dd/MM/yyyy":
-            out[spec.table] = one.select(F.date_format("d", spec.date_fmt).alias(spec.date_col),
-                                         F.col("valor_txt").alias(spec.value_col))
-        else:
-            # calendar of the series: one row per day between its first and last
-            # observation (bounded by the number of days, not by data volume)
-            spine = (one.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-                     .select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("d")))
-            out[spec.table] = (spine.join(one.select("d", "valor_txt"), "d", "left")
-                               .select(F.date_format("d", spec.date_fmt).alias(spec.date_col),
-                                       F.col("valor_txt").alias(spec.value_col)))
-    return out
+    if materialise:
+        daily = cut_lineage(daily)   # the only pass over orders / lineitem
+    table_of = {s.code: s.table for s in SERIES}
+    dmy = [s.code for s in SERIES if s.date_fmt == "dd/MM/yyyy"]
+    ymd = [s.code for s in SERIES if s.date_fmt != "dd/MM/yyyy"]
+    tabela = _map_col("indicador", table_of)
+    json_like = (daily.filter(F.col("indicador").isin(dmy))
+                 .select(tabela.alias("tabela"), F.date_format("d", "dd/MM/yyyy").alias("data_txt"),
+                         "valor_txt"))
+    obs = daily.filter(F.col("indicador").isin(ymd))
+    spine = (obs.groupBy("indicador").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+             .select("indicador", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("d")))
+    csv_like = (spine.join(obs, ["indicador", "d"], "left")
+                .select(tabela.alias("tabela"), F.date_format("d", "yyyy-MM-dd").alias("data_txt"),
+                        "valor_txt"))
+    return json_like.unionByName(csv_like)
+
+
+def bronze_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Raw-layout text frames, one per Bronze table of ``SERIES``, with the
+    source's own column names (``data``/``valor`` or
+    ``observation_date``/``<CODE>``)."""
+    long = bronze_long(spark, sf_dir)
+    return {s.table: long.filter(F.col("tabela") == s.table)
+            .select(F.col("data_txt").alias(s.date_col), F.col("valor_txt").alias(s.value_col))
+            for s in SERIES}
 
 
 def render_landing(spark: SparkSession, sf_dir: str, landing_dir: str) -> dict[str, str]:
