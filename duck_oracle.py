@@ -451,7 +451,9 @@ FROM wide WHERE data >= DATE '{recent_since}' ORDER BY data LIMIT 10""")
 WITH b AS (SELECT user_id, ts, event_id, CAST(value AS DOUBLE) AS valor FROM events),
 r1 AS (
   SELECT *, {logret('valor', 'LAG(valor) OVER w')} AS ret,
-         AVG(valor) OVER (w ROWS BETWEEN 62 PRECEDING AND CURRENT ROW) AS mm_63,
+         CAST((2 * SUM(CAST(ROUND(valor * 100) AS HUGEINT)) OVER (w ROWS BETWEEN 62 PRECEDING AND CURRENT ROW) * 10000
+               + COUNT(valor) OVER (w ROWS BETWEEN 62 PRECEDING AND CURRENT ROW))
+              // (2 * COUNT(valor) OVER (w ROWS BETWEEN 62 PRECEDING AND CURRENT ROW)) AS DOUBLE) / 1000000.0 AS mm_63,
          MIN(valor) OVER (w ROWS BETWEEN 251 PRECEDING AND CURRENT ROW) AS min_252,
          MAX(valor) OVER (w ROWS BETWEEN 251 PRECEDING AND CURRENT ROW) AS max_252,
          LEAD(valor, 21) OVER w AS valor_futuro,

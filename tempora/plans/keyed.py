@@ -19,19 +19,27 @@ from tempora.operators.windows import WindowPlan
 
 
 def rolling_metrics(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                    bucket, block_rows: int | None = 100_000, horizon: int = 21) -> DataFrame:
+                    bucket, block_rows: int | None = 100_000, horizon: int = 21,
+                    value_scale: int | None = None) -> DataFrame:
     """Per key, in ``order``: previous-row log return, 21-row sample stddev of
     the return, 63-row mean and % deviation, 252-row min / max / position in
     range, value ``horizon`` rows ahead and the largest rise over the next
-    ``horizon`` rows (NULL unless the full forward window exists)."""
+    ``horizon`` rows (NULL unless the full forward window exists).
+
+    With ``value_scale`` (decimal places of the input) the moving mean is
+    exact: a DECIMAL average rounded half-up to six decimals, so it does not
+    depend on the order in which a double sum is accumulated."""
     keys, order = list(keys), list(order)
     base = df.select(*keys, *order, F.col(value).cast("double").alias("valor"))
+    if value_scale is not None:
+        base = base.withColumn("_vdec", F.col("valor").cast(f"decimal(18,{int(value_scale)})"))
     plan = WindowPlan(base, keys, order, block_rows, bucket=bucket, pre=251, post=horizon)
     w, frame = plan.base, plan.frame
     x = plan.df.withColumn("ret", M.log_return("valor", F.lag("valor").over(w)))
     x = x.withColumns({
         "vol_21": F.stddev_samp("ret").over(frame(-20, 0)),
-        "mm_63": F.avg("valor").over(frame(-62, 0)),
+        "mm_63": (F.avg("valor").over(frame(-62, 0)) if value_scale is None
+                  else F.round(F.avg("_vdec").over(frame(-62, 0)), 6).cast("double")),
         "min_252": F.min("valor").over(frame(-251, 0)),
         "max_252": F.max("valor").over(frame(-251, 0)),
         "valor_futuro": F.lead("valor", horizon).over(w),
