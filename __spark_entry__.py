@@ -51,7 +51,7 @@ def _ledger(spark, sf):
 def _gold_tables(spark, sf):
     s, ledger = study.silver(spark, sf)
     daily = gold.daily_fact(s)
-    wide = gold.wide_fact(s)
+    wide = study.wide(spark, sf)
     return s, ledger, daily, wide, gold.dim_time(s), gold.dim_indicator(spark)
 
 
@@ -102,7 +102,7 @@ def q_dq_reconcile(spark, sf):
 def q_dq_grain(spark, sf):
     s = _silver(spark, sf)
     return Q.grain_counts({"dias_ptax_silver": s.filter(F.col("indicador") == REFERENCE_CODE),
-                           "linhas_fato_janela": gold.wide_fact(s)})
+                           "linhas_fato_janela": study.wide(spark, sf)})
 
 
 def q_dq_nulls(spark, sf):
