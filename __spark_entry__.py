@@ -169,7 +169,7 @@ def q_recent_slice(spark, sf):
 def q_user_rolling_metrics(spark, sf):
     ev = fixtures.read_table(spark, sf, "events")
     return round_doubles(keyed.rolling_metrics(ev, ["user_id"], ["ts", "event_id"], "value",
-                                               bucket=F.date_trunc("minute", "ts"), block_rows=4096,
+                                               block_rows=4096,
                                                value_scale=2))
 
 

@@ -30,11 +30,13 @@ def reconcile(ledger: DataFrame, fact: DataFrame, keys: Sequence[str] = ("indica
 
 
 def grain_counts(named: dict[str, DataFrame]) -> DataFrame:
-    """Several scalar counts side by side in one row."""
-    out = None
-    for name, df in named.items():
-        one = df.agg(F.count("*").alias(name))
-        out = one if out is None else out.crossJoin(one)   # one-row frames
+    """Several scalar counts side by side in one row (one uncorrelated
+    scalar subquery per count, no join)."""
+    items = list(named.items())
+    first_name, first = items[0]
+    out = first.agg(F.count("*").alias(first_name))
+    for name, df in items[1:]:
+        out = out.withColumn(name, df.agg(F.count("*")).scalar())
     return out
 
 
@@ -107,13 +109,11 @@ def gaps(series: DataFrame, keys: Sequence[str] = ("indicador",), date: str = "d
 def publication_lag(series: DataFrame, reference: str, key: str = "indicador",
                     date: str = "data") -> DataFrame:
     """Last date per key and how many days it trails the reference
-    series' last date (scalar subquery as a one-row broadcast)."""
-    ref_last = (series.filter(F.col(key) == reference)
-                .agg(F.max(date).alias("_ref_last")))
+    series' last date (an uncorrelated scalar subquery)."""
+    ref_last = series.filter(F.col(key) == reference).agg(F.max(date)).scalar()
     last = series.groupBy(key).agg(F.max(date).alias("ultima_data"))
-    return (last.crossJoin(F.broadcast(ref_last))
-            .select(key, "ultima_data",
-                    F.datediff(F.col("_ref_last"), F.col("ultima_data")).alias("dias_atras_da_ptax")))
+    return last.select(key, "ultima_data",
+                       F.datediff(ref_last, F.col("ultima_data")).alias("dias_atras_da_ptax"))
 
 
 def zscore_outliers(fact: DataFrame, key: str = "indicador", value: str = "variacao_pct",

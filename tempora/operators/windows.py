@@ -7,8 +7,9 @@
   Right when every key's series fits one task -- e.g. a daily grain, where a
   key can never hold more rows than there are calendar days.
 * **ordered blocks** (``block_rows=B``): for a long series with no usable key
-  (or one hot key). Rows get a dense row number per key from bucket counts
-  (a small aggregate) plus an in-bucket ``row_number``; each row is copied
+  (or one hot key). Rows get a dense row number per key -- from bucket counts
+  plus an in-bucket ``row_number`` when (key, bucket) groups are bounded, or
+  from range partitioning otherwise (see ``row_numbers``); each row is copied
   into every block of ``B`` row numbers whose targets need it (a halo of
   ``pre``/``post`` rows); windows then run partitioned by ``keys + [block]``
   and each block keeps its home rows. No ``Exchange SinglePartition`` over the
@@ -88,27 +89,55 @@ def _bucket_col(bucket) -> Column:
     return F.col(bucket) if isinstance(bucket, str) else bucket
 
 
-def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket,
-                rn: str = "_rn") -> DataFrame:
-    """Dense 0-based row number per key in ``order`` without a window over a
-    whole key: counts per (key, bucket) -> running offsets over that summary
-    -> offset + in-bucket ``row_number``. ``bucket`` must be monotone in
-    ``order`` (e.g. the month of a date) and keep (key, bucket) groups task-sized."""
+def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket=None,
+                rn: str = "_rn", partitions: int | None = None) -> DataFrame:
+    """Dense 0-based row number per key in ``order`` (unique within a key)
+    without a window over a whole key.
+
+    * ``bucket`` given (a coarse value monotone in ``order``, e.g. the month
+      of a date, whose (key, bucket) groups have a known bound): counts per
+      (key, bucket) -> running offsets over that summary -> offset +
+      in-bucket ``row_number``.
+    * ``bucket=None``: range partitioning on ``keys + order`` (sampled
+      bounds split a hot key, or a hot stretch of one key, across tasks),
+      a sort within partitions and ``monotonically_increasing_id``; ids are
+      written to the checkpoint folder at once so a recomputed task can never
+      renumber rows. Counts per (partition, key) -> running offsets over that
+      summary (at most #keys + #partitions rows) -> offset + position.
+    """
     keys = list(keys)
-    b = df.withColumn("_bkt", _bucket_col(bucket))
-    per = b.groupBy(*keys, "_bkt").agg(F.count("*").alias("_cnt"))
-    w_off = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_bkt")
+    if bucket is not None:
+        b = df.withColumn("_bkt", _bucket_col(bucket))
+        per = b.groupBy(*keys, "_bkt").agg(F.count("*").alias("_cnt"))
+        w_off = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_bkt")
+        per = per.withColumn("_off", F.coalesce(
+            F.sum("_cnt").over(w_off.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        per = per.drop("_cnt")
+        # without keys the summary has one row per bucket (bounded by the calendar):
+        # broadcasting it is safe; with keys it grows with the key count -> shuffle join
+        if not keys:
+            per = F.broadcast(per)
+        w_in = Window.partitionBy(*keys, "_bkt").orderBy(*order)
+        return (b.join(per, [*keys, "_bkt"], "inner")
+                .withColumn(rn, F.col("_off") + F.row_number().over(w_in) - 1)
+                .drop("_off"))
+    from tempora.session import cut_lineage
+    spark = df.sparkSession
+    n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    s = (df.repartitionByRange(n_part, *[F.col(c) for c in [*keys, *order]])
+         .sortWithinPartitions(*keys, *order)
+         .withColumn("_pid", F.spark_partition_id())
+         .withColumn("_mid", F.monotonically_increasing_id()))
+    s = cut_lineage(s, "numbered")
+    per = s.groupBy("_pid", *keys).agg(F.count("*").alias("_cnt"), F.min("_mid").alias("_first"))
+    w_off = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_pid")
     per = per.withColumn("_off", F.coalesce(
-        F.sum("_cnt").over(w_off.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    per = per.drop("_cnt")
-    # without keys the summary has one row per bucket (bounded by the calendar):
-    # broadcasting it is safe; with keys it grows with the key count -> shuffle join
+        F.sum("_cnt").over(w_off.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_cnt")
     if not keys:
-        per = F.broadcast(per)
-    w_in = Window.partitionBy(*keys, "_bkt").orderBy(*order)
-    return (b.join(per, [*keys, "_bkt"], "inner")
-            .withColumn(rn, F.col("_off") + F.row_number().over(w_in) - 1)
-            .drop("_off"))
+        per = F.broadcast(per)   # one row per partition
+    return (s.join(per, ["_pid", *keys], "inner")
+            .withColumn(rn, F.col("_off") + F.col("_mid") - F.col("_first"))
+            .drop("_pid", "_mid", "_first", "_off"))
 
 
 class WindowPlan:
@@ -132,8 +161,6 @@ class WindowPlan:
             self.base = (Window.partitionBy(*self.keys) if self.keys else Window.partitionBy()) \
                 .orderBy(*self.order)
             return
-        if bucket is None:
-            raise ValueError("block path needs a coarse, order-monotone bucket expression")
         B = int(block_rows)
         if B <= pre + post:
             raise ValueError("block_rows must exceed the halo (pre + post)")
@@ -165,16 +192,24 @@ def over(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs: Sequen
 
 
 def ffill(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str],
-          bucket=None) -> DataFrame:
+          bucket=None, block_rows: int | None = None) -> DataFrame:
     """Replace each column by its last non-NULL value at or before the row
-    (W6/J7: never a later value). With ``bucket``: per-bucket carry, no
-    window over a whole key."""
+    (W6/J7: never a later value).
+
+    With ``bucket`` (bounded (key, bucket) groups) or ``block_rows`` (blocks of
+    dense row numbers from range partitioning): last non-NULL value per
+    bucket, carried across buckets by a window over the bucket summary, then
+    the in-bucket running value -- no window over a whole key."""
     keys, order = list(keys), list(order)
-    if bucket is None:
+    if bucket is None and block_rows is None:
         w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(*order) \
             .rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
     cols = df.columns
+    if bucket is None:
+        df = row_numbers(df, keys, order)
+        bucket = F.floor(F.col("_rn") / int(block_rows))
+        order = ["_rn"]
     b = df.withColumn("_bkt", _bucket_col(bucket))
     okey = F.struct(*[F.col(o) for o in order])
     per = b.groupBy(*keys, "_bkt").agg(
@@ -184,7 +219,7 @@ def ffill(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Seq
     carry = per.select(*keys, "_bkt", *[
         F.last(f"_last_{c}", ignorenulls=True).over(w_carry).alias(f"_carry_{c}") for c in columns])
     if not keys:
-        carry = F.broadcast(carry)   # one row per bucket: bounded by the calendar
+        carry = F.broadcast(carry)   # one row per bucket: bounded by the calendar / block count
     w_in = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     out = b.join(carry, [*keys, "_bkt"], "inner").withColumns({
         c: F.coalesce(F.last(c, ignorenulls=True).over(w_in), F.col(f"_carry_{c}")) for c in columns})

@@ -168,9 +168,10 @@ def wide_fact(silver_df: DataFrame, block_rows: int | None = DEFAULT_BLOCK_ROWS,
 
     cuts = _regime_cuts(df, "vol_21d_anual_pct", keys, exact_regime, regime_accuracy)
     if keys:
-        df = df.join(cuts, keys, "inner")          # one row per key: shuffle join
+        df = df.join(cuts, keys, "inner")          # one row per key: equi-join on the key
     else:
-        df = df.crossJoin(F.broadcast(cuts))       # exactly one row
+        # uncorrelated scalar subquery: computed once, used as a value (no join)
+        df = df.withColumn("_cuts", cuts.scalar())
     df = df.withColumns({
         "regime_vol": M.cut_buckets("vol_21d_anual_pct", [F.col("_cuts")[0], F.col("_cuts")[1]],
                                     REGIME_LABELS),

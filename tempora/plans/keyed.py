@@ -2,9 +2,11 @@
 
 A series per key (e.g. per user of an event stream) can be arbitrarily long
 and one key can hold a large share of all rows, so these run on the
-ordered-block path: per-(key, bucket) counts give dense row numbers, rows are
-copied into blocks with a halo, and every window partition is one
-(key, block) -- at most ``block_rows`` + halo rows, whatever the key's size.
+ordered-block path: dense row numbers come from range partitioning on
+(key, order) -- a hot key, or a burst inside one key, is split across tasks
+by its order values -- rows are copied into blocks with a halo, and every
+window partition is one (key, block): at most ``block_rows`` + halo rows,
+whatever the key's size.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from tempora.operators.windows import WindowPlan
 
 
 def rolling_metrics(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                    bucket, block_rows: int | None = 100_000, horizon: int = 21,
+                    bucket=None, block_rows: int | None = 100_000, horizon: int = 21,
                     value_scale: int | None = None) -> DataFrame:
     """Per key, in ``order``: previous-row log return, 21-row sample stddev of
     the return, 63-row mean and % deviation, 252-row min / max / position in

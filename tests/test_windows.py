@@ -72,3 +72,23 @@ def test_ffill_never_looks_ahead(spark):
 def test_halo_too_large(spark, series):
     with pytest.raises(ValueError):
         over(series, ["k"], ["t"], SPECS, block_rows=100, bucket="b")
+
+
+def test_range_numbering_equals_keyed(spark, series):
+    plain = over(series, ["k"], ["t"], SPECS)
+    ranged = over(series, ["k"], ["t"], SPECS, block_rows=400)          # no bucket: range numbering
+    _same(plain, ranged, ["k", "t"] + [s.name for s in SPECS])
+    one = series.filter(F.col("k") == 0)
+    _same(over(one, [], ["t"], SPECS), over(one, [], ["t"], SPECS, block_rows=330),
+          ["t"] + [s.name for s in SPECS])
+
+
+def test_row_numbers_dense(spark, series):
+    from tempora.operators.windows import row_numbers
+    got = row_numbers(series, ["k"], ["t"]).select("k", "t", "_rn").collect()
+    assert all(r._rn == r.t for r in got)          # t runs 0..n-1 within each key
+
+
+def test_ffill_blocks_equals_running(spark, series):
+    _same(ffill(series, ["k"], ["t"], ["v"]), ffill(series, ["k"], ["t"], ["v"], block_rows=200),
+          ["k", "t", "v"])
