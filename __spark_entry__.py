@@ -156,6 +156,32 @@ def q_dq_row_counts(spark, sf):
                        "fato_indicador_diario": daily, "fato_janela_cambial": wide})
 
 
+def q_documented_tables(spark, sf):
+    """Write the Gold tables as external tables in the shared
+    folder, document schema, tables and columns, and read the dictionary back
+    from the catalog: (tabela, coluna, comentario)."""
+    from tempora.plans import catalog, dictionary as D
+    s, _, daily, wide, dim_t, dim_i = _gold_tables(spark, sf)
+    catalog.create_schema(spark, "gold", D.SCHEMA_COMMENTS["gold"], scratch_path(spark, "gold-schema"))
+    tables = {"dim_tempo": dim_t, "dim_indicador": dim_i, "fato_indicador_diario": daily,
+              "fato_janela_cambial": wide}
+    parts = []
+    for name, df in tables.items():
+        full = f"gold.{name}"
+        df.write.mode("overwrite").option("path", scratch_path(spark, f"gold-{name}")).saveAsTable(full)
+        cols = dict(D.COLUMN_COMMENTS.get(name, {}))
+        if name == "fato_janela_cambial":
+            cols.update(catalog.horizon_comments(D.HORIZON_TEMPLATES))
+        catalog.document(spark, full, D.TABLE_COMMENTS[name], cols)
+        parts.append(catalog.column_comments(spark, full)
+                     .select(F.lit(name).alias("tabela"), F.col("col_name").alias("coluna"),
+                             F.col("comment").alias("comentario")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def _report(fn):
     def q(spark, sf):
         return fn(study.wide(spark, sf))
@@ -223,6 +249,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "carry_by_year": _report(reports.carry_by_year),
         "forward_vs_call": _report(reports.forward_vs_call),
         "recent_slice": q_recent_slice,
+        # phase 7: catalog
+        "documented_tables": q_documented_tables,
         # phase 8: keyed / scale variants
         "user_rolling_metrics": q_user_rolling_metrics,
     }

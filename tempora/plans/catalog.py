@@ -23,9 +23,11 @@ def _ident(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
-def create_schema(spark: SparkSession, name: str, comment: str) -> None:
-    """``CREATE SCHEMA IF NOT EXISTS`` with a comment."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_ident(name)} COMMENT {_q(comment)}")
+def create_schema(spark: SparkSession, name: str, comment: str, location: str | None = None) -> None:
+    """``CREATE SCHEMA IF NOT EXISTS`` with a comment (S12); ``location``
+    places it in a shared folder instead of the warehouse default."""
+    loc = f" LOCATION {_q(location)}" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_ident(name)} COMMENT {_q(comment)}{loc}")
 
 
 def list_tables(spark: SparkSession, schema: str) -> DataFrame:

@@ -37,7 +37,14 @@ def _key(row):
 
 def test_every_query_has_an_oracle_or_is_documented():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"manifest_check"}
+    assert set(QUERIES) - set(SQL) == {"manifest_check", "documented_tables"}
+
+
+def test_documented_tables(spark):
+    rows = QUERIES["documented_tables"](spark, SF_SMALL).collect()
+    by = {(r.tabela, r.coluna): r.comentario for r in rows}
+    assert by[("fato_janela_cambial", "maior_alta_90d_pct")].startswith("Largest rise")
+    assert len({r.tabela for r in rows}) == 4 and sum(r.tabela == "fato_janela_cambial" for r in rows) == 36
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
