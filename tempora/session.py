@@ -65,3 +65,25 @@ def cut_lineage(df, name: str = "layer"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+# Runtime SQL settings for a large cluster (100 TB inputs): many initial
+# shuffle partitions that AQE coalesces to ~256 MB each, skew-join splitting,
+# scan splits sized to executor memory. Broadcasts stay behind the default
+# size threshold (checked by AQE on measured sizes).
+SCALE_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
+def configure_for_scale(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Apply ``SCALE_CONF`` (plus overrides) to a cluster session."""
+    for k, v in {**SCALE_CONF, **(overrides or {})}.items():
+        spark.conf.set(k, v)

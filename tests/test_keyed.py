@@ -30,3 +30,26 @@ def test_keyed_wide_fact_equals_per_key(spark):
                         assert y is not None and abs(x - y) <= 1e-9 * max(1.0, abs(x))
                     else:
                         assert x == y
+
+
+def test_regime_shares_near_thirds(spark):
+    w = study.wide(spark, SF_SMALL)
+    counts = {r.regime_vol: r["count"] for r in w.groupBy("regime_vol").count().collect()}
+    n = sum(v for k, v in counts.items() if k is not None)
+    for label in ("1-Baixa", "2-Média", "3-Alta"):
+        assert abs(counts[label] / n - 1 / 3) < 0.02
+
+
+def test_rerun_gives_equal_tables(spark):
+    a = study.wide(spark, SF_SMALL, materialise=False)
+    b = study.wide(spark, SF_SMALL, materialise=False)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_keyed_block_plan_has_no_single_partition(spark):
+    import __spark_entry__ as E
+    df = E.queries()["user_rolling_metrics"](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    assert "windowspecdefinition(user_id#" in plan and "_blk" in plan
