@@ -182,6 +182,37 @@ def q_documented_tables(spark, sf):
     return out
 
 
+def _published_silver(spark, sf):
+    """Publish the Silver table under its catalog name so plain SQL can use it."""
+    from tempora.plans import catalog, pipeline, dictionary as D
+    catalog.create_schema(spark, "silver", D.SCHEMA_COMMENTS["silver"], scratch_path(spark, "silver-schema"))
+    pipeline.publish(spark, "silver.serie_diaria", _silver(spark, sf))
+
+
+def q_sql_gaps(spark, sf):
+    """D7 through the SQL API: a named keyed window (W12) over the table."""
+    _published_silver(spark, sf)
+    return spark.sql("""
+        WITH steps AS (
+          SELECT indicador, datediff(data, lag(data) OVER by_series) AS intervalo
+          FROM silver.serie_diaria
+          WINDOW by_series AS (PARTITION BY indicador ORDER BY data))
+        SELECT indicador,
+               max(intervalo) AS maior_intervalo_dias,
+               count_if(intervalo > 4) AS intervalos_acima_4_dias
+        FROM steps GROUP BY indicador""")
+
+
+def q_sql_publication_lag(spark, sf):
+    """D8 through the SQL API: an uncorrelated scalar subquery inside datediff."""
+    _published_silver(spark, sf)
+    return spark.sql(f"""
+        SELECT indicador, max(data) AS ultima_data,
+               datediff((SELECT max(data) FROM silver.serie_diaria WHERE indicador = '{REFERENCE_CODE}'),
+                        max(data)) AS dias_atras_da_ptax
+        FROM silver.serie_diaria GROUP BY indicador""")
+
+
 def _report(fn):
     def q(spark, sf):
         return fn(study.wide(spark, sf))
@@ -249,6 +280,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "carry_by_year": _report(reports.carry_by_year),
         "forward_vs_call": _report(reports.forward_vs_call),
         "recent_slice": q_recent_slice,
+        # SQL API over published tables
+        "sql_gaps": q_sql_gaps,
+        "sql_publication_lag": q_sql_publication_lag,
         # phase 7: catalog
         "documented_tables": q_documented_tables,
         # phase 8: keyed / scale variants
@@ -257,4 +291,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return O.all_sql(RECENT_SINCE, erf_series_text)
+    q = O.all_sql(RECENT_SINCE, erf_series_text)
+    q["sql_gaps"] = q["dq_gaps"]
+    q["sql_publication_lag"] = q["dq_lag"]
+    return q

@@ -1,0 +1,18 @@
+"""The batch job publishes every layer under its catalog name."""
+from conftest import SF_SMALL
+from tempora.plans import pipeline
+
+
+def test_run_publishes_layers(spark):
+    out = pipeline.run(spark, SF_SMALL)
+    assert spark.table("gold.fato_janela_cambial").count() == out["gold.fato_janela_cambial"].count() > 0
+    assert len(spark.table("gold.fato_janela_cambial").columns) == 36
+    led = spark.table("silver.controle_qualidade").collect()
+    assert all(r.linhas_bronze == r.data_invalida + r.fora_periodo + r.sem_valor + r.valor_invalido
+               + r.duplicadas + r.linhas_silver for r in led)
+    assert all(r.diferenca_bronze_silver == 0 and r.diferenca_silver_gold == 0
+               for r in out["dq.reconcile"].collect())
+    n = spark.sql("SELECT COUNT(*) AS n FROM gold.fato_janela_cambial f "
+                  "LEFT ANTI JOIN gold.dim_tempo d ON f.data = d.data").first().n
+    assert n == 0
+    assert out["report.forward_vs_call"].count() == 3
