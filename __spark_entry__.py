@@ -20,7 +20,7 @@ from tempora.plans import gold, reports, study
 from tempora.plans.series_catalogue import OUTLIER_CODES, REFERENCE_CODE
 from tempora.plans.study import round_doubles
 from tempora.sources import fixtures
-from tempora.sources.ingest import ingest, manifest
+from tempora.sources.ingest import ingest
 from tempora.session import scratch_path
 from tempora.plans import keyed
 

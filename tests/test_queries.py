@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB oracle at sf0.001 (the driver
 checks sf0.01), plus plan properties of the registered queries."""
-import datetime as dt
 import decimal
 import math
 
