@@ -123,7 +123,7 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket
                 .drop("_off"))
     from tempora.session import cut_lineage
     spark = df.sparkSession
-    n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_part = partitions or range_partitions(df)
     s = (df.repartitionByRange(n_part, *[F.col(c) for c in [*keys, *order]])
          .sortWithinPartitions(*keys, *order)
          .withColumn("_pid", F.spark_partition_id())
@@ -140,6 +140,24 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket
             .drop("_pid", "_mid", "_first", "_off"))
 
 
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def range_partitions(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Partition count for a range shuffle: the session's shuffle partitions,
+    or more when the optimizer's size estimate of ``df`` (plan statistics,
+    no data read) exceeds ``target_bytes`` per partition. AQE can merge range
+    partitions but never split them, so the count must be large enough."""
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - statistics unavailable: keep the session setting
+        return base
+    if size >= 2 ** 62:          # no estimate (the planner's "unknown" default size)
+        return base
+    return int(min(max(base, -(-size // target_bytes)), 100_000))
+
+
 class WindowPlan:
     """One place to build window columns under either strategy.
 
