@@ -75,8 +75,7 @@ def test_manifest_check(spark):
     assert len(rows) == 6 and all(r.arquivos > 0 and r.bytes > 0 for r in rows)
 
 
-@pytest.mark.parametrize("name", ["wide_fact", "forward_vs_call", "user_rolling_metrics", "dq_outliers",
-                                  "silver_ledger", "rolling_corr_by_year"])
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_plans(spark, name):
     plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
