@@ -4,9 +4,8 @@ ordered rule waterfall that accounts for every discarded row.
 One labelled pass replaces a count action per rule: each row gets the name
 of the *first* rule it fails (or NULL when it passes all of them). Survivors
 are de-duplicated on ``keys + [date]`` with a stated tie-break, and the
-ledger is a grouped aggregate of the labels. Both outputs are lazy
-DataFrames over the same labelled input; persist or write that input once
-when both are needed at volume.
+ledger sums the per-group label counts. Both outputs come from one aggregate
+over the input.
 
 De-duplication is an aggregate (``max_by`` over a tie-break struct), not a
 window, so partial aggregation runs map-side: a date or key holding a third
@@ -103,39 +102,47 @@ def _tie_break(df: DataFrame, value: str, tie_break: Sequence[str] | None) -> Co
 
 def waterfall(df: DataFrame, keys: Sequence[str] = ("indicador",), date: str = "data",
               value: str = "valor", cutoff="2017-01-01",
-              tie_break: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+              tie_break: Sequence[str] | None = None, materialise=None) -> tuple[DataFrame, DataFrame]:
     """Ordered cleaning with a discard ledger.
 
-    Returns ``(clean, ledger)``. ``clean`` keeps the input columns (minus the
-    label), one row per ``keys + [date]``: among duplicates it keeps the row
-    with the largest ``tie_break`` struct (default: latest ingestion time,
-    then largest value). ``ledger`` has one row per key with ``linhas_bronze``,
-    one counter per rule, ``duplicadas`` and ``linhas_silver``; the counters
+    Returns ``(clean, ledger)``. ``clean`` keeps the input columns, one row
+    per ``keys + [date]``: among duplicates it keeps the row with the largest
+    ``tie_break`` struct (default: latest ingestion time, then largest
+    value). ``ledger`` has one row per key with ``linhas_bronze``, one
+    counter per rule, ``duplicadas`` and ``linhas_silver``; the counters
     always add up: bronze = sum(rules) + duplicadas + silver.
-    """
+
+    One pass over the input: a single aggregate grouped by ``keys + [date]``
+    (partial aggregation map-side, so a hot key or date is combined in every
+    task) yields the surviving row and the per-rule counts of each group;
+    ``clean`` and ``ledger`` are both projections of that aggregate, whose
+    size is the Silver grain. Pass ``materialise`` (e.g. ``cut_lineage``) to
+    write it once when both outputs are used."""
     keys = list(keys)
     labelled = label_rules(df, date, value, cutoff)
-    payload_cols = [c for c in df.columns]
-    valid = labelled.filter(F.col(RULE).isNull())
-
+    payload_cols = list(df.columns)
     grain = keys + [date]
     others = [c for c in payload_cols if c not in grain]
-    pick = F.max_by(F.struct(*[F.col(c) for c in others]), _tie_break(df, value, tie_break))
-    dedup = (valid.groupBy(*grain)
-             .agg(pick.alias("_row"), F.count("*").alias("_n")))
-    clean = dedup.select(*[F.col(c) for c in grain], *[F.col(f"_row.{c}").alias(c) for c in others])
-    clean = clean.select(*payload_cols)
-
-    rule_counts = (labelled.groupBy(*keys).agg(
-        F.count("*").alias("linhas_bronze"),
-        *[F.count_if(F.col(RULE) == r).alias(r) for r in LEDGER_RULES]))
-    dup_counts = (dedup.groupBy(*keys).agg(
-        F.sum(F.col("_n") - 1).cast("bigint").alias("duplicadas"),
-        F.count("*").alias("linhas_silver")))
-    ledger = (rule_counts.join(dup_counts, keys, "left")
-              .select(*keys, "linhas_bronze", *LEDGER_RULES,
-                      F.coalesce("duplicadas", F.lit(0).cast("bigint")).alias("duplicadas"),
-                      F.coalesce("linhas_silver", F.lit(0).cast("bigint")).alias("linhas_silver")))
+    valid = F.col(RULE).isNull()
+    # rows failing a rule get a NULL ordering, which max_by skips
+    pick = F.max_by(F.struct(*[F.col(c) for c in others]),
+                    F.when(valid, _tie_break(df, value, tie_break)))
+    per_grain = labelled.groupBy(*grain).agg(
+        pick.alias("_row"),
+        F.count("*").alias("_n"),
+        F.count_if(valid).alias("_n_valid"),
+        *[F.count_if(F.col(RULE) == r).alias(r) for r in LEDGER_RULES])
+    if materialise is not None:
+        per_grain = materialise(per_grain)
+
+    clean = (per_grain.filter(F.col("_n_valid") > 0)
+             .select(*[F.col(c) for c in grain], *[F.col(f"_row.{c}").alias(c) for c in others])
+             .select(*payload_cols))
+    ledger = per_grain.groupBy(*keys).agg(
+        F.sum("_n").cast("bigint").alias("linhas_bronze"),
+        *[F.sum(r).cast("bigint").alias(r) for r in LEDGER_RULES],
+        F.sum(F.greatest(F.col("_n_valid") - 1, F.lit(0))).cast("bigint").alias("duplicadas"),
+        F.count_if(F.col("_n_valid") > 0).alias("linhas_silver"))
     return clean, ledger
 
 

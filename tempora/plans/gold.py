@@ -35,7 +35,7 @@ DEFAULT_BLOCK_ROWS = 10_000     # ~40 years of business days per block
 
 
 def silver(frames, cutoff=STUDY_CUTOFF, run_ts=None,
-           specs=SERIES) -> tuple[DataFrame, DataFrame]:
+           specs=SERIES, materialise=None) -> tuple[DataFrame, DataFrame]:
     """``(serie_diaria, controle_qualidade)`` from raw text.
 
     ``frames``: either a dict of per-source raw frames (the sources' own
@@ -51,7 +51,7 @@ def silver(frames, cutoff=STUDY_CUTOFF, run_ts=None,
         long = normalise_long(frames, specs)
     if LINEAGE_TS not in long.columns:
         long = long.withColumn(LINEAGE_TS, ts)
-    clean, ledger = waterfall(long, ["indicador"], "data", "valor", cutoff)
+    clean, ledger = waterfall(long, ["indicador"], "data", "valor", cutoff, materialise=materialise)
     clean = clean.select("data", "indicador", "valor", "fonte", "unidade", LINEAGE_TS)
     ledger = ledger.select(*LEDGER_COLUMNS).withColumn("data_execucao", ts)
     return clean, ledger

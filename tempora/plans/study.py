@@ -32,11 +32,10 @@ def silver(spark: SparkSession, sf_dir: str, materialise: bool = True) -> tuple[
     """Silver layer; by default materialised in the shared checkpoint folder
     (the layer boundary the study writes as a table)."""
     def build():
-        clean, ledger = gold.silver(bronze_long(spark, sf_dir, materialise), cutoff=gold.FIXTURE_CUTOFF,
-                                    run_ts=gold.FIXED_RUN_TS)
-        if materialise:
-            clean, ledger = cut_lineage(clean, "silver"), cut_lineage(ledger, "ledger")
-        return clean, ledger
+        # one pass over Bronze: the per-(indicador, data) aggregate is written once and
+        # both Silver and the ledger are read from it
+        return gold.silver(bronze_long(spark, sf_dir, materialise), cutoff=gold.FIXTURE_CUTOFF,
+                           run_ts=gold.FIXED_RUN_TS, materialise=cut_lineage if materialise else None)
     return _memo(spark, ("silver", sf_dir), build) if materialise else build()
 
 
