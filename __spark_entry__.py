@@ -8,8 +8,14 @@ independent DuckDB statement per query over the same parquet views.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+_ROOT = os.path.dirname(os.path.abspath(__file__))
+if _ROOT not in sys.path:   # importable when loaded by file path from another folder
+    sys.path.insert(0, _ROOT)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
