@@ -231,9 +231,10 @@ def q_recent_slice(spark, sf):
 
 def q_user_rolling_metrics(spark, sf):
     ev = fixtures.read_table(spark, sf, "events")
+    # users up to 1M events: one keyed window task each; larger (hot) users: ordered blocks
     return round_doubles(keyed.rolling_metrics(ev, ["user_id"], ["ts", "event_id"], "value",
-                                               block_rows=4096,
-                                               value_scale=2))
+                                               block_rows=100_000, value_scale=2,
+                                               hot_threshold=1_000_000))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

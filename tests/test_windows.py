@@ -92,3 +92,12 @@ def test_row_numbers_dense(spark, series):
 def test_ffill_blocks_equals_running(spark, series):
     _same(ffill(series, ["k"], ["t"], ["v"]), ffill(series, ["k"], ["t"], ["v"], block_rows=200),
           ["k", "t", "v"])
+
+
+def test_hot_key_split_equals_keyed(spark, series):
+    from tempora.plans.keyed import rolling_metrics
+    df = series.withColumn("v", F.coalesce("v", F.lit(1.0)))
+    cols = ["k", "t", "valor", "ret", "vol_21", "mm_63", "min_252", "max_252", "valor_futuro", "maior_alta_pct"]
+    plain = rolling_metrics(df, ["k"], ["t"], "v", block_rows=None)
+    split = rolling_metrics(df, ["k"], ["t"], "v", block_rows=400, hot_threshold=600)   # k=0, k=2 are hot
+    _same(plain, split, cols)
