@@ -170,7 +170,8 @@ class WindowPlan:
     """
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                 block_rows: int | None = None, bucket=None, pre: int = 0, post: int = 0):
+                 block_rows: int | None = None, bucket=None, pre: int = 0, post: int = 0,
+                 numbered: bool = False):
         self.keys, self.order = list(keys), list(order)
         self.columns = list(df.columns)
         self.blocked = block_rows is not None
@@ -182,7 +183,8 @@ class WindowPlan:
         B = int(block_rows)
         if B <= pre + post:
             raise ValueError("block_rows must exceed the halo (pre + post)")
-        numbered = row_numbers(df, self.keys, self.order, bucket)
+        # ``numbered``: the caller already added a dense 0-based ``_rn`` per key
+        numbered = df if numbered else row_numbers(df, self.keys, self.order, bucket)
         self.df = (numbered
                    .withColumn("_home", F.floor(F.col("_rn") / B))
                    .withColumn("_blk", F.explode(F.sequence(F.floor((F.col("_rn") - post) / B),

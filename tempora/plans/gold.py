@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from tempora.functions import metrics as M
 from tempora.operators.calendar import date_spine, dim_time as _dim_time
 from tempora.operators.clean import normalise, normalise_long, waterfall
-from tempora.operators.windows import WindowPlan, ffill
+from tempora.operators.windows import WindowPlan
 from tempora.plans.series_catalogue import (
     BAND_LABELS, HORIZONS, INDICATOR_COLUMNS, INDICATORS, LEDGER_COLUMNS, REFERENCE_CODE,
     REGIME_LABELS, SERIES, WIDE_CODES,
@@ -95,20 +95,44 @@ def pivot_wide(silver_df: DataFrame, codes: dict[str, str] = WIDE_CODES,
 
 
 def align_last_known(silver_df: DataFrame, codes: dict[str, str] = WIDE_CODES,
-                     reference: str = REFERENCE_CODE, keys: Sequence[str] = ()) -> DataFrame:
+                     reference: str = REFERENCE_CODE, keys: Sequence[str] = (),
+                     with_row_numbers: bool = False) -> DataFrame:
     """Reference-calendar rows with every other series at its last
     value published on or before that day (never a later one).
 
     Forward fill runs over the pivoted dates themselves: a densified calendar
     day with no observation cannot change any last-known value, so the
     result equals fill-over-a-daily-spine-then-keep-reference-days, without
-    building or joining the spine. Buckets are months: the carry summary has
-    one row per (key, month)."""
+    building or joining the spine. Buckets are months, so a (key, month)
+    group holds at most 31 rows: one aggregate gives each bucket its last
+    non-NULL values and its count of reference days, one window over that
+    summary carries values and row offsets across buckets, and one window
+    inside each bucket finishes the fill -- and, with ``with_row_numbers``,
+    the dense row number ``_rn`` of each reference day per key that the
+    ordered-block windows need (saving a second pass)."""
+    keys = list(keys)
     wide = pivot_wide(silver_df, codes, keys)
     ref_col = codes[reference]
     others = [v for k, v in codes.items() if k != reference]
-    filled = ffill(wide, keys, ["data"], others, bucket=F.trunc("data", "month"))
-    return filled.filter(F.col(ref_col).isNotNull())
+    b = wide.withColumn("_bkt", F.trunc("data", "month"))
+    is_ref = F.col(ref_col).isNotNull()
+    per = b.groupBy(*keys, "_bkt").agg(
+        F.count_if(is_ref).alias("_cnt"),
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("data"))).alias(f"_last_{c}") for c in others])
+    w_sum = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_bkt") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    carry = per.select(
+        *keys, "_bkt", F.coalesce(F.sum("_cnt").over(w_sum), F.lit(0)).alias("_off"),
+        *[F.last(f"_last_{c}", ignorenulls=True).over(w_sum).alias(f"_carry_{c}") for c in others])
+    if not keys:
+        carry = F.broadcast(carry)     # one row per month: bounded by the calendar
+    w_in = Window.partitionBy(*keys, "_bkt").orderBy("data").rowsBetween(Window.unboundedPreceding, 0)
+    filled = b.join(carry, [*keys, "_bkt"], "inner").withColumns({
+        **{c: F.coalesce(F.last(c, ignorenulls=True).over(w_in), F.col(f"_carry_{c}")) for c in others},
+        "_rn": F.col("_off") + F.sum(F.when(is_ref, 1).otherwise(0)).over(w_in) - 1,
+    })
+    out_cols = [*keys, "data", *codes.values()] + (["_rn"] if with_row_numbers else [])
+    return filled.filter(is_ref).select(*out_cols)
 
 
 def _regime_cuts(df: DataFrame, col: str, keys: Sequence[str], exact: bool, accuracy: int) -> DataFrame:
@@ -131,10 +155,10 @@ def wide_fact(silver_df: DataFrame, block_rows: int | None = DEFAULT_BLOCK_ROWS,
     is therefore read twice; pass ``materialise`` (e.g. ``cut_lineage``) to
     write it once instead of computing it twice."""
     keys = list(keys)
-    base = align_last_known(silver_df, keys=keys)
+    blocked = block_rows is not None
+    base = align_last_known(silver_df, keys=keys, with_row_numbers=blocked)
     max_h = max(du for du, _ in horizons)
-    plan = WindowPlan(base, keys, ["data"], block_rows, bucket=F.trunc("data", "month"),
-                      pre=251, post=max_h)
+    plan = WindowPlan(base, keys, ["data"], block_rows, pre=251, post=max_h, numbered=blocked)
     w, frame = plan.base, plan.frame
     df = plan.df
     df = df.withColumns({
