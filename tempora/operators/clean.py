@@ -47,23 +47,26 @@ def normalise_long(long: DataFrame, specs: Sequence[SeriesSpec], table_col: str
     date format via a CASE over the catalogue. Rows are only parsed here;
     nothing is dropped yet (see ``waterfall``)."""
     t = F.col(table_col)
-    raw_d = F.col(f"`{date_col}`")
-    d = code = src = unit = None
-    for s in specs:
-        hit = t == s.table
-        d = (F.when(hit, F.try_to_date(raw_d, s.date_fmt)) if d is None
-             else d.when(hit, F.try_to_date(raw_d, s.date_fmt)))
-        code = F.when(hit, s.code) if code is None else code.when(hit, s.code)
-        src = F.when(hit, s.source) if src is None else src.when(hit, s.source)
-        unit = F.when(hit, s.unit) if unit is None else unit.when(hit, s.unit)
-    cols = [d.alias("data"), code.alias("indicador"),
+
+    def case(then) -> Column:
+        # one CASE over the catalogue, as SQL text (a single expression to analyse)
+        arms = " ".join(f"WHEN `{table_col}` = {_sql_str(s.table)} THEN {then(s)}" for s in specs)
+        return F.expr(f"CASE {arms} END")
+
+    cols = [case(lambda s: f"try_to_date(`{date_col}`, {_sql_str(s.date_fmt)})").alias("data"),
+            case(lambda s: _sql_str(s.code)).alias("indicador"),
             F.trim(F.col(f"`{value_col}`")).try_cast(decimal_type).alias("valor"),
-            src.alias("fonte"), unit.alias("unidade")]
+            case(lambda s: _sql_str(s.source)).alias("fonte"),
+            case(lambda s: _sql_str(s.unit)).alias("unidade")]
     if LINEAGE_TS in long.columns:
         cols.append(F.col(LINEAGE_TS))
     return long.filter(t.isin([s.table for s in specs])).select(*cols)
 
 
+def _sql_str(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def normalise(frames: dict[str, DataFrame], specs: Sequence[SeriesSpec]) -> DataFrame:
     """Stack per-source raw tables (each with its own column names) and parse
     them in one pass (C3): each frame is only renamed to

@@ -44,10 +44,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _map_col(col: str, mapping: dict[str, str]):
-    expr = None
-    for k, v in mapping.items():
-        expr = (F.when(F.col(col) == k, v) if expr is None else expr.when(F.col(col) == k, v))
-    return expr
+    """CASE ``col`` WHEN key THEN value ... END (fixed identifiers only)."""
+    arms = " ".join(f"WHEN `{col}` = '{k}' THEN '{v}'" for k, v in mapping.items())
+    return F.expr(f"CASE {arms} END")
 
 
 def _cents(col: str):
@@ -61,11 +60,11 @@ def _stack(df: DataFrame, parts: list[tuple[str, str, str, int, int]]) -> DataFr
     """One row per (day, series) from per-day conditional sums:
     ``parts`` = (indicador, sum column, count column, k, j) with the average
     in micro-units = half-up((sum * k) / (count * j))."""
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(code).alias("indicador"), F.col(c).cast(DEC38).alias("c"),
-                 F.col(n).alias("n"), F.lit(k).cast(DEC38).alias("k"), F.lit(j).cast(DEC38).alias("j"))
-        for code, c, n, k, j in parts]))
-    return (df.select("d", rows.alias("s"))
+    structs = ", ".join(
+        f"named_struct('indicador', '{code}', 'c', CAST(`{c}` AS DECIMAL(38,0)), 'n', `{n}`, "
+        f"'k', CAST({k} AS DECIMAL(38,0)), 'j', CAST({j} AS DECIMAL(38,0)))"
+        for code, c, n, k, j in parts)
+    return (df.select("d", F.expr(f"explode(array({structs}))").alias("s"))
             .select("s.indicador", "d", "s.c", "s.n", "s.k", "s.j")
             .filter(F.col("n") > 0)
             .select("indicador", "d", F.expr("(2 * c * k + n * j) div (2 * n * j)").alias("m")))
