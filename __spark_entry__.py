@@ -81,15 +81,13 @@ def q_bronze_roundtrip(spark, sf):
 
 
 def q_manifest_check(spark, sf):
+    """Render the landing files, then the manifest of the six expected
+    raw tables (file count and bytes each)."""
+    from tempora.plans.series_catalogue import SERIES
+    from tempora.sources.ingest import manifest
     landing = scratch_path(spark, "landing")
     fixtures.render_landing(spark, sf, landing)
-    from tempora.plans.series_catalogue import SERIES
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing)
-    files = listing.select(F.element_at(F.split("path", "/"), -2).alias("tabela"), "length")
-    expected = spark.createDataFrame([(s.table,) for s in SERIES], "tabela string")
-    return (F.broadcast(expected).join(files, "tabela", "left")
-            .groupBy("tabela").agg(F.count("length").alias("arquivos"),
-                                   F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")))
+    return manifest(spark, landing, [s.table for s in SERIES]).drop("presente")
 
 
 def q_dim_time(spark, sf):

@@ -1,7 +1,9 @@
-"""End-to-end run of the study as a batch job: every layer published as a
-table in the ``bronze`` / ``silver`` / ``gold`` schemas (external tables in
-the shared checkpoint folder), documented, then the quality checks and
-reports, so SQL written against those table names runs as is.
+"""End-to-end run of the study as a batch job: raw files in a landing folder
+are checked against the manifest and loaded as text with lineage, then every
+layer is published as a table in the ``bronze`` / ``silver`` / ``gold``
+schemas (external tables in the shared checkpoint folder), documented, and
+the quality checks and reports are built on them, so SQL written against
+those table names runs as is.
 
     from tempora.plans import pipeline
     out = pipeline.run(spark, "/root/testdata/sf0.1")
@@ -18,7 +20,8 @@ from tempora.plans import catalog, gold, reports
 from tempora.plans import dictionary as D
 from tempora.plans.series_catalogue import OUTLIER_CODES, REFERENCE_CODE, SERIES
 from tempora.session import cut_lineage, scratch_path
-from tempora.sources.fixtures import bronze_frames
+from tempora.sources.fixtures import render_landing
+from tempora.sources.ingest import assert_manifest, ingest, manifest
 
 
 def publish(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
@@ -30,15 +33,29 @@ def publish(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, sf_dir: str, document: bool = True) -> dict[str, DataFrame]:
-    """Bronze (six raw tables) -> Silver -> Gold -> quality -> reports."""
+    """Render the six raw files from the test tables into a landing folder in
+    the shared checkpoint folder, then ``run_from_landing``."""
+    landing = scratch_path(spark, "landing")
+    render_landing(spark, sf_dir, landing)
+    return run_from_landing(spark, landing, document=document)
+
+
+def run_from_landing(spark: SparkSession, landing: str, document: bool = True,
+                     cutoff=gold.FIXTURE_CUTOFF) -> dict[str, DataFrame]:
+    """Landing manifest -> Bronze (six raw tables, all text, with lineage) ->
+    Silver -> Gold -> quality -> reports."""
+    m = manifest(spark, landing, [s.table for s in SERIES])
+    assert_manifest(m)
     for schema, comment in D.SCHEMA_COMMENTS.items():
         catalog.create_schema(spark, schema, comment, scratch_path(spark, f"schema-{schema}"))
-    out: dict[str, DataFrame] = {}
-    for spec, (table, frame) in zip(SERIES, bronze_frames(spark, sf_dir).items()):
-        out[f"bronze.{table}"] = publish(spark, f"bronze.{table}", frame.withColumns({
-            "_arquivo_origem": F.lit(f"{sf_dir}/{spec.table}"), "_data_ingestao": F.current_timestamp()}))
+    out: dict[str, DataFrame] = {"bronze.manifest": m}
+    for spec in SERIES:
+        json_like = spec.date_fmt == "dd/MM/yyyy"
+        raw = ingest(spark, f"{landing.rstrip('/')}/{spec.table}", "json" if json_like else "csv",
+                     [spec.date_col, spec.value_col], **({} if json_like else {"header": "true"}))
+        out[f"bronze.{spec.table}"] = publish(spark, f"bronze.{spec.table}", raw)
     frames = {s.table: out[f"bronze.{s.table}"] for s in SERIES}
-    clean, ledger = gold.silver(frames, cutoff=gold.FIXTURE_CUTOFF)
+    clean, ledger = gold.silver(frames, cutoff=cutoff)
     s = out["silver.serie_diaria"] = publish(spark, "silver.serie_diaria", clean)
     out["silver.controle_qualidade"] = publish(spark, "silver.controle_qualidade", ledger)
     daily = out["gold.fato_indicador_diario"] = publish(spark, "gold.fato_indicador_diario", gold.daily_fact(s))

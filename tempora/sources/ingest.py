@@ -52,16 +52,21 @@ def ingest(spark: SparkSession, path: str | list[str], fmt: str, columns: Sequen
 
 
 def manifest(spark: SparkSession, directory: str, expected: Iterable[str]) -> DataFrame:
-    """Landing manifest (S1): one row per expected file name with its size in
-    bytes, or NULL size when the file is missing. Lists file metadata only
+    """Landing manifest (S1): one row per expected name with its file count
+    and total size in bytes (NULL size when missing). A name is a file directly
+    under ``directory`` or a folder of part files. Lists file metadata only
     (``content`` is never selected, so no file body is read)."""
-    listing = (spark.read.format("binaryFile").load(directory)
-               .select(F.element_at(F.split("path", "/"), -1).alias("arquivo"),
-                       F.col("length").alias("bytes")))
+    root = directory.rstrip("/")
+    marker = root.split(":", 1)[-1] + "/"
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+               .select(F.split(F.expr(f"substring(path, instr(path, '{marker}') + {len(marker)})"), "/")[0]
+                       .alias("arquivo"), "length")
+               .groupBy("arquivo").agg(F.count("*").alias("arquivos"), F.sum("length").alias("bytes")))
     wanted = spark.createDataFrame([(e,) for e in expected], "arquivo string")
     # the expected-name list is a fixed, tiny driver-side list: broadcast is bounded
     return (F.broadcast(wanted).join(listing, "arquivo", "left")
-            .select("arquivo", "bytes", F.col("bytes").isNotNull().alias("presente")))
+            .select("arquivo", F.coalesce("arquivos", F.lit(0)).alias("arquivos"), "bytes",
+                    F.col("bytes").isNotNull().alias("presente")))
 
 
 def assert_manifest(manifest_df: DataFrame) -> None:

@@ -16,3 +16,6 @@ def test_run_publishes_layers(spark):
                   "LEFT ANTI JOIN gold.dim_tempo d ON f.data = d.data").first().n
     assert n == 0
     assert out["report.forward_vs_call"].count() == 3
+    b = spark.table("bronze.bcb_ptax").first()
+    assert "/bcb_ptax/" in b._arquivo_origem and b._data_ingestao is not None
+    assert all(r.presente for r in out["bronze.manifest"].collect())
