@@ -35,12 +35,18 @@ def rolling_metrics(df: DataFrame, keys: Sequence[str], order: Sequence[str], va
     With ``hot_threshold`` the keys are split by size first (one count per
     key): keys up to the threshold take plain keyed windows (one task per
     key is fine), keys above it take the ordered-block path. The hot-key list
-    is broadcast: it has at most ``rows / hot_threshold`` entries."""
+    is broadcast: it has at most ``rows / hot_threshold`` entries. Whether any
+    key is hot is checked first with one small action, so data without hot
+    keys gets the plain keyed plan only."""
     keys, order = list(keys), list(order)
     if hot_threshold is not None and keys:
         counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-        hot = F.broadcast(counts.filter(F.col("_n") > hot_threshold).select(*keys))
+        hot = counts.filter(F.col("_n") > hot_threshold).select(*keys)
         common = dict(bucket=bucket, horizon=horizon, value_scale=value_scale)
+        # one small action decides the plan (like an adaptive re-plan): no hot key -> no split
+        if hot.limit(1).count() == 0:
+            return rolling_metrics(df, keys, order, value, block_rows=None, **common)
+        hot = F.broadcast(hot)
         small = rolling_metrics(df.join(hot, keys, "left_anti"), keys, order, value,
                                 block_rows=None, **common)
         large = rolling_metrics(df.join(hot, keys, "left_semi"), keys, order, value,

@@ -47,8 +47,12 @@ def test_rerun_gives_equal_tables(spark):
 
 
 def test_keyed_block_plan_has_no_single_partition(spark):
-    import __spark_entry__ as E
-    df = E.queries()["user_rolling_metrics"](spark, SF_SMALL)
+    from tempora.plans.keyed import rolling_metrics
+    from tempora.sources.fixtures import read_table
+    ev = read_table(spark, SF_SMALL, "events")
+    # every user above the threshold: the block path
+    df = rolling_metrics(ev, ["user_id"], ["ts", "event_id"], "value", block_rows=4096,
+                         value_scale=2, hot_threshold=1)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
