@@ -188,9 +188,9 @@ def q_documented_tables(spark, sf):
 
 def _published_silver(spark, sf):
     """Publish the Silver table under its catalog name so plain SQL can use it."""
-    from tempora.plans import catalog, pipeline, dictionary as D
+    from tempora.plans import catalog, job, dictionary as D
     catalog.create_schema(spark, "silver", D.SCHEMA_COMMENTS["silver"], scratch_path(spark, "silver-schema"))
-    pipeline.publish(spark, "silver.serie_diaria", _silver(spark, sf))
+    job.publish(spark, "silver.serie_diaria", _silver(spark, sf))
 
 
 def q_sql_gaps(spark, sf):

@@ -5,8 +5,8 @@ schemas (external tables in the shared checkpoint folder), documented, and
 the quality checks and reports are built on them, so SQL written against
 those table names runs as is.
 
-    from tempora.plans import pipeline
-    out = pipeline.run(spark, "/root/testdata/sf0.1")
+    from tempora.plans import job
+    out = job.run(spark, "/root/testdata/sf0.1")
     spark.sql("SELECT regime_vol, COUNT(*) FROM gold.fato_janela_cambial GROUP BY 1").show()
 """
 

@@ -1,10 +1,10 @@
 """The batch job publishes every layer under its catalog name."""
 from conftest import SF_SMALL
-from tempora.plans import pipeline
+from tempora.plans import job
 
 
 def test_run_publishes_layers(spark):
-    out = pipeline.run(spark, SF_SMALL)
+    out = job.run(spark, SF_SMALL)
     assert spark.table("gold.fato_janela_cambial").count() == out["gold.fato_janela_cambial"].count() > 0
     assert len(spark.table("gold.fato_janela_cambial").columns) == 36
     led = spark.table("silver.controle_qualidade").collect()
