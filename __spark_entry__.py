@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import duck_oracle as O
+from tempora.functions.metrics import round_exact
 from tempora.functions.pricing import erf_series_text
 from tempora.operators import quality as Q
 from tempora.plans import gold, reports, study
@@ -149,7 +150,7 @@ def q_dq_outliers(spark, sf):
     d = study.daily(spark, sf)
     return Q.zscore_outliers(
         d, "indicador", "variacao_pct", OUTLIER_CODES, 5.0, 20,
-        extra=[F.col("indicador"), F.col("data"), F.round("valor", 4).alias("valor"),
+        extra=[F.col("indicador"), F.col("data"), round_exact("valor", 4).alias("valor"),
                F.round("variacao_pct", 2).alias("variacao_pct")])
 
 

@@ -180,12 +180,14 @@ w1 AS (
          {logret('vix', 'LAG(vix) OVER w')} AS ret_vix,
          {logret('brent', 'LAG(brent) OVER w')} AS ret_brent,
          {pct('ptax', 'LAG(ptax, 5) OVER w')} AS var_ptax_5d_pct,
-         AVG(ptax) OVER (ORDER BY data ROWS BETWEEN 62 PRECEDING AND CURRENT ROW) AS mm_63d,
+         CAST((2 * SUM(CAST(ROUND(ptax * 1000000) AS HUGEINT)) OVER f63 + COUNT(ptax) OVER f63)
+              // (2 * COUNT(ptax) OVER f63) AS DOUBLE) / 1000000.0 AS mm_63d,
          MIN(ptax) OVER (ORDER BY data ROWS BETWEEN 251 PRECEDING AND CURRENT ROW) AS min_252d,
          MAX(ptax) OVER (ORDER BY data ROWS BETWEEN 251 PRECEDING AND CURRENT ROW) AS max_252d,
          cdi - fed_funds AS diferencial_juros_pp,
          {fwd_sql}
-  FROM ref WINDOW w AS (ORDER BY data)),
+  FROM ref WINDOW w AS (ORDER BY data),
+              f63 AS (ORDER BY data ROWS BETWEEN 62 PRECEDING AND CURRENT ROW)),
 w2 AS (
   SELECT *,
          STDDEV_SAMP(ret_ptax) OVER (ORDER BY data ROWS BETWEEN 20 PRECEDING AND CURRENT ROW)
@@ -233,6 +235,11 @@ for _du, _dc in HORIZONS:
                  f"fwd_teorico_{_dc}d", f"dif_fwd_vs_spot_{_dc}d_pct"]
 
 
+def round6(x: str, n: int) -> str:
+    """Half-up rounding of a value carrying six decimals, on the decimal value."""
+    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,6)), {n}) AS DOUBLE)"
+
+
 def safe_corr(a: str, b: str) -> str:
     a2 = f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN {a} END"
     b2 = f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN {b} END"
@@ -243,7 +250,36 @@ def pct_true(cond: str) -> str:
     return f"100 * AVG(CASE WHEN {cond} THEN 1 ELSE 0 END)"
 
 
+def no_negative_zero(sql: str) -> str:
+    """Wrap every ``ROUND(...)`` as ``(ROUND(...) + 0.0)``: DuckDB keeps the
+    sign of a value rounded to zero (-0.0) where Spark's decimal rounding gives
+    0.0; adding +0.0 turns -0.0 into 0.0 and changes nothing else."""
+    out, i = [], 0
+    key = "ROUND("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(key) - 1
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = no_negative_zero(sql[j + len(key):k])
+        out.append(sql[i:j] + "(ROUND(" + inner + ") + 0.0)")
+        i = k + 1
+
+
 def all_sql(recent_since: str, erf_text) -> dict[str, str]:
+    return {k: no_negative_zero(v) for k, v in _all_sql(recent_since, erf_text).items()}
+
+
+def _all_sql(recent_since: str, erf_text) -> dict[str, str]:
     q: dict[str, str] = {}
     G = gold_ctes()
     S = silver_ctes()
@@ -332,7 +368,7 @@ FROM silver GROUP BY indicador""")
     q["dq_outliers"] = with_(S + daily_fact_cte(), f""",
 estat AS (SELECT indicador, AVG(variacao_pct) AS media, STDDEV_SAMP(variacao_pct) AS desvio
           FROM fato_ind WHERE indicador IN ('PTAX_VENDA', 'DOLAR_AMPLO', 'VIX', 'BRENT') GROUP BY indicador)
-SELECT f.indicador, f.data, ROUND(f.valor, 4) AS valor, ROUND(f.variacao_pct, 2) AS variacao_pct,
+SELECT f.indicador, f.data, {round6('f.valor', 4)} AS valor, ROUND(f.variacao_pct, 2) AS variacao_pct,
        ROUND({z}, 1) AS z_score
 FROM fato_ind f JOIN estat e ON f.indicador = e.indicador
 WHERE ABS({z}) > 5 ORDER BY ABS({z}) DESC LIMIT 20""")
@@ -345,14 +381,14 @@ UNION ALL SELECT 'fato_janela_cambial', COUNT(*) FROM wide""")
     # reports
     q["yearly_behaviour"] = with_(G, f"""
 SELECT CAST(year(data) AS INTEGER) AS ano, COUNT(*) AS dias_uteis,
-       ROUND(min_by(ptax, data), 4) AS ptax_inicio, ROUND(max_by(ptax, data), 4) AS ptax_fim,
+       {round6('min_by(ptax, data)', 4)} AS ptax_inicio, {round6('max_by(ptax, data)', 4)} AS ptax_fim,
        ROUND((max_by(ptax, data) / min_by(ptax, data) - 1) * 100, 2) AS var_no_ano_pct,
-       ROUND(MIN(ptax), 4) AS minima, ROUND(MAX(ptax), 4) AS maxima,
+       {round6('MIN(ptax)', 4)} AS minima, {round6('MAX(ptax)', 4)} AS maxima,
        ROUND(AVG(vol_21d_anual_pct), 2) AS vol_media_pct,
        ROUND({pct_true("regime_vol = '3-Alta'")}, 1) AS pct_dias_vol_alta,
        ROUND(MAX(ABS(ret_ptax)) * 100, 2) AS maior_mov_diario_pct
 FROM wide GROUP BY year(data)""")
-    q["level_ma_vol"] = with_(G, """SELECT data, ptax, ROUND(mm_63d, 4) AS media_movel_63d,
+    q["level_ma_vol"] = with_(G, f"""SELECT data, ptax, {round6('mm_63d', 4)} AS media_movel_63d,
        ROUND(vol_21d_anual_pct, 2) AS vol_21d_pct FROM wide""")
     q["step_distribution"] = with_(G, """
 SELECT ROUND(AVG(ABS(var_ptax_5d_pct)), 2) AS variacao_semanal_media_abs_pct,

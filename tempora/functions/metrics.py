@@ -20,6 +20,14 @@ def c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def round_exact(x, digits: int, scale: int = 6) -> Column:
+    """Round a DOUBLE known to carry ``scale`` decimals (e.g. a parsed
+    DECIMAL(18,6) value) half-up to ``digits`` through DECIMAL arithmetic, so
+    a tie like ...5 at the cut is resolved on the decimal value, not on its
+    binary approximation."""
+    return F.round(c(x).cast(f"decimal(38,{scale})"), digits).cast("double")
+
+
 def ratio(a, b) -> Column:
     return F.try_divide(c(a), c(b))
 

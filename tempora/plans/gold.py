@@ -160,7 +160,7 @@ def wide_fact(silver_df: DataFrame, block_rows: int | None = DEFAULT_BLOCK_ROWS,
     max_h = max(du for du, _ in horizons)
     plan = WindowPlan(base, keys, ["data"], block_rows, pre=251, post=max_h, numbered=blocked)
     w, frame = plan.base, plan.frame
-    df = plan.df
+    df = plan.df.withColumn("_ptax_dec", F.col("ptax").cast("decimal(18,6)"))
     df = df.withColumns({
         "ret_ptax": M.log_return("ptax", F.lag("ptax").over(w)),
         "ret_dolar_amplo": M.log_return("dolar_amplo", F.lag("dolar_amplo").over(w)),
@@ -170,7 +170,8 @@ def wide_fact(silver_df: DataFrame, block_rows: int | None = DEFAULT_BLOCK_ROWS,
     })
     df = df.withColumns({
         "vol_21d_anual_pct": M.annualised_vol(F.stddev_samp("ret_ptax").over(frame(-20, 0))),
-        "mm_63d": F.avg("ptax").over(frame(-62, 0)),
+        # exact mean of the 6-decimal levels, rounded half-up to 6 decimals
+        "mm_63d": F.round(F.avg("_ptax_dec").over(frame(-62, 0)), 6).cast("double"),
         "min_252d": F.min("ptax").over(frame(-251, 0)),
         "max_252d": F.max("ptax").over(frame(-251, 0)),
     })
