@@ -143,7 +143,7 @@ def _regime_cuts(df: DataFrame, col: str, keys: Sequence[str], exact: bool, accu
 def wide_fact(silver_df: DataFrame, block_rows: int | None = DEFAULT_BLOCK_ROWS,
               exact_regime: bool = False, regime_accuracy: int = 10000,
               horizons: Sequence[tuple[int, int]] = HORIZONS, keys: Sequence[str] = (),
-              materialise=None) -> DataFrame:
+              materialise=None, vol_min_periods: int | None = None) -> DataFrame:
     """``fato_janela_cambial`` (36 columns without keys).
 
     Windows are ROWS frames over reference days: lags 1 and 5, rolling 21/63/
@@ -151,6 +151,10 @@ def wide_fact(silver_df: DataFrame, block_rows: int | None = DEFAULT_BLOCK_ROWS,
     ``block_rows`` they run in ordered blocks with a halo of 251 rows before
     and the longest horizon after (see ``operators.windows``).
 
+    Partial frames at the start of a series yield values, as in the study
+    (volatility from the second return on); ``vol_min_periods`` instead keeps
+    the volatility NULL until that many returns are in its 21-row frame.
+
     The regime cut points are quantiles over the whole windowed table, which
     is therefore read twice; pass ``materialise`` (e.g. ``cut_lineage``) to
     write it once instead of computing it twice."""
@@ -169,7 +173,10 @@ def wide_fact(silver_df: DataFrame, block_rows: int | None = DEFAULT_BLOCK_ROWS,
         "var_ptax_5d_pct": M.pct_change("ptax", F.lag("ptax", 5).over(w)),
     })
     df = df.withColumns({
-        "vol_21d_anual_pct": M.annualised_vol(F.stddev_samp("ret_ptax").over(frame(-20, 0))),
+        "vol_21d_anual_pct": M.annualised_vol(F.stddev_samp("ret_ptax").over(frame(-20, 0)))
+        if vol_min_periods is None else
+        F.when(F.count("ret_ptax").over(frame(-20, 0)) >= vol_min_periods,
+               M.annualised_vol(F.stddev_samp("ret_ptax").over(frame(-20, 0)))),
         # exact mean of the 6-decimal levels, rounded half-up to 6 decimals
         "mm_63d": F.round(F.avg("_ptax_dec").over(frame(-62, 0)), 6).cast("double"),
         "min_252d": F.min("ptax").over(frame(-251, 0)),

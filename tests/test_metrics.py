@@ -95,3 +95,10 @@ def test_call_trigger_is_strict(spark):
     df = spark.createDataFrame([row])
     r = forward_vs_call(df).first()
     assert r.pct_call_acionada == 0.0 and r.cobertura_media_quando_acionada_pct is None
+
+
+def test_vol_min_periods(spark):
+    w = gold.wide_fact(_silver(spark, [1.0 + (i % 5) / 10 for i in range(40)]), block_rows=None,
+                       vol_min_periods=21).orderBy("data").collect()
+    assert all(r.vol_21d_anual_pct is None for r in w[:21])
+    assert all(r.vol_21d_anual_pct is not None for r in w[21:])
