@@ -95,6 +95,12 @@ def q_dim_time(spark, sf):
     return gold.dim_time(_silver(spark, sf))
 
 
+def q_dim_indicator(spark, sf):
+    """The indicator dimension, restricted to indicators present in the
+    Silver table (a left semi join: a conformed dimension of the facts)."""
+    return gold.dim_indicator(spark).join(_silver(spark, sf).select("indicador"), "indicador", "left_semi")
+
+
 def q_daily_change(spark, sf):
     return round_doubles(study.daily(spark, sf))
 
@@ -246,6 +252,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silver_profile": lambda spark, sf: Q.profile(_silver(spark, sf)),
         # phase 2: dimensions + daily fact
         "dim_time": q_dim_time,
+        "dim_indicator": q_dim_indicator,
         "daily_change": q_daily_change,
         # phase 3-4: alignment, windows, buckets, forward metrics
         "align_last_known": _wide_cols("ptax", "cdi", "fed_funds", "dolar_amplo", "vix", "brent"),

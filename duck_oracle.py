@@ -298,6 +298,15 @@ SELECT s.data, CAST(year(s.data) AS INTEGER) AS ano, CAST(quarter(s.data) AS INT
        (['domingo', 'segunda', 'terça', 'quarta', 'quinta', 'sexta', 'sábado'])[dayofweek(s.data) + 1] AS dia_semana,
        f.data IS NOT NULL AS eh_dia_util_ptax
 FROM spine s LEFT JOIN flags f ON f.data = s.data""".replace("SELECT s.data", "SELECT s.data", 1))
+    q["dim_indicator"] = with_(S, """,
+dim(indicador, nome, categoria, unidade, fonte, periodicidade) AS (VALUES
+  ('PTAX_VENDA', 'PTAX venda USD/BRL', 'Câmbio', 'BRL por USD', 'Banco Central - SGS 1', 'diária (dias úteis BR)'),
+  ('CDI', 'CDI anualizado base 252', 'Juros Brasil', '% ao ano', 'Banco Central - SGS 4389', 'diária (dias úteis BR)'),
+  ('FED_FUNDS', 'Fed Funds efetivo', 'Juros EUA', '% ao ano', 'FRED - DFF', 'diária (dias corridos)'),
+  ('DOLAR_AMPLO', 'Índice amplo do dólar (Fed)', 'Força global do dólar', 'índice (jan/2006 = 100)', 'FRED - DTWEXBGS', 'diária, publicada semanalmente'),
+  ('VIX', 'Índice de volatilidade VIX', 'Aversão a risco', 'pontos', 'FRED - VIXCLS', 'diária (dias úteis EUA)'),
+  ('BRENT', 'Petróleo Brent spot', 'Commodity', 'USD por barril', 'FRED - DCOILBRENTEU', 'diária (dias úteis)'))
+SELECT * FROM dim WHERE indicador IN (SELECT indicador FROM silver)""")
     q["daily_change"] = with_(S + daily_fact_cte(), f"""SELECT data, indicador, {R6('valor')},
         {R6('variacao_abs')}, {R6('variacao_pct')} FROM fato_ind""")
     q["align_last_known"] = wide_select(WIDE_COLS)
