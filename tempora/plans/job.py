@@ -81,3 +81,23 @@ def run_from_landing(spark: SparkSession, landing: str, document: bool = True,
                  "forward_vs_call"):
         out[f"report.{name}"] = getattr(reports, name)(wide)
     return out
+
+
+def main(argv=None) -> None:
+    """``python -m tempora.plans.job SF_DIR``: run the job on local test tables
+    and print the row count of every published table (one small job each)."""
+    import sys
+
+    from tempora.session import local_session
+    args = list(sys.argv[1:] if argv is None else argv)
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    spark = local_session()
+    out = run(spark, sf_dir)
+    for name, df in out.items():
+        if name.split(".")[0] in ("bronze", "silver", "gold"):
+            print(f"{name:32s} {df.count():>10d}")
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()
