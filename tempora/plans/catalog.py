@@ -30,6 +30,16 @@ def create_schema(spark: SparkSession, name: str, comment: str, location: str |
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_ident(name)} COMMENT {_q(comment)}{loc}")
 
 
+def comment_schema(spark: SparkSession, name: str, comment: str) -> None:
+    """``COMMENT ON SCHEMA``."""
+    spark.sql(f"COMMENT ON SCHEMA {_ident(name)} IS {_q(comment)}")
+
+
+def list_schemas(spark: SparkSession) -> DataFrame:
+    """``SHOW SCHEMAS`` as a DataFrame."""
+    return spark.sql("SHOW SCHEMAS")
+
+
 def list_tables(spark: SparkSession, schema: str) -> DataFrame:
     """``SHOW TABLES IN`` as a DataFrame."""
     return spark.sql(f"SHOW TABLES IN {_ident(schema)}")

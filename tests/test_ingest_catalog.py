@@ -5,7 +5,8 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from tempora.plans.catalog import create_schema, document, horizon_comments, column_comments
+from tempora.plans.catalog import (column_comments, comment_schema, create_schema, document,
+                                   horizon_comments, list_schemas, list_tables)
 from tempora.sources.ingest import assert_manifest, ingest, manifest
 
 
@@ -40,4 +41,9 @@ def test_document_table(spark):
     got = {r.col_name: r.comment for r in column_comments(spark, "tempora_test_gold.t").collect()}
     assert got["data"] == "Day key. It's quoted."
     assert got["ptax_em_30d"] == "Level 30 days later."
+    assert "tempora_test_gold" in {r[0] for r in list_schemas(spark).collect()}
+    assert [r.tableName for r in list_tables(spark, "tempora_test_gold").collect()] == ["t"]
+    comment_schema(spark, "tempora_test_gold", "Gold layer (renamed)")
+    desc = {r[0]: r[1] for r in spark.sql("DESCRIBE SCHEMA tempora_test_gold").collect()}
+    assert desc.get("Comment") == "Gold layer (renamed)"
     spark.sql("DROP TABLE tempora_test_gold.t")
