@@ -23,13 +23,12 @@ import duck_oracle as O
 from tempora.functions.metrics import round_exact
 from tempora.functions.pricing import erf_series_text
 from tempora.operators import quality as Q
-from tempora.plans import gold, reports, study
+from tempora.plans import gold, keyed, reports, study
 from tempora.plans.series_catalogue import OUTLIER_CODES, REFERENCE_CODE
 from tempora.plans.study import round_doubles
+from tempora.session import scratch_path
 from tempora.sources import fixtures
 from tempora.sources.ingest import ingest
-from tempora.session import scratch_path
-from tempora.plans import keyed
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 RECENT_SINCE = "2000-01-01"
