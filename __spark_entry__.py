@@ -241,6 +241,20 @@ def q_user_rolling_metrics(spark, sf):
                                                hot_threshold=1_000_000))
 
 
+def q_block_window_equiv(spark, sf):
+    """Self-check at full size: the keyed metrics over every user of ``events``
+    by both window strategies (keyed windows / range-numbered ordered blocks
+    for every user); rows in one result and not the other are counted."""
+    ev = fixtures.read_table(spark, sf, "events")
+    args = (["user_id"], ["ts", "event_id"], "value")
+    a = round_doubles(keyed.rolling_metrics(ev, *args, block_rows=None, value_scale=2))
+    b = round_doubles(keyed.rolling_metrics(ev, *args, block_rows=512, value_scale=2))
+    diff = a.exceptAll(b).unionByName(b.exceptAll(a))
+    return (a.agg(F.count("*").alias("linhas_keyed"))
+            .withColumn("linhas_blocos", b.agg(F.count("*")).scalar())
+            .withColumn("diferentes", diff.agg(F.count("*")).scalar()))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # phase 1: sources + cleaning
@@ -299,6 +313,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "documented_tables": q_documented_tables,
         # phase 8: keyed / scale variants
         "user_rolling_metrics": q_user_rolling_metrics,
+        "block_window_equiv": q_block_window_equiv,
     }
 
 
@@ -306,4 +321,6 @@ def oracle_sql() -> dict[str, str]:
     q = O.all_sql(RECENT_SINCE, erf_series_text)
     q["sql_gaps"] = q["dq_gaps"]
     q["sql_publication_lag"] = q["dq_lag"]
+    q["block_window_equiv"] = ("SELECT COUNT(*) AS linhas_keyed, COUNT(*) AS linhas_blocos, "
+                               "CAST(0 AS BIGINT) AS diferentes FROM events")
     return q
