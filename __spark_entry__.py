@@ -64,8 +64,7 @@ def _gold_tables(spark, sf):
 def q_bronze_roundtrip(spark, sf):
     """Render the six raw files as JSON lines / CSV into a scratch folder,
     read them back as all-string text with lineage, stack them."""
-    landing = scratch_path(spark, "landing")
-    paths = fixtures.render_landing(spark, sf, landing)
+    _, paths = study.landing(spark, sf)
     parts = []
     from tempora.plans.series_catalogue import SERIES
     for s in SERIES:
@@ -85,8 +84,7 @@ def q_manifest_check(spark, sf):
     raw tables (file count and bytes each)."""
     from tempora.plans.series_catalogue import SERIES
     from tempora.sources.ingest import manifest
-    landing = scratch_path(spark, "landing")
-    fixtures.render_landing(spark, sf, landing)
+    landing, _ = study.landing(spark, sf)
     return manifest(spark, landing, [s.table for s in SERIES]).drop("presente")
 
 

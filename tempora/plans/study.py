@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 from tempora.plans import gold
 from tempora.plans.series_catalogue import RANGE_BOUNDS
-from tempora.session import cut_lineage
-from tempora.sources.fixtures import bronze_long
+from tempora.session import cut_lineage, scratch_path
+from tempora.sources.fixtures import bronze_long, render_landing
 
 
 _MEMO: dict = {}
@@ -28,6 +28,15 @@ def _memo(spark: SparkSession, key: tuple, build):
     return _MEMO[k]
 
 
+def landing(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, str]]:
+    """The six raw files rendered once per session into the shared folder:
+    ``(landing folder, table -> folder)``."""
+    def build():
+        folder = scratch_path(spark, "landing")
+        return folder, render_landing(spark, sf_dir, folder)
+    return _memo(spark, ("landing", sf_dir), build)
+
+
 def silver(spark: SparkSession, sf_dir: str, materialise: bool = True) -> tuple[DataFrame, DataFrame]:
     """Silver layer; by default materialised in the shared checkpoint folder
     (the layer boundary the study writes as a table)."""
