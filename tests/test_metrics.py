@@ -102,3 +102,26 @@ def test_vol_min_periods(spark):
                        vol_min_periods=21).orderBy("data").collect()
     assert all(r.vol_21d_anual_pct is None for r in w[:21])
     assert all(r.vol_21d_anual_pct is not None for r in w[21:])
+
+
+def test_quantile_exact_equals_approx_on_small_groups(spark):
+    import random
+    random.seed(3)
+    df = spark.createDataFrame([(random.randint(0, 2), random.uniform(0, 100)) for _ in range(900)], "g int, x double")
+    got = df.groupBy("g").agg(M.quantile("x", [1 / 3, 2 / 3, 0.95]).alias("a"),
+                              M.quantile("x", [1 / 3, 2 / 3, 0.95], exact=True).alias("e")).collect()
+    assert all(list(r.a) == list(r.e) for r in got)
+
+
+def test_round_exact_resolves_decimal_ties_half_up(spark):
+    df = spark.createDataFrame([(1.000050,), (2.123450,), (0.000049,), (None,)], "x double")
+    got = [r.y for r in df.select(M.round_exact("x", 4).alias("y")).collect()]
+    assert got == [1.0001, 2.1235, 0.0, None]
+
+
+def test_range_partitions_from_plan_size(spark):
+    from tempora.operators.windows import range_partitions
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    small = spark.range(10)
+    assert range_partitions(small) == base
+    assert range_partitions(small, target_bytes=1) >= base
