@@ -253,7 +253,27 @@ def q_block_window_equiv(spark, sf):
             .withColumn("diferentes", diff.agg(F.count("*")).scalar()))
 
 
+def _corpus():
+    """The corpus operators' queries and SQL, and the pipeline; empty where
+    that subpackage is not installed."""
+    try:
+        import corpus_pipeline
+        from tempora.llm import queries as corpus
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "tempora.llm", "tempora.llm.queries"):
+            raise
+        return {}, {}
+    sql = corpus.oracle_sql()
+    if corpus_pipeline.ORACLE_SQL:
+        sql = {**sql, "pipeline": corpus_pipeline.ORACLE_SQL}
+    return {**corpus.queries(), "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _study_queries() | _corpus()[0]
+
+
+def _study_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # phase 1: sources + cleaning
         "bronze_roundtrip": q_bronze_roundtrip,
@@ -321,4 +341,4 @@ def oracle_sql() -> dict[str, str]:
     q["sql_publication_lag"] = q["dq_lag"]
     q["block_window_equiv"] = ("SELECT COUNT(*) AS linhas_keyed, COUNT(*) AS linhas_blocos, "
                                "CAST(0 AS BIGINT) AS diferentes FROM events")
-    return q
+    return q | _corpus()[1]
