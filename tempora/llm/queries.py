@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tempora.llm.decontaminate import op7_decontamination
+from tempora.llm.jaccard import op1_ngram_jaccard
 from tempora.llm.langid import op9_langid
 from tempora.llm.mixing import op3_mixing
 from tempora.llm.sharding import op5_sharding
@@ -10,6 +11,7 @@ from tempora.llm.sharding import op5_sharding
 
 def queries() -> dict:
     return {
+        "op1_ngram_jaccard": op1_ngram_jaccard,
         "op3_mixing": op3_mixing,
         "op5_sharding": op5_sharding,
         "op7_decontamination": op7_decontamination,
