@@ -45,10 +45,10 @@ MINIMA, ROUNDS = 3, 3
 #: Members of a part, whose similarities are taken at once.
 PART = 256
 #: Tokens that at most can be frequent: those above 1 / FREQUENT of all.
-FREQUENT = 1_000_000
+FREQUENT = 4_000_000
 #: Texts of one slice that share a token, for it to be counted.
-SEEN = 4
-POSTING = np.dtype([("token", "<u8"), ("group", "<i8"), ("n", "<i4")])
+SEEN = 2
+POSTING = np.dtype([("token", "<u8"), ("group", "<i8"), ("n", "<i4"), ("place", "<i4")])
 #: Tokens of an opened part whose matrix columns are in memory at once.
 COLUMNS = 4096
 
@@ -136,7 +136,7 @@ def describe(docs: DataFrame, rule: Rule) -> DataFrame:
 
 def frequent_tokens(rows: DataFrame) -> np.ndarray:
     total = rows.filter("kind = 0").agg(F.sum("n")).first()[0] or 0
-    least = max(8 * SEEN, total // FREQUENT)
+    least = max(16, total // FREQUENT)
     got = rows.filter("kind = 1").groupBy("sig").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("sig").toArrow()
     return np.sort(got.column("sig").to_numpy().astype(np.int64).view(U64))
 
@@ -252,7 +252,7 @@ def postings(docs: DataFrame, classes: DataFrame, rule: Rule, often: np.ndarray,
                     s = np.concatenate((s[~hot], s[hot]))
                 p = s[:rule.prefix(len(s))]
                 r = np.empty(len(p), POSTING)
-                r["token"], r["group"], r["n"] = p, root, len(s)
+                r["token"], r["group"], r["n"], r["place"] = p, root, len(s), np.arange(len(p))
                 rows.append(r)
             if rows:
                 flat = np.concatenate(rows)
@@ -265,7 +265,9 @@ def postings(docs: DataFrame, classes: DataFrame, rule: Rule, often: np.ndarray,
 
 
 def overlaps(matrix: DataFrame, rule: Rule) -> DataFrame:
-    """(x, y, shared): pairs of groups, x < y, of fitting sizes, and how many tokens their unions share."""
+    """(x, y, shared, px, py): pairs of groups, x < y, of fitting sizes, how
+    many tokens their unions share, and the place of the last of them in
+    either order (exact for groups of one)."""
     def run(t: pa.Table) -> pa.Table:
         r = unpack(t, POSTING)
         r = r[np.lexsort((r["group"], r["token"]))]
@@ -278,34 +280,37 @@ def overlaps(matrix: DataFrame, rule: Rule) -> DataFrame:
             first = np.flatnonzero(np.concatenate(([True], (r["token"][1:] != r["token"][:-1]) | (r["group"][1:] != r["group"][:-1]))))
             n = r["n"].astype(np.int64)
             lo, hi = np.minimum.reduceat(n, first) * rule.percent, np.maximum.reduceat(n, first) * 100
-            token, g = r["token"][first], r["group"][first]
+            token, g, place = r["token"][first], r["group"][first], r["place"][first].astype(np.int64)
             cut = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
             run_ = np.diff(np.append(cut, len(g)))
             after = np.repeat(cut + run_, run_) - np.arange(len(g)) - 1  # later groups of the token
             at, d, held = np.flatnonzero(after > 0), 1, 0
             while len(at):  # every group against the d-th later one
                 ok = (hi[at + d] >= lo[at]) & (hi[at] >= lo[at + d])
-                out.append(np.column_stack((g[at[ok]], g[at[ok] + d])))
+                i, j = at[ok], at[ok] + d
+                out.append(np.column_stack((g[i], g[j], np.ones(len(i), np.int64), place[i], place[j])))
                 held += len(out[-1])
                 if held > 2_000_000:
                     out, held = [_sum(out)], 0
                 d += 1
                 at = at[after[at] >= d]
         pairs = _sum(out)
-        return pa.table({"x": pa.array(pairs[:, 0]), "y": pa.array(pairs[:, 1]), "shared": pa.array(pairs[:, 2])})
+        return pa.table({c: pa.array(pairs[:, i]) for i, c in enumerate(("x", "y", "shared", "px", "py"))})
 
-    got = matrix.groupBy("bucket").applyInArrow(run, "x long, y long, shared long")
-    return got.groupBy("x", "y").agg(F.sum("shared").alias("shared"))
+    got = matrix.groupBy("bucket").applyInArrow(run, "x long, y long, shared long, px long, py long")
+    return got.groupBy("x", "y").agg(F.sum("shared").alias("shared"), F.max("px").alias("px"), F.max("py").alias("py"))
 
 
 def _sum(parts: list[np.ndarray]) -> np.ndarray:
-    """Rows (x, y) or (x, y, count), summed up by (x, y)."""
+    """Rows (x, y, count, place, place) brought together by (x, y)."""
     if not parts:
-        return np.zeros((0, 3), np.int64)
-    rows = np.concatenate([p if p.shape[1] == 3 else np.column_stack((p, np.ones(len(p), np.int64))) for p in parts])
+        return np.zeros((0, 5), np.int64)
+    rows = np.concatenate(parts)
     rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-    cut = np.flatnonzero(np.concatenate(([True], (rows[1:, :2] != rows[:-1, :2]).any(1))))
-    return np.column_stack((rows[cut, :2], np.add.reduceat(rows[:, 2], cut)))
+    cut = np.flatnonzero(np.concatenate((np.ones(min(1, len(rows)), bool), (rows[1:, :2] != rows[:-1, :2]).any(1))))
+    if not len(cut):
+        return rows
+    return np.column_stack((rows[cut, :2], np.add.reduceat(rows[:, 2], cut), np.maximum.reduceat(rows[:, 3:], cut, axis=0)))
 
 
 # ------------------------------------------------------------------- the join
@@ -354,12 +359,16 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     # 2. the matrix: pairs of groups that could hold a link
     groups = grouped.groupBy("root").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("size"))
     groups = materialise(groups, "jaccard-groups")
-    gx = groups.select(F.col("root").alias("x"), F.col("lo").alias("lx"), F.col("hi").alias("hx"))
-    gy = groups.select(F.col("root").alias("y"), F.col("lo").alias("ly"), F.col("hi").alias("hy"))
+    gx = groups.select(F.col("root").alias("x"), F.col("lo").alias("lx"), F.col("hi").alias("hx"), F.col("size").alias("cx"))
+    gy = groups.select(F.col("root").alias("y"), F.col("lo").alias("ly"), F.col("hi").alias("hy"), F.col("size").alias("cy"))
     rest = lambda c: F.ceil(F.col(c) * percent / 100) - 1  # noqa: E731  tokens beyond the prefix
-    need = F.ceil((F.col("lx") + F.col("ly")) * percent / (100 + percent)) - F.greatest(rest("hx"), rest("hy"))
+    # what can still follow: of two sets, the tokens after their last common prefix token;
+    # of larger groups, those beyond a member's prefix
+    after = (F.when((F.col("cx") == 1) & (F.col("cy") == 1), F.least(F.col("lx") - 1 - F.col("px"), F.col("ly") - 1 - F.col("py")))
+             .otherwise(F.greatest(rest("hx"), rest("hy"))))
+    need = F.ceil((F.col("lx") + F.col("ly")) * percent / (100 + percent))
     pairs = (overlaps(postings(docs, grouped, rule, often, tokens), rule)
-             .join(gx, "x").join(gy, "y").filter(F.col("shared") >= need).select("x", "y"))
+             .join(gx, "x").join(gy, "y").filter(F.col("shared") + after >= need).select("x", "y"))
     pairs = materialise(pairs, "jaccard-pairs")
 
     # 3. open them: pivots first, then all members of those still apart
