@@ -5,16 +5,17 @@ with equal sets are one class. The join then runs on classes:
 
 1. *Groups.* Classes whose minima under three hash orders agree are put
    together (in parts of bounded size), their exact similarities are taken
-   within each part, and linked ones become one group with a pivot; pivots are
-   grouped again under other orders. Similar documents so end up in few
-   groups, and a huge family of near copies costs no more than its parts.
+   within each part, and similar ones (well below a link) become one group
+   with a pivot; pivots are grouped again under other orders. Links within a
+   group are looked for among the members of a part and with its pivot.
 2. *Matrix.* Each group stores the union of its members' prefix tokens, dealt
    out by token. Under one global order (hash, with frequent tokens last), two
    sets that are similar enough share tokens of their prefixes; a pair of
    groups is opened only if its overlap in the matrix reaches the least
    overlap that two of their members need (an upper bound, so no link is lost).
-3. *Opening.* Pairs of groups are first checked by their pivots, and those
-   that are not yet connected by all their members, in parts of bounded size.
+3. *Opening.* Pairs of groups are first checked by their pivots; then all
+   members of a pair, and of each group, meet in parts of bounded size, but
+   for parts that are wholly in one component already.
 
 Frequent tokens are counted over all documents; at most ``FREQUENT`` can reach
 their share of all tokens, so their table has a proven bound. They only change
@@ -42,8 +43,12 @@ from tempora.llm.text import (BYTE_CODE_LOWER, U64, WORD, RollingHash, attach, b
 
 #: Orders whose minima make a group key, and rounds of grouping with other orders.
 MINIMA, ROUNDS = 3, 3
+#: Similarity that makes a group, in percent of that of a link.
+NEAR = 65
 #: Members of a part, whose similarities are taken at once.
 PART = 256
+#: Pivots of the largest groups that all pivots of a key with many parts meet.
+HUBS = 16
 #: Tokens that at most can be frequent: those above 1 / FREQUENT of all.
 FREQUENT = 4_000_000
 #: Texts of one slice that share a token, for it to be counted.
@@ -184,13 +189,14 @@ def similar(tokens: list[np.ndarray], sizes: np.ndarray, rule: Rule) -> np.ndarr
     return link
 
 
-def forest(link: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
-    """(id, smallest id it reaches) for every node that reaches a smaller one."""
+def forest(link: np.ndarray, ids: np.ndarray) -> list[tuple[int, int, int]]:
+    """(id, smallest id it reaches, number of links) for every linked node."""
+    most = np.iinfo(np.int64).max
     root = ids.copy()
     while True:
-        least = np.minimum(root, np.where(link, root[None, :], np.iinfo(np.int64).max).min(1, initial=np.iinfo(np.int64).max))
+        least = np.minimum(root, np.where(link, root[None, :], most).min(1, initial=most))
         if (least == root).all():
-            return [(int(a), int(r)) for a, r in zip(ids, root) if a != r]
+            return [(int(a), int(r), int(n)) for a, r, n in zip(ids, root, link.sum(1)) if n]
         root = least
 
 
@@ -204,9 +210,8 @@ def _table(t: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
 EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
 
 
-def _edges(rows: list[tuple[int, int]]) -> pa.Table:
-    return pa.table({"a": pa.array([x[0] for x in rows], pa.int64()), "b": pa.array([x[1] for x in rows], pa.int64()),
-                     "links": pa.array([1] * len(rows), pa.int64())}, schema=EDGES)
+def _edges(rows: list[tuple[int, int, int]]) -> pa.Table:
+    return pa.table({c: pa.array([x[i] for x in rows], pa.int64()) for i, c in enumerate(EDGES.names)}, schema=EDGES)
 
 
 def link_parts(members: DataFrame, rule: Rule) -> DataFrame:
@@ -219,13 +224,10 @@ def link_parts(members: DataFrame, rule: Rule) -> DataFrame:
 
 
 def open_parts(sides: DataFrame, rule: Rule) -> DataFrame:
-    """Edges between the two sides of each opened pair (x, y, sx, sy, side, sig, n, tokens)."""
+    """Edges among the members of each opened pair of parts (x, y, sx, sy, sig, n, tokens)."""
     def run(t: pa.Table) -> pa.Table:
         ids, sizes, tokens = _table(t)
-        left = t.column("sig").to_numpy()[t.column("side").to_numpy() == 0]
-        side = np.isin(ids, left)
-        link = similar(tokens, sizes, rule) & (side[:, None] != side[None, :])
-        return _edges(forest(link, ids))
+        return _edges(forest(similar(tokens, sizes, rule), ids) if len(ids) > 1 else [])
 
     return sides.groupBy("x", "y", "sx", "sy").applyInArrow(run, "a long, b long, links long")
 
@@ -314,16 +316,69 @@ def _sum(parts: list[np.ndarray]) -> np.ndarray:
 
 
 # ------------------------------------------------------------------- the join
-def _rooted(classes: DataFrame, edges: DataFrame, on: str = "root") -> DataFrame:
-    """``classes`` with the root that ``edges`` between old roots give."""
-    cc = components(edges, "a", "b").withColumnRenamed("root", "_new")
-    return materialise(classes.join(cc, classes[on] == cc.node, "left").withColumn("root", F.coalesce("_new", on)).drop("node", "_new"), "jaccard-roots")
+def _rooted(groups: DataFrame, edges: DataFrame) -> DataFrame:
+    """(sig, ..., root) after the roots that ``edges`` join become one group;
+    its new root is the class with most links, which a family of copies of
+    one text needs to stay together."""
+    cc = components(edges, "a", "b")
+    links = edges.groupBy(F.col("a").alias("node")).agg(F.max("links").alias("_l"))
+    cc = materialise(cc.join(links, "node", "left").withColumn("_l", F.coalesce("_l", F.lit(0))), "jaccard-merged")
+    pivot = cc.groupBy("root").agg(F.max_by("node", F.struct("_l", "node")).alias("_new"))
+    cc = cc.join(pivot, "root").select("node", "_new")
+    return materialise(groups.join(cc, groups["root"] == cc.node, "left").withColumn("root", F.coalesce("_new", "root")).drop("node", "_new"), "jaccard-roots")
+
+
+def regroup(grouped: DataFrame, held: DataFrame, r: int, rule: Rule) -> DataFrame:
+    """One round of grouping by the ``r``-th keys of the pivots. A key with
+    more than ``PART`` pivots is dealt into parts at random; then all its
+    pivots meet those of its largest groups."""
+    for again in (False, True):
+        size = grouped.groupBy("root").agg(F.count("*").alias("_size"))
+        pivots = grouped.filter("sig = root").select("sig", "root", F.col("keys")[r].alias("part")).join(size, "root")
+        count = pivots.groupBy("part").agg(F.count("*").alias("_c")).filter(F.col("_c") > (PART if again else 1))
+        if again and count.isEmpty():
+            break
+        salted = materialise(pivots.join(count, "part").withColumn("salt", F.pmod(F.xxhash64("sig", F.lit(r)), F.ceil(F.col("_c") / PART)))
+                             .select(F.col("sig").alias("_sig"), "part", "salt", "_size"), "jaccard-pivots")
+        meet = salted.select("_sig", "part", "salt")
+        if again:
+            hubs = salted.groupBy("part", (F.col("salt") % HUBS).alias("_h")).agg(F.max_by("_sig", F.struct("_size", "_sig")).alias("_sig"))
+            meet = meet.unionByName(salted.select("part", "salt").distinct().join(hubs, "part").select("_sig", "part", "salt"))
+        edges = materialise(link_parts(attach(held, materialise(meet, "jaccard-meet"), lambda h, s: h.sig == s["_sig"]), rule), "jaccard-links")
+        if not edges.isEmpty():
+            grouped = _rooted(grouped, edges)
+    return grouped
+
+
+def within(grouped: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
+    """Exact links inside each group, as far as they show among the members of
+    a part and with the group's pivot: linear in the group's size."""
+    big = grouped.groupBy("root").agg(F.count("*").alias("_c")).filter("_c > 1")
+    parts = F.ceil(F.col("_c") / PART)
+    m = grouped.join(big, "root").withColumn("salt", F.pmod(F.xxhash64("sig"), parts))
+    meet = m.select(F.col("sig").alias("_sig"), F.col("root").alias("part"), "salt").unionByName(
+        m.filter("sig = root").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+        .select(F.col("sig").alias("_sig"), F.col("root").alias("part"), "salt"))
+    meet = materialise(meet, "jaccard-within")
+    return materialise(link_parts(attach(held, meet, lambda h, s: h.sig == s["_sig"]), rule), "jaccard-inner-links")
+
+
+def parts_of(members: DataFrame) -> DataFrame:
+    """(sig, g, comp, part, pure): the members of each group g in parts of about
+    ``PART``. A component with that many members has parts of its own
+    (``pure`` is its root there), the others share parts."""
+    cell = members.groupBy("g", "comp").agg(F.count("*").alias("_n"))
+    cell = cell.withColumn("pure", F.when(F.col("_n") >= PART, F.col("comp")))
+    pool = cell.filter("pure is null").groupBy("g").agg(F.sum("_n").alias("_pool"))
+    m = members.join(cell, ["g", "comp"]).join(pool, "g", "left")
+    n = F.ceil(F.coalesce(F.when(F.col("pure").isNull(), F.col("_pool")), F.col("_n")) / PART)
+    return m.select("sig", "g", "comp", "pure", F.xxhash64("pure", F.pmod(F.xxhash64("sig"), n)).alias("part"))
 
 
 def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, class_id (the smallest doc_id with an equal set)
     and component_id (the smallest doc_id reachable by links) per document."""
-    rule = Rule(words, percent)
+    rule, near = Rule(words, percent), Rule(words, percent * NEAR // 100)
     rows = describe(docs, rule)
     often = frequent_tokens(rows)
     sets = rows.filter("kind = 0")
@@ -331,30 +386,19 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
                                                                   F.first("keys").alias("keys")), "jaccard-classes")
     tokens = classes.agg(F.sum("n")).first()[0] or 0
 
-    # 1. groups, round by round; only pivots (roots) go on
+    # 1. groups of similar classes, round by round, and the links that show within them
     grouped = classes.withColumn("root", F.col("sig"))
-    shared_keys = None
+    alike = None
     for r in range(ROUNDS):
         key = F.col("keys")[r]
         k = classes.select(key.alias("part")).groupBy("part").count().filter("count > 1").select("part")
         k = classes.select("sig", "rep", key.alias("part")).join(k, "part", "left_semi").select("sig", "rep")
-        shared_keys = k if shared_keys is None else shared_keys.unionByName(k)
-    wanted = materialise(shared_keys.distinct(), "jaccard-shared")
+        alike = k if alike is None else alike.unionByName(k)
+    wanted = materialise(alike.distinct(), "jaccard-shared")
     held = whole_sets(docs, wanted, rule, "jaccard-held")
     for r in range(ROUNDS):
-        while True:
-            pivots = grouped.filter("sig = root").select("sig", F.col("keys")[r].alias("part"))
-            count = pivots.groupBy("part").agg(F.count("*").alias("_c")).filter("_c > 1")
-            parts = F.ceil(F.col("_c") / PART)
-            salted = (pivots.join(count, "part")
-                      .withColumn("salt", F.pmod(F.xxhash64("sig", F.lit(r)), parts)))
-            salted = materialise(salted.select(F.col("sig").alias("_sig"), "part", "salt"), "jaccard-pivots")
-            edges = materialise(link_parts(attach(held, salted, lambda h, s: h.sig == s["_sig"]), rule), "jaccard-links")
-            if edges.isEmpty():
-                break
-            grouped = _rooted(grouped, edges)
-            if count.filter(F.col("_c") > PART).isEmpty():
-                break
+        grouped = regroup(grouped, held, r, near)
+    edges = within(grouped, held, rule).select("a", "b")
 
     # 2. the matrix: pairs of groups that could hold a link
     groups = grouped.groupBy("root").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("size"))
@@ -371,45 +415,45 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
              .join(gx, "x").join(gy, "y").filter(F.col("shared") + after >= need).select("x", "y"))
     pairs = materialise(pairs, "jaccard-pairs")
 
-    # 3. open them: pivots first, then all members of those still apart
+    # 3. open them: pivots first
     reps = grouped.select("sig", "rep", "root")
     both = pairs.select(F.col("x").alias("root")).unionByName(pairs.select(F.col("y").alias("root"))).distinct()
     need_sets = reps.join(both, "root", "left_semi").join(wanted.select("sig"), "sig", "left_anti")
     held = held.unionByName(whole_sets(docs, materialise(need_sets, "jaccard-wanted"), rule, "jaccard-opened"))
-    one = F.lit(0).cast("long")
-    sides = lambda p, member: (
-        p.select("x", "y", F.col("x").alias("g"), F.lit(0).alias("side")).unionByName(p.select("x", "y", F.col("y").alias("g"), F.lit(1).alias("side")))
-        .join(member, "g").join(held, "sig"))
-    first = sides(pairs, reps.select(F.col("root").alias("g"), F.col("root").alias("sig")).distinct())
-    edges = materialise(open_parts(first.withColumn("sx", one).withColumn("sy", one), rule), "jaccard-opened-pivots")
-    joined = _rooted(groups.select("root", F.col("root").alias("group"), "size"), edges)
-    where = joined.select(F.col("group").alias("g"), F.col("root").alias("now"), "size")
-    apart = (pairs.join(where.select(F.col("g").alias("x"), F.col("now").alias("nx"), F.col("size").alias("cx")), "x")
-             .join(where.select(F.col("g").alias("y"), F.col("now").alias("ny"), F.col("size").alias("cy")), "y")
-             .filter((F.col("nx") != F.col("ny")) & (F.col("cx") + F.col("cy") > 2)))
-    # every part of x meets every part of y
-    apart = (apart.withColumn("px", F.ceil(F.col("cx") / PART)).withColumn("py", F.ceil(F.col("cy") / PART))
-             .withColumn("sx", F.explode(F.sequence(F.lit(0).cast("long"), F.col("px") - 1)))
-             .withColumn("sy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("py") - 1))))
-    apart = materialise(apart.select("x", "y", "sx", "sy", "px", "py"), "jaccard-apart")
-    member = reps.select(F.col("root").alias("g"), "sig")
-    mine = lambda g, s, p, side: (
-        apart.withColumn("g", F.col(g)).withColumn("side", F.lit(side)).join(member, "g")
-        .filter(F.pmod(F.xxhash64("sig"), F.col(p)) == F.col(s)).select("x", "y", "sx", "sy", "side", "sig"))
-    rest_sides = mine("x", "sx", "px", 0).unionByName(mine("y", "sy", "py", 1)).join(held, "sig")
-    late = materialise(open_parts(rest_sides, rule), "jaccard-opened-members")
-    to_group = reps.select("sig", F.col("root").alias("group"))
-    late = (late.join(to_group.select(F.col("sig").alias("a"), F.col("group").alias("ga")), "a")
-            .join(to_group.select(F.col("sig").alias("b"), F.col("group").alias("gb")), "b").select(F.col("ga").alias("a"), F.col("gb").alias("b")))
-    final = components(edges.select("a", "b").unionByName(late), "a", "b").withColumnRenamed("root", "_new")
-    out = reps.join(final, reps.root == final.node, "left").select("sig", F.coalesce("_new", "root").alias("root"))
+    side = lambda c, i: pairs.select("x", "y", F.lit(0).alias("sx"), F.lit(0).alias("sy"), F.lit(i).alias("side"), F.col(c).alias("_sig"))
+    sides = materialise(side("x", 0).unionByName(side("y", 1)), "jaccard-sides")
+    edges = edges.unionByName(materialise(open_parts(attach(held, sides, lambda h, s: h.sig == s["_sig"]), rule), "jaccard-opened-pivots").select("a", "b"))
+
+    # then every part of a group against every part of the other, or of its own, but for parts of one component
+    now = materialise(components(edges, "a", "b"), "jaccard-connected")
+    big = groups.filter("size > 1").select(F.col("root").alias("x"), F.col("root").alias("y"))
+    some = groups.filter("size > 1").select("root")
+    more = pairs.join(some.select(F.col("root").alias("x")), "x", "left_semi").select("x", "y").unionByName(
+        pairs.join(some.select(F.col("root").alias("y")), "y", "left_semi").select("x", "y")).distinct().unionByName(big)
+    member = reps.join(now.withColumnRenamed("root", "_comp"), reps.sig == F.col("node"), "left")
+    member = member.select("sig", F.col("root").alias("g"), F.coalesce("_comp", "sig").alias("comp"))
+    member = materialise(parts_of(member), "jaccard-parts")
+    part = member.groupBy("g", "part", "pure").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+    px = part.select(F.col("g").alias("x"), F.col("part").alias("sx"), F.col("c0").alias("x0"), F.col("c1").alias("x1"))
+    py = part.select(F.col("g").alias("y"), F.col("part").alias("sy"), F.col("c0").alias("y0"), F.col("c1").alias("y1"))
+    meet = (more.join(px, "x").join(py, "y").filter((F.col("x") != F.col("y")) | (F.col("sx") <= F.col("sy")))
+            .filter(~((F.col("x0") == F.col("x1")) & (F.col("y0") == F.col("y1")) & (F.col("x0") == F.col("y0")))).select("x", "y", "sx", "sy"))
+    meet = materialise(meet, "jaccard-meet")
+    mine = lambda g, s, i: meet.join(member, (F.col(g) == F.col("g")) & (F.col(s) == F.col("part"))).select(
+        "x", "y", "sx", "sy", F.lit(i).alias("side"), F.col("sig").alias("_sig"))
+    last = materialise(mine("x", "sx", 0).unionByName(mine("y", "sy", 1)).distinct(), "jaccard-members")
+    late = materialise(open_parts(attach(held, last, lambda h, s: h.sig == s["_sig"]), rule), "jaccard-opened-members").select("a", "b")
+
+    final = components(now.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(late), "a", "b").withColumnRenamed("root", "_new")
+    out = reps.select("sig").join(final, F.col("sig") == final.node, "left").select("sig", F.coalesce("_new", "sig").alias("root"))
     out = materialise(out, "jaccard-components")
     ids = classes.select("sig", F.col("rep").alias("class_id")).join(out, "sig")
     least = ids.groupBy("root").agg(F.min("class_id").alias("component_id"))
     ids = ids.join(least, "root").select("sig", "class_id", "component_id")
+    full = F.col("n_shingles") > 0
     return (sets.select("doc_id", F.col("n").alias("n_shingles"), "sig").join(ids, "sig", "left")
-            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-                    F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id")))
+            .select("doc_id", "n_shingles", F.when(full, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+                    F.when(full, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id")))
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
