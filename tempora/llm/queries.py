@@ -5,17 +5,21 @@ from __future__ import annotations
 from tempora.llm.decontaminate import op7_decontamination
 from tempora.llm.jaccard import op1_ngram_jaccard
 from tempora.llm.langid import op9_langid
+from tempora.llm.line_dedup import op10_line_dedup
 from tempora.llm.mixing import op3_mixing
 from tempora.llm.sharding import op5_sharding
+from tempora.llm.suffix_dedup import op4_suffix_dedup
 
 
 def queries() -> dict:
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
         "op3_mixing": op3_mixing,
+        "op4_suffix_dedup": op4_suffix_dedup,
         "op5_sharding": op5_sharding,
         "op7_decontamination": op7_decontamination,
         "op9_langid": op9_langid,
+        "op10_line_dedup": op10_line_dedup,
     }
 
 
