@@ -233,6 +233,21 @@ def sorted_buckets(pieces: DataFrame, length: int, buckets: int) -> DataFrame:
             .applyInArrow(run, "key long, start long, stop long"))
 
 
+def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each key's sorted spans, overlapping and touching ones as one."""
+    for b in batches:
+        lists = column(b, "spans")
+        flat = lists.flatten()
+        start, stop = flat.field("start").to_numpy(), flat.field("stop").to_numpy()
+        cut = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        out = []
+        for i, j in zip(cut[:-1], cut[1:]):
+            reach = np.maximum.accumulate(stop[i:j])
+            new = np.flatnonzero(np.concatenate(([True], start[i + 1:j] > reach[:-1])))
+            out.append([{"start": x, "stop": y} for x, y in zip(start[i:j][new].tolist(), reach[np.append(new[1:], j - i) - 1].tolist())])
+        yield pa.RecordBatch.from_arrays([column(b, "key"), pa.array(out, lists.type)], names=["key", "spans"])
+
+
 def find(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per text key with anything to remove: key, whole, spans (start, stop)."""
     size = docs.agg(F.sum(F.length(F.col("text").cast("binary")))).first()[0] or 0
@@ -247,6 +262,7 @@ def find(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     late = sorted_buckets(pieces, length, buckets_for(n_open, RUNS_PER_BUCKET))
     spans = found.filter("same").select("key", "start", (F.col("start") + F.col("n") - 1 + length).alias("stop")).unionByName(late)
     spans = spans.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
+    spans = spans.mapInArrow(joined, "key long, spans array<struct<start:bigint,stop:bigint>>")
     # a text that stands twice goes as a whole; the others by their spans
     whole = texts.filter("copies > 1").select("key", F.lit(True).alias("whole"), F.lit(None).cast("array<struct<start:bigint,stop:bigint>>").alias("spans"))
     part = spans.join(texts.filter("copies > 1").select("key"), "key", "left_anti").select("key", F.lit(False).alias("whole"), "spans")
