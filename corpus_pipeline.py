@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tempora.llm.decontaminate import clean_documents
+from tempora.llm.jaccard import unique_documents
 from tempora.llm.langid import accepted_documents
 from tempora.llm.mixing import mixed_documents
 from tempora.llm.sharding import sharded_documents
@@ -21,6 +22,11 @@ def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return accepted_documents(docs)
 
 
+def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays (five-word shingles, similarity 0.8)."""
+    return unique_documents(docs)
+
+
 def stage_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
     return clean_documents(docs, read_documents(spark, sf_dir, "benchmark"))
@@ -38,6 +44,7 @@ def stage_shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language", stage_language),
+    ("near_duplicates", stage_near_duplicates),
     ("benchmark", stage_benchmark),
     ("mix", stage_mix),
     ("shard", stage_shard),

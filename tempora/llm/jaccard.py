@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tempora.llm.components import components
@@ -375,9 +375,9 @@ def parts_of(members: DataFrame) -> DataFrame:
     return m.select("sig", "g", "comp", "pure", F.xxhash64("pure", F.pmod(F.xxhash64("sig"), n)).alias("part"))
 
 
-def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, class_id (the smallest doc_id with an equal set)
-    and component_id (the smallest doc_id reachable by links) per document."""
+def clusters(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The documents' sets (doc_id, n, sig), and per class of equal sets (sig)
+    its smallest doc_id (rep) and its component (root)."""
     rule, near = Rule(words, percent), Rule(words, percent * NEAR // 100)
     rows = describe(docs, rule)
     often = frequent_tokens(rows)
@@ -447,14 +447,45 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     final = components(now.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(late), "a", "b").withColumnRenamed("root", "_new")
     out = reps.select("sig").join(final, F.col("sig") == final.node, "left").select("sig", F.coalesce("_new", "sig").alias("root"))
     out = materialise(out, "jaccard-components")
-    ids = classes.select("sig", F.col("rep").alias("class_id")).join(out, "sig")
-    least = ids.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    ids = ids.join(least, "root").select("sig", "class_id", "component_id")
+    return sets, materialise(classes.select("sig", "rep").join(out, "sig"), "jaccard-ids")
+
+
+def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest doc_id reachable by
+    links) and class_id (the smallest doc_id with an equal set) per document."""
+    sets, ids = clusters(docs, words, percent)
+    least = ids.groupBy("root").agg(F.min("rep").alias("component_id"))
+    ids = ids.join(least, "root").select("sig", F.col("rep").alias("class_id"), "component_id")
     full = F.col("n_shingles") > 0
     return (sets.select("doc_id", F.col("n").alias("n_shingles"), "sig").join(ids, "sig", "left")
             .select("doc_id", "n_shingles", F.when(full, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
                     F.when(full, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id")))
 
 
+def unique_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each component, that of the smallest doc_id (of rows
+    that share it and the set, the smallest text); all documents with an empty
+    set. The columns of ``docs``."""
+    rule = Rule(words, percent)
+    sets, ids = clusters(docs, words, percent)
+    first = ids.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("last"), "rep", "sig")).alias("f")).select("f.rep", "f.sig")
+    rows = sets.groupBy("doc_id", "sig").agg(F.count("*").alias("rows"))
+    chosen = first.join(rows, (F.col("doc_id").eqNullSafe(F.col("rep"))) & (rows.sig == first.sig)).select(F.col("rep").alias("_rep"), first.sig.alias("_sig"), "rows")
+    chosen = materialise(chosen.unionByName(rows.filter("sig = 0").select(F.col("doc_id").alias("_rep"), F.col("sig").alias("_sig"), F.lit(1).cast("long").alias("rows"))), "jaccard-chosen")
+    texts = attach(docs.select(F.struct("*").alias("_row"), "doc_id", "text"), chosen, lambda d, c: d.doc_id.eqNullSafe(c["_rep"]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            sig = np.array([signature(s) for s in shingle_sets(column(b, "text"), rule.words)], np.int64)
+            yield b.filter(pa.array(sig == column(b, "_sig").to_numpy()))
+
+    texts = texts.select("_row", "_rep", "_sig", "rows", "text")
+    kept = texts.mapInArrow(run, texts.schema)
+    if chosen.filter("rows > 1").isEmpty():
+        return kept.select("_row.*")
+    again = kept.filter("rows > 1").withColumn("_n", F.row_number().over(Window.partitionBy("_rep", "_sig").orderBy("text"))).filter("_n = 1")
+    return kept.filter("rows = 1").select("_row.*").unionByName(again.select("_row.*"))
+
+
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(read_documents(spark, sf_dir), words=4, percent=85)

@@ -7,17 +7,23 @@ from tempora.llm.jaccard import op1_ngram_jaccard
 from tempora.llm.langid import op9_langid
 from tempora.llm.line_dedup import op10_line_dedup
 from tempora.llm.mixing import op3_mixing
+from tempora.llm.pii import op2_pii
+from tempora.llm.quality import op8_quality
 from tempora.llm.sharding import op5_sharding
 from tempora.llm.suffix_dedup import op4_suffix_dedup
+from tempora.llm.topk import op6_topk
 
 
 def queries() -> dict:
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
+        "op2_pii": op2_pii,
         "op3_mixing": op3_mixing,
         "op4_suffix_dedup": op4_suffix_dedup,
         "op5_sharding": op5_sharding,
+        "op6_topk": op6_topk,
         "op7_decontamination": op7_decontamination,
+        "op8_quality": op8_quality,
         "op9_langid": op9_langid,
         "op10_line_dedup": op10_line_dedup,
     }
