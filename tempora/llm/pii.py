@@ -293,9 +293,11 @@ def labelled_windows(texts: list[str]) -> tuple[list[str], np.ndarray]:
 
 
 def train(docs: DataFrame) -> Tagger | None:
-    """From at most ``TRAIN_TEXTS`` texts with a digit or @, the first by hash."""
-    some = (docs.filter(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("h"))
-            .orderBy("h", "text").limit(TRAIN_TEXTS).select("text"))
+    """From at most ``TRAIN_TEXTS`` texts with a digit or @, the first by
+    hash: the hashes are chosen first, so only the chosen texts move."""
+    some = docs.filter(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("h"))
+    first = some.select("h").distinct().orderBy("h").limit(TRAIN_TEXTS).withColumnRenamed("h", "_h")
+    some = some.join(F.broadcast(first), F.col("h") == F.col("_h")).groupBy("h").agg(F.min("text").alias("text")).orderBy("h").select("text")
     texts, y = labelled_windows([r.text for r in some.toLocalIterator()])
     if not texts:
         return None
