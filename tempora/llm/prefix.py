@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows of a group that one task orders at once.
-ROWS_PER_RANGE = 20_000
+ROWS_PER_RANGE = 4_096
 
 
 def unit(hex_key: Column) -> Column:
