@@ -17,9 +17,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tempora.llm.prefix import prefix_sums
-from tempora.llm.text import materialise, read_documents
+from tempora.llm.text import attach, materialise, read_documents
 
 SEPARATORS = r"[\x20\x09-\x0D]+"
+WORD_ENDS = r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 REPEATS = 2
@@ -91,18 +92,23 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: every document as often as it is taken whole, and the
     one at its source's cut with its first words; the columns of ``docs``."""
-    m = mix(docs).select(F.col("doc_id").alias("_id"), F.col("source").alias("_s"), F.col("_tie").alias("_t"), "epochs", "part", "size")
-    # repeated rows share id, source and text: their takes are dealt out by number
-    by = ["_id", "_s", "_t"]
-    m = m.withColumn("_no", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("part"))))
+    full = (F.col("part") >= F.col("size")) & (F.col("size") > 0)
+    m = mix(docs).select(F.col("doc_id").alias("_id"), F.col("source").alias("_s"), F.col("_tie").alias("_t"),
+                         (F.col("epochs") + F.when(full, 1).otherwise(0)).alias("w"), F.when(~full & (F.col("part") > 0), F.col("part")).alias("p"), "size")
+    # rows that share id, source and text are interchangeable: one of them stands for all
+    m = m.groupBy("_id", "_s", "_t").agg(F.sum(F.when(F.col("size") > 0, F.col("w")).otherwise(0)).alias("whole"), F.collect_list("p").alias("heads"), F.count("*").alias("rows"))
+    m = materialise(m.filter((F.col("whole") > 0) | (F.size("heads") > 0)), "mix-copies")
     text = F.coalesce(F.col("text"), F.lit(""))
     d = docs.select(F.struct("*").alias("_row"), "doc_id", "source", "text", F.md5(text.cast("binary")).alias("_tie"))
-    d = d.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "source", "_tie").orderBy(F.lit(0))))
-    j = d.join(m, d.doc_id.eqNullSafe(m._id) & d.source.eqNullSafe(m._s) & (d._tie == m._t) & (d._n == m._no), "inner")
-    whole = F.col("epochs") + F.when((F.col("part") >= F.col("size")) & (F.col("size") > 0), 1).otherwise(0)
-    cut = (F.col("part") > 0) & (F.col("part") < F.col("size"))
-    copies = F.flatten(F.array(F.array_repeat(F.lit(False), whole.cast("int")), F.when(cut, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))))
-    head = F.expr(r"regexp_extract(text, concat('^[\\x20\\x09-\\x0D]*(?:[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]+){', cast(part - 1 as string), '}[^\\x20\\x09-\\x0D]+'), 0)")
-    out = j.withColumn("_cut", F.explode(copies)).withColumn("text", F.when(F.col("_cut"), head).otherwise(F.col("text")))
+    j = attach(d, m, lambda x, y: x.doc_id.eqNullSafe(y["_id"]) & x.source.eqNullSafe(y["_s"]) & (x["_tie"] == y["_t"]))
+    j = j.select("_row", "text", "whole", "heads", "rows", "_id", "_s", "_t")
+    if not m.filter("rows > 1").isEmpty():
+        one = Window.partitionBy("_id", "_s", "_t").orderBy(F.xxhash64("_row"))
+        j = j.filter("rows = 1").unionByName(j.filter("rows > 1").withColumn("_n", F.row_number().over(one)).filter("_n = 1").drop("_n"))
+    copies = F.concat(F.array_repeat(F.lit(None).cast("long"), F.col("whole").cast("int")), "heads")
+    out = j.withColumn("_cut", F.explode(copies))
+    # pieces that end with a word each, separators kept
+    head = F.array_join(F.slice(F.split("text", WORD_ENDS), 1, F.col("_cut").cast("int")), "")
+    out = out.withColumn("text", F.when(F.col("_cut").isNotNull(), head).otherwise(F.col("text")))
     new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return out.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
