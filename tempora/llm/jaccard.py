@@ -406,10 +406,11 @@ def clusters(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
     gx = groups.select(F.col("root").alias("x"), F.col("lo").alias("lx"), F.col("hi").alias("hx"), F.col("size").alias("cx"))
     gy = groups.select(F.col("root").alias("y"), F.col("lo").alias("ly"), F.col("hi").alias("hy"), F.col("size").alias("cy"))
     rest = lambda c: F.ceil(F.col(c) * percent / 100) - 1  # noqa: E731  tokens beyond the prefix
-    # what can still follow: of two sets, the tokens after their last common prefix token;
-    # of larger groups, those beyond a member's prefix
-    after = (F.when((F.col("cx") == 1) & (F.col("cy") == 1), F.least(F.col("lx") - 1 - F.col("px"), F.col("ly") - 1 - F.col("py")))
-             .otherwise(F.greatest(rest("hx"), rest("hy"))))
+    # what can still follow: tokens beyond the prefix that ends first, and of two
+    # single sets also no more than the tokens after their last common prefix token
+    beyond = F.greatest(rest("hx"), rest("hy"))
+    after = (F.when((F.col("cx") == 1) & (F.col("cy") == 1), F.least(beyond, F.col("lx") - 1 - F.col("px"), F.col("ly") - 1 - F.col("py")))
+             .otherwise(beyond))
     need = F.ceil((F.col("lx") + F.col("ly")) * percent / (100 + percent))
     pairs = (overlaps(postings(docs, grouped, rule, often, tokens), rule)
              .join(gx, "x").join(gy, "y").filter(F.col("shared") + after >= need).select("x", "y"))
