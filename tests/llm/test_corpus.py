@@ -263,8 +263,9 @@ def test_decontamination(spark, docs):
 
 
 def test_quality(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    big = SF.replace("0.001", "0.01")  # enough labelled documents for a rate
+    docs = spark.read.parquet(f"{big}/documents.parquet")
+    labels = spark.read.parquet(f"{big}/labels.parquet")
     got = quality.classify(docs, labels)
     j = got.join(labels, "doc_id")
     good, bad = j.filter("quality = 1 and toxic = 0"), j.filter("quality = 0")
