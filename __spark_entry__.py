@@ -152,7 +152,7 @@ def q_dq_lag(spark, sf):
 def q_dq_outliers(spark, sf):
     d = study.daily(spark, sf)
     return Q.zscore_outliers(
-        d, "indicador", "variacao_pct", OUTLIER_CODES, 5.0, 20,
+        d, "indicador", "variacao_pct", OUTLIER_CODES, 5.0, 20, ties=["indicador", "data"],
         extra=[F.col("indicador"), F.col("data"), round_exact("valor", 4).alias("valor"),
                F.round("variacao_pct", 2).alias("variacao_pct")])
 
@@ -233,10 +233,9 @@ def q_recent_slice(spark, sf):
 
 def q_user_rolling_metrics(spark, sf):
     ev = fixtures.read_table(spark, sf, "events")
-    # users up to 1M events: one keyed window task each; larger (hot) users: ordered blocks
+    # every user, a NULL one included, in ordered blocks of bounded size
     return round_doubles(keyed.rolling_metrics(ev, ["user_id"], ["ts", "event_id"], "value",
-                                               block_rows=100_000, value_scale=2,
-                                               hot_threshold=1_000_000))
+                                               block_rows=100_000, value_scale=2))
 
 
 def q_block_window_equiv(spark, sf):

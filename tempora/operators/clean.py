@@ -60,7 +60,9 @@ def normalise_long(long: DataFrame, specs: Sequence[SeriesSpec], table_col: str
             case(lambda s: _sql_str(s.unit)).alias("unidade")]
     if LINEAGE_TS in long.columns:
         cols.append(F.col(LINEAGE_TS))
-    return long.filter(t.isin([s.table for s in specs])).select(*cols)
+    listed = t.isin([s.table for s in specs])
+    known = F.when(listed, True).otherwise(F.raise_error(F.concat(F.lit("source not in the catalogue: "), F.coalesce(t, F.lit("NULL")))).cast("boolean"))
+    return long.filter(known).select(*cols)
 
 
 def _sql_str(text: str) -> str:

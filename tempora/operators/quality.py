@@ -72,7 +72,7 @@ def orphans(relations: dict[str, tuple[DataFrame, DataFrame, str]]) -> DataFrame
     join), one count per relation."""
     parts = []
     for name, (fact, dim, key) in relations.items():
-        n = (fact.select(key).join(dim.select(key).distinct(), key, "left_anti")
+        n = (fact.select(key).join(dim.select(key), key, "left_anti")
              .agg(F.count("*").alias("orfaos")))
         parts.append(n.select(F.lit(name).alias("relacao"), "orfaos"))
     out = parts[0]
@@ -118,7 +118,7 @@ def publication_lag(series: DataFrame, reference: str, key: str = "indicador",
 
 def zscore_outliers(fact: DataFrame, key: str = "indicador", value: str = "variacao_pct",
                     codes: Sequence[str] | None = None, threshold: float = 5.0,
-                    top: int = 20, extra: Sequence[Column] = ()) -> DataFrame:
+                    top: int = 20, extra: Sequence[Column] = (), ties: Sequence[str] = ()) -> DataFrame:
     """Per-key mean / sample stddev of ``value``; rows with |z| >
     threshold, largest |z| first, top ``top`` (a top-k report: the limit is the
     feature). Per-key stats are one row per key."""
@@ -126,7 +126,7 @@ def zscore_outliers(fact: DataFrame, key: str = "indicador", value: str = "varia
     stats = f.groupBy(key).agg(F.avg(value).alias("_media"), F.stddev_samp(value).alias("_desvio"))
     z = F.try_divide(F.col(value) - F.col("_media"), F.col("_desvio"))
     j = f.join(stats, key, "inner").withColumn("_z", z).filter(F.abs(F.col("_z")) > threshold)
-    return j.orderBy(F.abs(F.col("_z")).desc()).limit(top).select(*extra, F.round("_z", 1).alias("z_score"))
+    return j.orderBy(F.abs(F.col("_z")).desc(), *[F.col(c).asc() for c in ties]).limit(top).select(*extra, F.round("_z", 1).alias("z_score"))
 
 
 def profile(series: DataFrame, keys: Sequence[str] = ("indicador", "unidade"), date: str = "data",

@@ -113,12 +113,8 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket
         per = per.withColumn("_off", F.coalesce(
             F.sum("_cnt").over(w_off.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         per = per.drop("_cnt")
-        # without keys the summary has one row per bucket (bounded by the calendar):
-        # broadcasting it is safe; with keys it grows with the key count -> shuffle join
-        if not keys:
-            per = F.broadcast(per)
         w_in = Window.partitionBy(*keys, "_bkt").orderBy(*order)
-        return (b.join(per, [*keys, "_bkt"], "inner")
+        return (join_null_safe(b, per, [*keys, "_bkt"])
                 .withColumn(rn, F.col("_off") + F.row_number().over(w_in) - 1)
                 .drop("_off"))
     from tempora.session import cut_lineage
@@ -133,13 +129,19 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket
     w_off = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_pid")
     per = per.withColumn("_off", F.coalesce(
         F.sum("_cnt").over(w_off.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_cnt")
-    if not keys:
-        per = F.broadcast(per)   # one row per partition
-    return (s.join(per, ["_pid", *keys], "inner")
+    return (join_null_safe(s, per, ["_pid", *keys])
             .withColumn(rn, F.col("_off") + F.col("_mid") - F.col("_first"))
             .drop("_pid", "_mid", "_first", "_off"))
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join on equal columns, NULL equal to NULL; the columns of ``on``
+    come from the left side. AQE broadcasts the right side where it is small."""
+    r = right.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    cond = [left[c].eqNullSafe(r[f"_on_{c}"]) for c in on]
+    return left.join(r, cond, "inner").drop(*[f"_on_{c}" for c in on])
+
+
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 
 
@@ -238,9 +240,7 @@ def ffill(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Seq
         .rowsBetween(Window.unboundedPreceding, -1)
     carry = per.select(*keys, "_bkt", *[
         F.last(f"_last_{c}", ignorenulls=True).over(w_carry).alias(f"_carry_{c}") for c in columns])
-    if not keys:
-        carry = F.broadcast(carry)   # one row per bucket: bounded by the calendar / block count
     w_in = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = b.join(carry, [*keys, "_bkt"], "inner").withColumns({
+    out = join_null_safe(b, carry, [*keys, "_bkt"]).withColumns({
         c: F.coalesce(F.last(c, ignorenulls=True).over(w_in), F.col(f"_carry_{c}")) for c in columns})
     return out.select(*cols)

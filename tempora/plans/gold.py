@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from tempora.functions import metrics as M
 from tempora.operators.calendar import date_spine, dim_time as _dim_time
 from tempora.operators.clean import normalise, normalise_long, waterfall
-from tempora.operators.windows import WindowPlan
+from tempora.operators.windows import join_null_safe, WindowPlan
 from tempora.plans.series_catalogue import (
     BAND_LABELS, HORIZONS, INDICATOR_COLUMNS, INDICATORS, LEDGER_COLUMNS, REFERENCE_CODE,
     REGIME_LABELS, SERIES, WIDE_CODES,
@@ -124,10 +124,8 @@ def align_last_known(silver_df: DataFrame, codes: dict[str, str] = WIDE_CODES,
     carry = per.select(
         *keys, "_bkt", F.coalesce(F.sum("_cnt").over(w_sum), F.lit(0)).alias("_off"),
         *[F.last(f"_last_{c}", ignorenulls=True).over(w_sum).alias(f"_carry_{c}") for c in others])
-    if not keys:
-        carry = F.broadcast(carry)     # one row per month: bounded by the calendar
     w_in = Window.partitionBy(*keys, "_bkt").orderBy("data").rowsBetween(Window.unboundedPreceding, 0)
-    filled = b.join(carry, [*keys, "_bkt"], "inner").withColumns({
+    filled = join_null_safe(b, carry, [*keys, "_bkt"]).withColumns({
         **{c: F.coalesce(F.last(c, ignorenulls=True).over(w_in), F.col(f"_carry_{c}")) for c in others},
         "_rn": F.col("_off") + F.sum(F.when(is_ref, 1).otherwise(0)).over(w_in) - 1,
     })
@@ -199,7 +197,7 @@ def wide_fact(silver_df: DataFrame, block_rows: int | None = DEFAULT_BLOCK_ROWS,
 
     cuts = _regime_cuts(df, "vol_21d_anual_pct", keys, exact_regime, regime_accuracy)
     if keys:
-        df = df.join(cuts, keys, "inner")          # one row per key: equi-join on the key
+        df = join_null_safe(df, cuts, keys)          # one row per key
     else:
         # uncorrelated scalar subquery: computed once, used as a value (no join)
         df = df.withColumn("_cuts", cuts.scalar())

@@ -37,11 +37,11 @@ def run(spark: SparkSession, sf_dir: str, document: bool = True) -> dict[str, Da
     the shared checkpoint folder, then ``run_from_landing``."""
     landing = scratch_path(spark, "landing")
     render_landing(spark, sf_dir, landing)
-    return run_from_landing(spark, landing, document=document)
+    return run_from_landing(spark, landing, document=document, cutoff=gold.FIXTURE_CUTOFF)
 
 
 def run_from_landing(spark: SparkSession, landing: str, document: bool = True,
-                     cutoff=gold.FIXTURE_CUTOFF) -> dict[str, DataFrame]:
+                     cutoff=gold.STUDY_CUTOFF) -> dict[str, DataFrame]:
     """Landing manifest -> Bronze (six raw tables, all text, with lineage) ->
     Silver -> Gold -> quality -> reports."""
     m = manifest(spark, landing, [s.table for s in SERIES])
@@ -55,7 +55,7 @@ def run_from_landing(spark: SparkSession, landing: str, document: bool = True,
                      [spec.date_col, spec.value_col], **({} if json_like else {"header": "true"}))
         out[f"bronze.{spec.table}"] = publish(spark, f"bronze.{spec.table}", raw)
     frames = {s.table: out[f"bronze.{s.table}"] for s in SERIES}
-    clean, ledger = gold.silver(frames, cutoff=cutoff)
+    clean, ledger = gold.silver(frames, cutoff=cutoff, materialise=cut_lineage)
     s = out["silver.serie_diaria"] = publish(spark, "silver.serie_diaria", clean)
     out["silver.controle_qualidade"] = publish(spark, "silver.controle_qualidade", ledger)
     daily = out["gold.fato_indicador_diario"] = publish(spark, "gold.fato_indicador_diario", gold.daily_fact(s))

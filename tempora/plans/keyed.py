@@ -22,7 +22,7 @@ from tempora.operators.windows import WindowPlan
 
 def rolling_metrics(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
                     bucket=None, block_rows: int | None = 100_000, horizon: int = 21,
-                    value_scale: int | None = None, hot_threshold: int | None = None) -> DataFrame:
+                    value_scale: int | None = None) -> DataFrame:
     """Per key, in ``order``: previous-row log return, 21-row sample stddev of
     the return, 63-row mean and % deviation, 252-row min / max / position in
     range, value ``horizon`` rows ahead and the largest rise over the next
@@ -32,26 +32,9 @@ def rolling_metrics(df: DataFrame, keys: Sequence[str], order: Sequence[str], va
     exact: a DECIMAL average rounded half-up to six decimals, so it does not
     depend on the order in which a double sum is accumulated.
 
-    With ``hot_threshold`` the keys are split by size first (one count per
-    key): keys up to the threshold take plain keyed windows (one task per
-    key is fine), keys above it take the ordered-block path. The hot-key list
-    is broadcast: it has at most ``rows / hot_threshold`` entries. Whether any
-    key is hot is checked first with one small action, so data without hot
-    keys gets the plain keyed plan only."""
+    One strategy serves every key: with ``block_rows`` all keys, NULL included,
+    go through ordered blocks of bounded size."""
     keys, order = list(keys), list(order)
-    if hot_threshold is not None and keys:
-        counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-        hot = counts.filter(F.col("_n") > hot_threshold).select(*keys)
-        common = dict(bucket=bucket, horizon=horizon, value_scale=value_scale)
-        # one small action decides the plan (like an adaptive re-plan): no hot key -> no split
-        if hot.limit(1).count() == 0:
-            return rolling_metrics(df, keys, order, value, block_rows=None, **common)
-        hot = F.broadcast(hot)
-        small = rolling_metrics(df.join(hot, keys, "left_anti"), keys, order, value,
-                                block_rows=None, **common)
-        large = rolling_metrics(df.join(hot, keys, "left_semi"), keys, order, value,
-                                block_rows=block_rows or 100_000, **common)
-        return small.unionByName(large)
     base = df.select(*keys, *order, F.col(value).cast("double").alias("valor"))
     if value_scale is not None:
         base = base.withColumn("_vdec", F.col("valor").cast(f"decimal(18,{int(value_scale)})"))

@@ -52,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001 - a core conf may be hidden from the SQL conf
         configured = None
     configured = configured or sc.getConf().get(_CKPT_KEY, None)
+    if not configured and not sc.master.split("[")[0] == "local":
+        raise ValueError(f"{_CKPT_KEY} must name a shared folder on {sc.master}: executors cannot read each other's local files")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tempora-ckpt-"))
     return sc.getCheckpointDir()
 

@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tempora.session import scratch_path
 from tempora.sources.ingest import LINEAGE_FILE, LINEAGE_TS, string_schema
 
 
@@ -23,8 +22,9 @@ def ingest_available_now(spark: SparkSession, landing: str, fmt: str, columns: S
                          target: str, checkpoint: str | None = None, **options):
     """Load new raw files from ``landing`` into the parquet folder ``target``;
     returns the finished ``StreamingQuery``. ``checkpoint`` defaults to a
-    folder under the shared checkpoint folder."""
-    ckpt = checkpoint or scratch_path(spark, "bronze-stream")
+    hidden folder of the target, so that every run into one target goes on
+    where the last one stopped."""
+    ckpt = checkpoint or f"{target.rstrip('/')}/_checkpoint"
     stream = (spark.readStream.format(fmt).schema(string_schema(columns)).options(**options)
               .load(landing)
               .withColumns({LINEAGE_FILE: F.col("_metadata.file_path"),

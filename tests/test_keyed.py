@@ -52,7 +52,7 @@ def test_keyed_block_plan_has_no_single_partition(spark):
     ev = read_table(spark, SF_SMALL, "events")
     # every user above the threshold: the block path
     df = rolling_metrics(ev, ["user_id"], ["ts", "event_id"], "value", block_rows=4096,
-                         value_scale=2, hot_threshold=1)
+                         value_scale=2)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan

@@ -2,13 +2,17 @@
 import os
 import tempfile
 
+import pytest
+
 from tempora.streaming.ingest import ingest_available_now
 
 
-def test_available_now_is_incremental(spark):
+@pytest.mark.parametrize("own", [True, False])
+def test_available_now_is_incremental(spark, own):
     root = tempfile.mkdtemp(prefix="tempora-stream-")
     landing, target, ckpt = (os.path.join(root, n) for n in ("landing", "bronze", "ckpt"))
     os.makedirs(landing)
+    ckpt = ckpt if own else None   # by default the checkpoint follows the target
     with open(os.path.join(landing, "a.csv"), "w") as fh:
         fh.write("observation_date,VIXCLS\n2020-01-02,12.47\n2020-01-03,\n")
     ingest_available_now(spark, landing, "csv", ["observation_date", "VIXCLS"], target, ckpt, header="true")

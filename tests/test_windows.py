@@ -24,9 +24,13 @@ def series(spark):
     return spark.createDataFrame(rows, "k int, t int, b int, v double")
 
 
+def _order(row):
+    return [(v is None, 0 if v is None else v) for v in row]
+
+
 def _same(a, b, cols):
-    x = sorted(tuple(r) for r in a.select(*cols).collect())
-    y = sorted(tuple(r) for r in b.select(*cols).collect())
+    x = sorted((tuple(r) for r in a.select(*cols).collect()), key=_order)
+    y = sorted((tuple(r) for r in b.select(*cols).collect()), key=_order)
     assert len(x) == len(y)
     for r, s in zip(x, y):
         for u, w in zip(r, s):
@@ -94,10 +98,10 @@ def test_ffill_blocks_equals_running(spark, series):
           ["k", "t", "v"])
 
 
-def test_hot_key_split_equals_keyed(spark, series):
+def test_blocks_equal_keyed_with_a_null_key(spark, series):
     from tempora.plans.keyed import rolling_metrics
-    df = series.withColumn("v", F.coalesce("v", F.lit(1.0)))
+    df = series.withColumn("v", F.coalesce("v", F.lit(1.0))).withColumn("k", F.when(F.col("k") != 0, F.col("k")))   # a NULL key
     cols = ["k", "t", "valor", "ret", "vol_21", "mm_63", "min_252", "max_252", "valor_futuro", "maior_alta_pct"]
     plain = rolling_metrics(df, ["k"], ["t"], "v", block_rows=None)
-    split = rolling_metrics(df, ["k"], ["t"], "v", block_rows=400, hot_threshold=600)   # k=0, k=2 are hot
+    split = rolling_metrics(df, ["k"], ["t"], "v", block_rows=400)   # k=0, k=2 span blocks
     _same(plain, split, cols)
