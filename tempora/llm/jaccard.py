@@ -58,6 +58,10 @@ POSTING = np.dtype([("token", "<u8"), ("group", "<i8"), ("n", "<i4"), ("place",
 COLUMNS = 4096
 
 
+#: Pairs held in a task before they are summed up, and postings of a bucket.
+HELD, POSTINGS = 500_000, 500_000
+
+
 class Rule:
     """Shingle length and similarity (percent), with the bounds they give."""
 
@@ -237,7 +241,7 @@ def postings(docs: DataFrame, classes: DataFrame, rule: Rule, often: np.ndarray,
     """Token-group matrix: prefix tokens of every class under the global order, dealt into blocks by token."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(often)
-    n_buckets = buckets_for(tokens * (100 - rule.percent + 2) // 100)
+    n_buckets = buckets_for(tokens * (100 - rule.percent + 2) // 100, POSTINGS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = shared.value
@@ -292,7 +296,7 @@ def overlaps(matrix: DataFrame, rule: Rule) -> DataFrame:
                 i, j = at[ok], at[ok] + d
                 out.append(np.column_stack((g[i], g[j], np.ones(len(i), np.int64), place[i], place[j])))
                 held += len(out[-1])
-                if held > 2_000_000:
+                if held > HELD:
                     out, held = [_sum(out)], 0
                 d += 1
                 at = at[after[at] >= d]
@@ -473,18 +477,18 @@ def unique_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
     rows = sets.groupBy("doc_id", "sig").agg(F.count("*").alias("rows"))
     chosen = first.join(rows, (F.col("doc_id").eqNullSafe(F.col("rep"))) & (rows.sig == first.sig)).select(F.col("rep").alias("_rep"), first.sig.alias("_sig"), "rows")
     chosen = materialise(chosen.unionByName(rows.filter("sig = 0").select(F.col("doc_id").alias("_rep"), F.col("sig").alias("_sig"), F.lit(1).cast("long").alias("rows"))), "jaccard-chosen")
-    texts = attach(docs.select(F.struct("*").alias("_row"), "doc_id", "text"), chosen, lambda d, c: d.doc_id.eqNullSafe(c["_rep"]))
+    texts = attach(docs.select(F.struct("*").alias("_row")), chosen, lambda d, c: d["_row"]["doc_id"].eqNullSafe(c["_rep"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
-            sig = np.array([signature(s) for s in shingle_sets(column(b, "text"), rule.words)], np.int64)
+        for b in slices(batches, "_row.text"):
+            sig = np.array([signature(s) for s in shingle_sets(column(b, "_row.text"), rule.words)], np.int64)
             yield b.filter(pa.array(sig == column(b, "_sig").to_numpy()))
 
-    texts = texts.select("_row", "_rep", "_sig", "rows", "text")
+    texts = texts.select("_row", "_rep", "_sig", "rows")
     kept = texts.mapInArrow(run, texts.schema)
     if chosen.filter("rows > 1").isEmpty():
         return kept.select("_row.*")
-    again = kept.filter("rows > 1").withColumn("_n", F.row_number().over(Window.partitionBy("_rep", "_sig").orderBy("text"))).filter("_n = 1")
+    again = kept.filter("rows > 1").withColumn("_n", F.row_number().over(Window.partitionBy("_rep", "_sig").orderBy("_row.text"))).filter("_n = 1")
     return kept.filter("rows = 1").select("_row.*").unionByName(again.select("_row.*"))
 
 

@@ -31,8 +31,8 @@ MAX_LANGS = 1000
 SMOOTHING = 0.5
 FOLDS = 3
 UNKNOWN = "und"
-#: characters handled at once inside a task
-SLICE = 1 << 20
+#: text bytes handled at once inside a task
+SLICE = 1 << 18
 
 _LETTER: list[np.ndarray] = []
 
@@ -126,16 +126,17 @@ def train(labelled: DataFrame) -> Model:
     return Model(names, table, prior)
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``docs``, lang_pred and score."""
+def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
+    """The columns ``keep`` of ``docs``, lang_pred and score. ``text`` may be a field of a kept struct."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     fields = docs.select(*keep)
+    sent = docs.select(*keep) if text.split(".")[0] in keep else docs.select(*keep, text)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in slices(batches, "_text", SLICE):
-            h, d, has = ngrams(column(b, "_text"))
+        for b in slices(batches, text, SLICE):
+            h, d, has = ngrams(column(b, text))
             n, k = b.num_rows, len(m.names)
             pred, best = np.full(n, UNKNOWN, object), np.zeros(n)
             if k:
@@ -148,13 +149,17 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                                              names=[*keep, "lang_pred", "score"])
 
     schema = fields.schema.add("lang_pred", "string").add("score", "double")
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(score, schema)
+    return sent.mapInArrow(score, schema)
+
+
+def learn(docs: DataFrame) -> Model:
+    """Train on the documents that are not held out."""
+    return train(docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))))
 
 
 def identify(docs: DataFrame, keep: list[str]) -> DataFrame:
     """Train on the documents that are not held out, predict all."""
-    known = docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    return predict(docs, train(known), keep)
+    return predict(docs, learn(docs), keep)
 
 
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,5 +169,5 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def accepted_documents(docs: DataFrame) -> DataFrame:
     """The documents whose language is known; the others (no text, or no letter) are rejected."""
-    rows = docs.select(F.struct("*").alias("_row"), "text", "lang", "doc_id")
-    return identify(rows, ["_row"]).filter(F.col("lang_pred") != UNKNOWN).select("_row.*")
+    rows = docs.select(F.struct("*").alias("_row"))
+    return predict(rows, learn(docs), ["_row"], "_row.text").filter(F.col("lang_pred") != UNKNOWN).select("_row.*")

@@ -84,7 +84,7 @@ def slices(batches: Iterator[pa.RecordBatch], col: str, limit: int = SLICE_BYTES
     for b in batches:
         if not b.num_rows:
             continue
-        _, offs = text_bytes(b.column(b.schema.get_field_index(col)))
+        _, offs = text_bytes(column(b, col))
         i = 0
         while i < b.num_rows:
             j = int(np.searchsorted(offs, offs[i] + limit, side="right")) - 1
@@ -94,7 +94,13 @@ def slices(batches: Iterator[pa.RecordBatch], col: str, limit: int = SLICE_BYTES
 
 
 def column(b: pa.RecordBatch, name: str) -> pa.Array:
-    return b.column(b.schema.get_field_index(name))
+    """A column, or a field of a struct column (``_row.text``), which need not
+    be sent to the task a second time."""
+    head, *path = name.split(".")
+    out = b.column(b.schema.get_field_index(head))
+    for field in path:
+        out = out.field(field)
+    return out
 
 
 def word_spans(buf: np.ndarray, offs: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
