@@ -59,28 +59,28 @@ o_day AS (
   SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'PTAX_VENDA' WHEN '2-HIGH' THEN 'DOLAR_AMPLO'
                               ELSE 'VIX' END AS indicador,
          CAST(o_orderdate AS DATE) AS d,
-         SUM(CAST(ROUND(o_totalprice * 100) AS HUGEINT)) AS c, COUNT(*) AS n
+         SUM(CAST(ROUND(o_totalprice * 100) AS HUGEINT)) AS c, COUNT(o_totalprice) AS n
   FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
-  GROUP BY 1, 2),
+  GROUP BY 1, 2 HAVING COUNT(o_totalprice) > 0),
 f_day AS (
   SELECT CASE l_returnflag WHEN 'R' THEN 'CDI' ELSE 'FED_FUNDS' END AS indicador,
          CAST(l_shipdate AS DATE) AS d,
          SUM(CAST(ROUND(CASE WHEN l_returnflag = 'R' THEN l_discount ELSE l_tax END * 100) AS HUGEINT)) AS c,
-         COUNT(*) AS n
+         COUNT(CASE WHEN l_returnflag = 'R' THEN l_discount ELSE l_tax END) AS n
   FROM lineitem WHERE l_returnflag IN ('R', 'A')
-  GROUP BY 1, 2),
+  GROUP BY 1, 2 HAVING n > 0),
 u_row AS (
   SELECT CAST(l_shipdate AS DATE) AS d,
          (2 * CAST(ROUND(l_extendedprice * 100) AS HUGEINT) * 100000000
           + CAST(ROUND(l_quantity * 100) AS HUGEINT))
-         // (2 * CAST(ROUND(l_quantity * 100) AS HUGEINT)) AS u
+         // NULLIF(2 * CAST(ROUND(l_quantity * 100) AS HUGEINT), 0) AS u
   FROM lineitem WHERE l_linestatus = 'O'),
 s_day AS (
   SELECT indicador, d, (2 * c * 10000 + n) // (2 * n) AS m FROM o_day
   UNION ALL SELECT indicador, d, (2 * c * 1000000 + n) // (2 * n) FROM f_day
-  UNION ALL SELECT 'BRENT', d, (2 * SUM(u) + 100 * COUNT(*)) // (200 * COUNT(*)) FROM u_row GROUP BY d),
+  UNION ALL SELECT 'BRENT', d, (2 * SUM(u) + 100 * COUNT(u)) // (200 * COUNT(u)) FROM u_row GROUP BY d HAVING COUNT(u) > 0),
 s_txt AS (
-  SELECT indicador, d, printf('%d.%06d', m // 1000000, m % 1000000) AS valor_txt FROM s_day),
+  SELECT indicador, d, CASE WHEN m < 0 THEN '-' ELSE '' END || printf('%d.%06d', abs(m) // 1000000, abs(m) % 1000000) AS valor_txt FROM s_day),
 spec(tabela, indicador, fonte, unidade, fmt) AS (VALUES {SERIES_SQL}),
 fred_span AS (
   SELECT s.indicador, UNNEST(generate_series(MIN(d), MAX(d), INTERVAL 1 DAY))::DATE AS d

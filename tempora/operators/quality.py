@@ -26,7 +26,7 @@ def reconcile(ledger: DataFrame, fact: DataFrame, keys: Sequence[str] = ("indica
             .select(*keys, "linhas_bronze", discards.alias("descartadas"), "linhas_silver",
                     (F.col("linhas_bronze") - discards - F.col("linhas_silver")).alias("diferenca_bronze_silver"),
                     "linhas_gold",
-                    (F.col("linhas_silver") - F.col("linhas_gold")).alias("diferenca_silver_gold")))
+                    (F.col("linhas_silver") - F.col("linhas_gold")).alias("diferenca_silver_gold")).orderBy(*keys))
 
 
 def grain_counts(named: dict[str, DataFrame]) -> DataFrame:
@@ -51,7 +51,7 @@ def null_profile(df: DataFrame, total_name: str = "linhas") -> DataFrame:
     ])).alias("s"))
     return stacked.select(
         "s.coluna", "s.nulos",
-        F.round(F.try_divide(100 * F.col("s.nulos"), F.col("_total")), 2).alias("pct_nulos"))
+        F.round(F.try_divide(100 * F.col("s.nulos"), F.col("_total")), 2).alias("pct_nulos")).orderBy(F.desc("nulos"), "coluna")
 
 
 def uniqueness(named: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
@@ -84,13 +84,12 @@ def orphans(relations: dict[str, tuple[DataFrame, DataFrame, str]]) -> DataFrame
 def range_check(series: DataFrame, bounds: DataFrame, key: str = "indicador",
                 value: str = "valor") -> DataFrame:
     """Observed min/max and count of values outside [min, max] per key.
-    ``bounds``: (key, minimo_esperado, maximo_esperado), one row per key --
-    broadcast (bounded by the key list)."""
-    j = series.join(F.broadcast(bounds), key, "inner")
+    ``bounds``: (key, minimo_esperado, maximo_esperado), one row per key."""
+    j = series.join(bounds, key, "inner")
     outside = ~F.col(value).between(F.col("minimo_esperado"), F.col("maximo_esperado"))
     return (j.groupBy(key, "minimo_esperado", "maximo_esperado")
             .agg(F.min(value).alias("minimo_obs"), F.max(value).alias("maximo_obs"),
-                 F.sum(F.when(outside, 1).otherwise(0)).alias("fora_da_faixa")))
+                 F.sum(F.when(outside, 1).otherwise(0)).alias("fora_da_faixa")).orderBy(key))
 
 
 def gaps(series: DataFrame, keys: Sequence[str] = ("indicador",), date: str = "data",
@@ -103,7 +102,7 @@ def gaps(series: DataFrame, keys: Sequence[str] = ("indicador",), date: str = "d
     g = series.select(*keys, F.datediff(F.col(date), F.lag(date).over(w)).alias("intervalo"))
     return g.groupBy(*keys).agg(
         F.max("intervalo").alias("maior_intervalo_dias"),
-        F.sum(F.when(F.col("intervalo") > threshold, 1).otherwise(0)).alias("intervalos_acima_4_dias"))
+        F.sum(F.when(F.col("intervalo") > threshold, 1).otherwise(0)).alias("intervalos_acima_4_dias")).orderBy(*keys)
 
 
 def publication_lag(series: DataFrame, reference: str, key: str = "indicador",
@@ -113,7 +112,7 @@ def publication_lag(series: DataFrame, reference: str, key: str = "indicador",
     ref_last = series.filter(F.col(key) == reference).agg(F.max(date)).scalar()
     last = series.groupBy(key).agg(F.max(date).alias("ultima_data"))
     return last.select(key, "ultima_data",
-                       F.datediff(ref_last, F.col("ultima_data")).alias("dias_atras_da_ptax"))
+                       F.datediff(ref_last, F.col("ultima_data")).alias("dias_atras_da_ptax")).orderBy(F.desc("dias_atras_da_ptax"), key)
 
 
 def zscore_outliers(fact: DataFrame, key: str = "indicador", value: str = "variacao_pct",

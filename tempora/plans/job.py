@@ -68,7 +68,8 @@ def run_from_landing(spark: SparkSession, landing: str, document: bool = True,
             cols = dict(D.COLUMN_COMMENTS.get(t, {}))
             if t == "fato_janela_cambial":
                 cols.update(catalog.horizon_comments(D.HORIZON_TEMPLATES))
-            catalog.document(spark, f"gold.{t}", comment, cols)
+            layer = "silver" if f"silver.{t}" in out else "gold"
+            catalog.document(spark, f"{layer}.{t}", comment, cols)
 
     out["dq.reconcile"] = Q.reconcile(out["silver.controle_qualidade"], daily)
     out["dq.nulls"] = Q.null_profile(wide)

@@ -87,7 +87,7 @@ def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     o_aggs, o_parts = [], []
     for i, (k, code) in enumerate(ORDER_SERIES.items()):
         o_aggs += [F.sum(F.when(prio == k, _cents("o_totalprice"))).alias(f"c{i}"),
-                   F.count_if(prio == k).alias(f"n{i}")]
+                   F.count(F.when(prio == k, F.col("o_totalprice"))).alias(f"n{i}")]
         o_parts.append((code, f"c{i}", f"n{i}", 10_000, 1))
     o_day = _stack(orders.groupBy(F.to_date("o_orderdate").alias("d")).agg(*o_aggs), o_parts)
 
@@ -102,17 +102,17 @@ def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     # so a day with ~1e8 rows cannot overflow the sum
     unit = F.expr("(2 * CAST(rint(l_extendedprice * 100) AS BIGINT) * 100000000"
                   " + CAST(rint(l_quantity * 100) AS BIGINT))"
-                  " div (2 * CAST(rint(l_quantity * 100) AS BIGINT))")
+                  " div nullif(2 * CAST(rint(l_quantity * 100) AS BIGINT), 0)")
     measure = {"R": _cents("l_discount"), "A": _cents("l_tax")}
     l_aggs, l_parts = [], []
     for i, (k, code) in enumerate(RETURNFLAG_SERIES.items()):
-        l_aggs += [F.sum(F.when(flag == k, measure[k])).alias(f"fc{i}"), F.count_if(flag == k).alias(f"fn{i}")]
+        l_aggs += [F.sum(F.when(flag == k, measure[k])).alias(f"fc{i}"), F.count(F.when(flag == k, measure[k])).alias(f"fn{i}")]
         l_parts.append((code, f"fc{i}", f"fn{i}", 1_000_000, 1))
     li = li.withColumns({f"_u{i}": F.when(status == k, unit) for i, k in enumerate(LINESTATUS_SERIES)})
     for i, (k, code) in enumerate(LINESTATUS_SERIES.items()):
         l_aggs += [F.sum(F.expr(f"_u{i} div 1000000000")).alias(f"sh{i}"),
                    F.sum(F.expr(f"_u{i} % 1000000000")).alias(f"sl{i}"),
-                   F.count_if(status == k).alias(f"sn{i}")]
+                   F.count(f"_u{i}").alias(f"sn{i}")]
         l_parts.append((code, f"sc{i}", f"sn{i}", 1, 100))
     l_agg = li.groupBy(F.to_date("l_shipdate").alias("d")).agg(*l_aggs)
     l_agg = l_agg.withColumns({f"sc{i}": F.col(f"sh{i}").cast(DEC38) * 1_000_000_000 + F.col(f"sl{i}").cast(DEC38)
@@ -121,7 +121,7 @@ def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return (o_day.unionByName(l_day)
             .select("indicador", "d",
-                    F.format_string("%d.%06d", F.expr("m div 1000000"), F.expr("m % 1000000"))
+                    F.format_string("%s%d.%06d", F.expr("if(m < 0, '-', '')"), F.expr("abs(m) div 1000000"), F.expr("abs(m) % 1000000"))
                     .alias("valor_txt")))
 
 

@@ -2,6 +2,7 @@
 checks sf0.01), plus plan properties of the registered queries."""
 import decimal
 import math
+import re
 
 import duckdb
 import pytest
@@ -36,7 +37,8 @@ def _key(row):
 
 def test_every_query_has_an_oracle_or_is_documented():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"manifest_check", "documented_tables"}
+    own = {n for n in QUERIES if n != "pipeline" and not re.match(r"op\d+_", n)}  # the corpus queries have their own tests
+    assert own - set(SQL) == {"manifest_check", "documented_tables"}
 
 
 def test_documented_tables(spark):
