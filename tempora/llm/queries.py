@@ -7,6 +7,7 @@ from tempora.llm.jaccard import op1_ngram_jaccard
 from tempora.llm.langid import op9_langid
 from tempora.llm.line_dedup import op10_line_dedup
 from tempora.llm.mixing import op3_mixing
+from tempora.llm.oracle import oracle_sql  # noqa: F401
 from tempora.llm.pii import op2_pii
 from tempora.llm.quality import op8_quality
 from tempora.llm.sharding import op5_sharding
@@ -27,7 +28,3 @@ def queries() -> dict:
         "op9_langid": op9_langid,
         "op10_line_dedup": op10_line_dedup,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
