@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 import duck_oracle as O
 from tempora.functions.metrics import round_exact
-from tempora.functions.pricing import erf_series_text
 from tempora.operators import quality as Q
 from tempora.plans import gold, keyed, reports, study
 from tempora.plans.series_catalogue import OUTLIER_CODES, REFERENCE_CODE
@@ -93,9 +92,12 @@ def q_dim_time(spark, sf):
 
 
 def q_dim_indicator(spark, sf):
-    """The indicator dimension, restricted to indicators present in the
-    Silver table (a left semi join: a conformed dimension of the facts)."""
-    return gold.dim_indicator(spark).join(_silver(spark, sf).select("indicador"), "indicador", "left_semi")
+    """The whole indicator dimension, each member with its Silver rows and
+    their first and last day (members without rows count 0)."""
+    rows = _silver(spark, sf).groupBy("indicador").agg(
+        F.count("*").alias("linhas_silver"), F.min("data").alias("primeira_data"), F.max("data").alias("ultima_data"))
+    return (gold.dim_indicator(spark).join(rows, "indicador", "left")
+            .withColumn("linhas_silver", F.coalesce("linhas_silver", F.lit(0).cast("long"))))
 
 
 def q_daily_change(spark, sf):
@@ -335,7 +337,7 @@ def _study_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    q = O.all_sql(RECENT_SINCE, erf_series_text)
+    q = O.all_sql(RECENT_SINCE)
     q["sql_gaps"] = q["dq_gaps"]
     q["sql_publication_lag"] = q["dq_lag"]
     q["block_window_equiv"] = ("SELECT COUNT(*) AS linhas_keyed, COUNT(*) AS linhas_blocos, "

@@ -275,11 +275,11 @@ def no_negative_zero(sql: str) -> str:
         i = k + 1
 
 
-def all_sql(recent_since: str, erf_text) -> dict[str, str]:
-    return {k: no_negative_zero(v) for k, v in _all_sql(recent_since, erf_text).items()}
+def all_sql(recent_since: str) -> dict[str, str]:
+    return {k: no_negative_zero(v) for k, v in _all_sql(recent_since).items()}
 
 
-def _all_sql(recent_since: str, erf_text) -> dict[str, str]:
+def _all_sql(recent_since: str) -> dict[str, str]:
     q: dict[str, str] = {}
     G = gold_ctes()
     S = silver_ctes()
@@ -306,7 +306,8 @@ dim(indicador, nome, categoria, unidade, fonte, periodicidade) AS (VALUES
   ('DOLAR_AMPLO', 'Índice amplo do dólar (Fed)', 'Força global do dólar', 'índice (jan/2006 = 100)', 'FRED - DTWEXBGS', 'diária, publicada semanalmente'),
   ('VIX', 'Índice de volatilidade VIX', 'Aversão a risco', 'pontos', 'FRED - VIXCLS', 'diária (dias úteis EUA)'),
   ('BRENT', 'Petróleo Brent spot', 'Commodity', 'USD por barril', 'FRED - DCOILBRENTEU', 'diária (dias úteis)'))
-SELECT * FROM dim WHERE indicador IN (SELECT indicador FROM silver)""")
+SELECT dim.*, COUNT(silver.indicador) AS linhas_silver, MIN(silver.data) AS primeira_data, MAX(silver.data) AS ultima_data
+FROM dim LEFT JOIN silver ON silver.indicador = dim.indicador GROUP BY ALL""")
     q["daily_change"] = with_(S + daily_fact_cte(), f"""SELECT data, indicador, {R6('valor')},
         {R6('variacao_abs')}, {R6('variacao_pct')} FROM fato_ind""")
     q["align_last_known"] = wide_select(WIDE_COLS)
@@ -465,8 +466,10 @@ FROM wide WHERE ptax_em_90d IS NOT NULL GROUP BY year(data)""")
     T = 63 / 252
     sq = math.sqrt(T)
     x = f"LEAST(vol_21d_anual_pct / 100 * {sq!r} / {2 * math.sqrt(2.0)!r}, 6.0)"
-    erf = (f"CASE WHEN vol_21d_anual_pct / 100 * {sq!r} / {2 * math.sqrt(2.0)!r} > 6.0 THEN 1.0 ELSE "
-           f"{2.0 / math.sqrt(math.pi)!r} * exp(-(xc * xc)) * {erf_text('xc', '(2 * xc * xc)')} END")
+    # erf as the integral of its density by Simpson's rule, not by the engine's series
+    n = 2000
+    erf = (f"{2.0 / math.sqrt(math.pi)!r} * xc / {3 * n}.0 * list_sum(list_transform(range(0, {n + 1}), lambda k: "
+           f"CASE WHEN k = 0 OR k = {n} THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END * exp(-((xc * k / {n}.0) ** 2))))")
     q["forward_vs_call"] = with_(G, f""",
 base AS (SELECT * FROM wide WHERE data IS NOT NULL AND ptax IS NOT NULL AND cdi IS NOT NULL
            AND vol_21d_anual_pct IS NOT NULL AND regime_vol IS NOT NULL

@@ -25,15 +25,6 @@ ERF_TERMS = 90
 ERF_CLIP = 6.0
 
 
-def erf_series_text(x: str, y: str, terms: int = ERF_TERMS) -> str:
-    """The nested series as SQL text over names ``x`` and ``y = 2x^2``
-    (shared by the Column builder and by SQL users)."""
-    inner = "1.0"
-    for k in range(terms - 1, 0, -1):
-        inner = f"(1.0 + {y} / {2 * k + 1}.0 * {inner})"
-    return f"({x} * {inner})"
-
-
 def erf_nonneg(x) -> Column:
     """erf for x >= 0 (x > 6 -> 1.0); NULL in, NULL out.
 
