@@ -85,15 +85,21 @@ spec(tabela, indicador, fonte, unidade, fmt) AS (VALUES {SERIES_SQL}),
 fred_span AS (
   SELECT s.indicador, UNNEST(generate_series(MIN(d), MAX(d), INTERVAL 1 DAY))::DATE AS d
   FROM s_txt s JOIN spec p ON p.indicador = s.indicador WHERE p.fmt = 'ymd' GROUP BY s.indicador),
-bronze AS (
+good AS (
   SELECT p.tabela, p.indicador, p.fonte, p.unidade, p.fmt,
-         strftime(s.d, '%d/%m/%Y') AS data_txt, s.valor_txt
+         strftime(s.d, '%d/%m/%Y') AS data_txt, s.valor_txt, date_diff('day', DATE '1970-01-01', s.d) AS dia
   FROM s_txt s JOIN spec p ON p.indicador = s.indicador WHERE p.fmt = 'dmy'
   UNION ALL
   SELECT p.tabela, p.indicador, p.fonte, p.unidade, p.fmt,
-         strftime(f.d, '%Y-%m-%d'), s.valor_txt
+         strftime(f.d, '%Y-%m-%d'), s.valor_txt, date_diff('day', DATE '1970-01-01', f.d)
   FROM fred_span f JOIN spec p ON p.indicador = f.indicador
-  LEFT JOIN s_txt s ON s.indicador = f.indicador AND s.d = f.d)"""
+  LEFT JOIN s_txt s ON s.indicador = f.indicador AND s.d = f.d),
+bronze AS (
+  SELECT * EXCLUDE (dia) FROM good
+  UNION ALL SELECT * EXCLUDE (dia) FROM good WHERE dia % 17 = 0
+  UNION ALL SELECT * EXCLUDE (dia) REPLACE ('n/d' AS data_txt) FROM good WHERE dia % 101 = 0
+  UNION ALL SELECT * EXCLUDE (dia) REPLACE ('.' AS valor_txt) FROM good WHERE dia % 53 = 0
+  UNION ALL SELECT * EXCLUDE (dia) REPLACE ('-' || valor_txt AS valor_txt) FROM good WHERE dia % 71 = 0)"""
 
 
 def silver_ctes(cutoff: str = CUTOFF) -> str:

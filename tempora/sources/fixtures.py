@@ -36,6 +36,9 @@ ORDER_SERIES = {"1-URGENT": "PTAX_VENDA", "2-HIGH": "DOLAR_AMPLO", "3-MEDIUM": "
 RETURNFLAG_SERIES = {"R": "CDI", "A": "FED_FUNDS"}
 LINESTATUS_SERIES = {"O": "BRENT"}
 
+# --- fixed values: on days divisible by the first number, a row with this date and value text is added
+FAULTS = ((17, "data_txt", "valor_txt"), (101, "'n/d'", "valor_txt"), (53, "data_txt", "'.'"), (71, "data_txt", "'-' || valor_txt"))
+
 DEC38 = "decimal(38,0)"
 
 
@@ -143,14 +146,23 @@ def bronze_long(spark: SparkSession, sf_dir: str, materialise: bool = True) -> D
     tabela = _map_col("indicador", table_of)
     json_like = (daily.filter(F.col("indicador").isin(dmy))
                  .select(tabela.alias("tabela"), F.date_format("d", "dd/MM/yyyy").alias("data_txt"),
-                         "valor_txt"))
+                         "valor_txt", F.unix_date("d").alias("dia")))
     obs = daily.filter(F.col("indicador").isin(ymd))
     spine = (obs.groupBy("indicador").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
              .select("indicador", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("d")))
     csv_like = (spine.join(obs, ["indicador", "d"], "left")
                 .select(tabela.alias("tabela"), F.date_format("d", "yyyy-MM-dd").alias("data_txt"),
-                        "valor_txt"))
-    return json_like.unionByName(csv_like)
+                        "valor_txt", F.unix_date("d").alias("dia")))
+    return _with_faults(json_like.unionByName(csv_like))
+
+
+def _with_faults(rows: DataFrame) -> DataFrame:
+    """Every row, and beside it on some days (by day number) a faulty one:
+    a repeat, an unreadable date, an unreadable value, a negative value."""
+    made = ", ".join(f"if(dia % {every} = 0, named_struct('data_txt', {date}, 'valor_txt', {value}), NULL)"
+                     for every, date, value in FAULTS)
+    every_row = F.expr(f"array_compact(array(named_struct('data_txt', data_txt, 'valor_txt', valor_txt), {made}))")
+    return rows.select("tabela", F.explode(every_row).alias("r")).select("tabela", "r.data_txt", "r.valor_txt")
 
 
 def bronze_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
