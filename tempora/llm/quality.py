@@ -1,11 +1,9 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model.
 
-The model is a character n-gram model of order ``ORDER`` over ``SYMBOLS``
-folded symbols, trained on the trusted texts (labels quality 1, toxic 0).
-Counting, continuation counts, discounts and context weights are sharded joins
-and aggregates on n-gram keys: every task adds up the n-grams of its texts,
-Spark adds up the tasks' counts. The model has at most ``SYMBOLS ** ORDER``
-rows of each kind, whatever the input, which bounds what is broadcast.
+The model is one of words (``kneser_ney``), trained on the trusted texts
+(labels quality 1, toxic 0); counting, discounts and scoring are joins and
+aggregates on n-gram keys. The character model below (``count`` to ``dense``)
+judges nothing any more.
 
 Every document's perplexity is taken over its whole text. The threshold of a
 language is the ``QUANTILE`` of its trusted documents' perplexities (a
@@ -13,10 +11,10 @@ histogram of log perplexities in steps of ``STEP``, so no task gathers them),
 or of all trusted documents where a language has fewer than ``LEAST`` trusted
 ones. ``keep`` is perplexity <= threshold.
 
-Defined results: a null or empty text has no perplexity (null) and is not
-kept; a null language is a language of its own; labels count once per doc_id
+Defined results: a text without a word (null and empty included) has no
+perplexity (null) and is not kept; a null language is a language of its own; labels count once per doc_id
 (any toxic or non-quality label makes a document untrusted); without trusted
-text nothing has a perplexity and nothing is kept; repeated rows each get
+text in the other half of the texts nothing has a perplexity and nothing is kept; repeated rows each get
 their row; other columns are not read.
 """
 
@@ -29,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tempora.llm.text import attach, column, materialise, read_documents, slices, text_bytes
+from tempora.llm.kneser_ney import lookup, perplexities
+from tempora.llm.text import attach, column, materialise, read_documents, slices
 
 ORDER = 4
 BITS = 6
@@ -158,27 +157,6 @@ def dense(rows, ident: int) -> np.ndarray:
     return _DENSE[ident]
 
 
-def score(docs: DataFrame, model: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` and log_ppl, the mean negative log probability per character."""
-    rows = table(model)
-    shared = docs.sparkSession.sparkContext.broadcast(rows)
-    empty, ident = not len(rows[0][1]), shared._jbroadcast.id()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "_text"):
-            s, spans = symbols(column(b, "_text"))
-            n = spans[:, 1] - spans[:, 0]
-            if empty:
-                value = np.full(len(n), np.nan)
-            else:
-                total = np.concatenate(([0.0], np.cumsum(dense(shared.value, ident)[_grams(s)], dtype=np.float64)))
-                value = -(total[spans[:, 1]] - total[spans[:, 0]]) / np.maximum(n, 1)
-            yield pa.RecordBatch.from_arrays([column(b, c) for c in keep] + [pa.array(np.round(value, 9), pa.float64(), mask=(n == 0) | np.isnan(value))],
-                                             names=[*keep, "log_ppl"])
-
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, docs.select(*keep).schema.add("log_ppl", "double"))
-
-
 def quantiles(scored: DataFrame, q: float = QUANTILE) -> DataFrame:
     """(lang, log_limit) from the trusted documents' histogram, and a row without language group (all) for the others."""
     bins = scored.filter("trusted and log_ppl is not null").groupBy("lang", F.ceil(F.col("log_ppl") / STEP).alias("bin")).agg(F.count("*").alias("n"))
@@ -196,11 +174,11 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     good = materialise(labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).filter("q = 1 and t = 0 and doc_id is not null")
                        .select(F.col("doc_id").alias("_id")), "kn-trusted")
     n = good.count()
-    trusted = attach(docs.select("doc_id", "text"), good, lambda d, g: d.doc_id == g["_id"], "left_semi", rows=n)
-    model = estimate(count(trusted))
-    scored = score(docs.select("doc_id", "lang", "text"), model, ["doc_id", "lang"])
-    scored = materialise(attach(scored, good.withColumn("trusted", F.lit(True)), lambda d, g: d.doc_id == g["_id"], "left", rows=n)
-                         .select("doc_id", "lang", F.coalesce("trusted", F.lit(False)).alias("trusted"), "log_ppl"), "kn-scores")
+    docs = docs.select("doc_id", "lang", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
+    trusted = attach(docs.select("doc_id", "key", "text"), good, lambda d, g: d.doc_id == g["_id"], "left_semi", rows=n)
+    ppl = perplexities(docs, trusted)
+    rows = attach(docs.select("doc_id", "lang", "key"), good.withColumn("trusted", F.lit(True)), lambda d, g: d.doc_id == g["_id"], "left", rows=n)
+    scored = materialise(lookup(rows, ppl, ["key"]).select("doc_id", "lang", F.coalesce("trusted", F.lit(False)).alias("trusted"), "log_ppl"), "kn-scores")
     limits = quantiles(scored)
     own = limits.filter("not every").select("_lang", F.col("log_limit").alias("_own"))
     rest = limits.filter("every").select(F.col("log_limit").alias("_rest"))
