@@ -8,14 +8,15 @@ judges nothing any more.
 Every document's perplexity is taken over its whole text. The threshold of a
 language is the ``QUANTILE`` of its trusted documents' perplexities (a
 histogram of log perplexities in steps of ``STEP``, so no task gathers them),
-or of all trusted documents where a language has fewer than ``LEAST`` trusted
-ones. ``keep`` is perplexity <= threshold.
+however many they are. ``keep`` is perplexity <= threshold.
 
 Defined results: a text without a word (null and empty included) has no
-perplexity (null) and is not kept; a null language is a language of its own; labels count once per doc_id
-(any toxic or non-quality label makes a document untrusted); without trusted
-text in the other half of the texts nothing has a perplexity and nothing is kept; repeated rows each get
-their row; other columns are not read.
+perplexity (null) and is not kept; a null language is a language of its own;
+a language without a trusted document that has a perplexity has no threshold
+(null) and keeps nothing; labels count once per doc_id (any toxic or
+non-quality label makes a document untrusted); texts whose other half holds no
+trusted text have no perplexity and are not kept; repeated rows each get their
+row; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,9 +36,6 @@ BITS = 6
 SYMBOLS = 1 << BITS
 QUANTILE = 0.99
 STEP = 0.001
-LEAST = 50
-#: slack on the log of a threshold
-MARGIN = 0.05
 
 
 def symbols(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -158,15 +156,12 @@ def dense(rows, ident: int) -> np.ndarray:
 
 
 def quantiles(scored: DataFrame, q: float = QUANTILE) -> DataFrame:
-    """(lang, log_limit) from the trusted documents' histogram, and a row without language group (all) for the others."""
+    """(_lang, log_limit) of every language with a trusted document that has a perplexity, from the histogram of these."""
     bins = scored.filter("trusted and log_ppl is not null").groupBy("lang", F.ceil(F.col("log_ppl") / STEP).alias("bin")).agg(F.count("*").alias("n"))
-    bins = bins.withColumn("every", F.lit(False))
-    both = bins.unionByName(bins.groupBy("bin").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "bin", "n", F.lit(True).alias("every")))
-    by = Window.partitionBy("every", "lang")
-    cum = F.sum("n").over(by.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
-    h = both.withColumn("cum", cum).withColumn("total", F.sum("n").over(by))
-    limit = h.filter(F.col("cum") >= F.ceil(F.col("total") * q)).groupBy("every", "lang").agg((F.min("bin") * STEP).alias("log_limit"), F.first("total").alias("total"))
-    return materialise(limit.filter(F.col("every") | (F.col("total") >= LEAST)).select("every", F.col("lang").alias("_lang"), F.round(F.col("log_limit") + MARGIN, 6).alias("log_limit")), "kn-limits")
+    by = Window.partitionBy("lang")
+    h = bins.withColumn("cum", F.sum("n").over(by.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))).withColumn("total", F.sum("n").over(by))
+    limit = h.filter(F.col("cum") >= F.ceil(F.col("total") * q)).groupBy("lang").agg(F.round(F.min("bin") * STEP, 6).alias("log_limit"))
+    return materialise(limit.withColumnRenamed("lang", "_lang"), "kn-limits")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -179,11 +174,8 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ppl = perplexities(docs, trusted)
     rows = attach(docs.select("doc_id", "lang", "key"), good.withColumn("trusted", F.lit(True)), lambda d, g: d.doc_id == g["_id"], "left", rows=n)
     scored = materialise(lookup(rows, ppl, ["key"]).select("doc_id", "lang", F.coalesce("trusted", F.lit(False)).alias("trusted"), "log_ppl"), "kn-scores")
-    limits = quantiles(scored)
-    own = limits.filter("not every").select("_lang", F.col("log_limit").alias("_own"))
-    rest = limits.filter("every").select(F.col("log_limit").alias("_rest"))
-    log_limit = F.coalesce("_own", rest.scalar())
-    return (scored.join(own, F.col("lang").eqNullSafe(F.col("_lang")), "left")
+    log_limit = F.col("log_limit")
+    return (scored.join(quantiles(scored), F.col("lang").eqNullSafe(F.col("_lang")), "left")
             .select("doc_id", "lang", "trusted", F.exp("log_ppl").alias("perplexity"), F.exp(log_limit).alias("threshold"),
                     F.coalesce(F.col("log_ppl") <= log_limit, F.lit(False)).alias("keep")))
 

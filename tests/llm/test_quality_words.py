@@ -89,3 +89,20 @@ def test_probabilities_sum_to_one(tables):
     words = ["the", "of", "x", ".", "unseen"]
     for u, v in (("", ""), ("the", "of"), ("new", "x"), ("new", "new")):
         assert abs(sum(math.exp(p((u, v, w))) for w in words) - 1) < 1e-9
+
+
+def test_limits_are_each_languages_own(tables):
+    """Languages of a few trusted documents, and one without any."""
+    docs, labels = tables
+    docs = docs.unionByName(docs.filter("doc_id = 1").select(F.lit(900).cast("long").alias("doc_id"), F.lit("the of the").alias("text"), F.lit("es").alias("lang")))
+    rows, good, ppl = _want(docs, labels)
+    of = defaultdict(list)
+    for r, p in zip(rows, ppl):
+        if r.doc_id in good and p is not None:
+            of[r.lang].append(math.ceil(round(p, 9) / quality.STEP))
+    limit = {k: sorted(x)[math.ceil(len(x) * quality.QUANTILE) - 1] * quality.STEP for k, x in of.items()}
+    assert set(limit) == {"en", "de", None} and len(set(limit.values())) == 3
+    for r in quality.classify(docs, labels).collect():
+        assert (r.threshold is None) == (r.lang not in limit)
+        assert r.threshold is None or abs(math.log(r.threshold) - limit[r.lang]) < 1e-6
+        assert r.keep == (r.threshold is not None and r.perplexity is not None and r.perplexity <= r.threshold)
