@@ -4,13 +4,15 @@ The patterns give the base spans. The tagger is a character-level
 bidirectional LSTM with CRF transitions, trained here in numpy from labelled
 spans: windows around base spans of a bounded sample of texts
 (``TRAIN_WINDOWS``), and the same windows with the personal data rewritten in
-forms that the patterns miss (``variants``). It runs over overlapping windows
-of every text; each window is decoded (Viterbi), and the spans of all windows
-of a text are reconciled at once: by score, an earlier start breaking ties,
-non-overlapping, none that touches a base span, none cut off by its window's
-edge, and only forms that hold the digits or the @ that their kind needs.
-That last rule makes windows without a digit or @ empty by definition, so only
-windows that hold one are decoded; nothing else is skipped.
+forms that the patterns miss (``variants``). It runs over every stretch of a
+text that may hold a span (``stretches``: the run of fitting characters around
+a digit or @, as long as it is, with ``STRIDE`` characters on either side), and
+decodes each in one path (Viterbi), so that no span is cut by an edge. The ends
+of a span are drawn out to the ends of its address or numbers, and the spans of
+a text are reconciled at once: by score, an earlier start breaking ties,
+non-overlapping, none that touches a base span, and only forms that hold the
+digits or the @ that their kind needs. That last rule makes text outside the
+stretches empty by definition; nothing else is skipped.
 
 Defined results: a null text is empty and has no spans; offsets are code
 points, ends exclusive; repeated rows each get their row; without any base
@@ -307,13 +309,54 @@ def train(docs: DataFrame) -> Tagger | None:
 
 
 # ------------------------------------------------------------------- inference
-def windows(text: str) -> list[int]:
-    """Starts of the overlapping windows that hold a digit or @."""
-    out: set[int] = set()
-    for m in TRIGGER.finditer(text):
-        k = m.start() // STRIDE
-        out.update(x * STRIDE for x in (k - 1, k) if x >= 0)
-    return sorted(out)
+_NUMBER = re.compile(r"[0-9][0-9 ().+-]*")
+_BEFORE, _AFTER = re.compile(r"[A-Za-z0-9._%+-]"), re.compile(r"[A-Za-z0-9.-]*")
+
+
+def around(text: str, at: int) -> tuple[int, int]:
+    """The longest form of an address with its @ at ``at``, a space on either side allowed."""
+    i = at - (text[at - 1:at] == " ")
+    while i > 0 and _BEFORE.match(text, i - 1):
+        i -= 1
+    j = at + 1 + (text[at + 1:at + 2] == " ")
+    return i, _AFTER.match(text, j).end()
+
+
+def stretches(text: str) -> list[tuple[int, int]]:
+    """Every stretch that a span may lie in: a plausible span holds a digit or @, and lies in the run of its characters around it."""
+    runs, done = [], 0
+    for m in _NUMBER.finditer(text):
+        i = m.start()
+        while i > done and text[i - 1] in " ().+-":
+            i -= 1
+        runs.append((i, m.end()))
+        done = m.end()
+    at = text.find("@")
+    while at >= 0:
+        runs.append(around(text, at))
+        at = text.find("@", at + 1)
+    out: list[list[int]] = []
+    for i, j in sorted(runs):
+        if out and i < out[-1][1]:
+            out[-1][1] = max(out[-1][1], j)
+        else:
+            out.append([i, j])
+    return [(i, j) for i, j in out]
+
+
+def whole(text: str, kind: int, a: int, b: int) -> tuple[int, int]:
+    """A decoded span, drawn out to the ends of its address or numbers."""
+    if kind == 0:
+        at = text.find("@", max(0, a - 2), b + 2)
+        if at >= 0:
+            a, b = around(text, at)
+            b -= len(text[a:b]) - len(text[a:b].rstrip(".-"))
+        return a, b
+    while a > 0 and text[a - 1].isascii() and text[a - 1].isdigit():
+        a -= 1
+    while b < len(text) and text[b].isascii() and text[b].isdigit():
+        b += 1
+    return a, b
 
 
 def plausible(kind: int, s: str) -> bool:
@@ -334,35 +377,39 @@ def spans_of(texts: list[str], model: Tagger | None) -> list[list[tuple[int, int
     base = [base_spans(t) for t in texts]
     if model is None:
         return base
-    where = [(i, w) for i, t in enumerate(texts) for w in windows(t)]
-    found: list[list[tuple[float, int, int, int]]] = [[] for _ in texts]
-    for lo in range(0, len(where), 2048):
-        part = where[lo:lo + 2048]
-        path, score = model.decode(classes([texts[i][w:w + WINDOW] for i, w in part], WINDOW))
-        for r, (i, w) in enumerate(part):
-            size = min(WINDOW, len(texts[i]) - w)
-            j = 0
-            while j < size:
-                tag = path[r, j]
-                if tag == 0:
-                    j += 1
-                    continue
-                k, e = (tag - 1) // 2, j + 1
-                while e < size and path[r, e] == 2 + 2 * k:
-                    e += 1
-                cut = (j == 0 and w > 0) or (e == WINDOW and w + e < len(texts[i]))
-                at = np.arange(j, e)
-                odds = float((score[r, at, path[r, at]] - score[r, at, 0]).mean())
-                s = texts[i][w + j:w + e]
-                a, b = j + len(s) - len(s.lstrip()), e - (len(s) - len(s.rstrip()))
-                if not cut and odds >= MARGIN and plausible(k, texts[i][w + a:w + b]):
-                    found[i].append((-odds, w + a, w + b, k))
-                j = e
+    sized: dict[int, list[tuple[int, int, int]]] = {}  # stretches with what stands around them, by padded length
+    for i, t in enumerate(texts):
+        for lo, hi in stretches(t):
+            lo, hi = max(0, lo - STRIDE), min(len(t), hi + STRIDE)
+            sized.setdefault(max(WINDOW, -(-(hi - lo) // STRIDE) * STRIDE), []).append((i, lo, hi))
+    found: list[set[tuple[float, int, int, int]]] = [set() for _ in texts]
+    for width, where in sorted(sized.items()):
+        step = max(1, 2048 * WINDOW // width)
+        for lo in range(0, len(where), step):
+            part = where[lo:lo + step]
+            path, score = model.decode(classes([texts[i][x:y] for i, x, y in part], width))
+            for r, (i, x, y) in enumerate(part):
+                j = 0
+                while j < y - x:
+                    tag = path[r, j]
+                    if tag == 0:
+                        j += 1
+                        continue
+                    k, e = (tag - 1) // 2, j + 1
+                    while e < y - x and path[r, e] == 2 + 2 * k:
+                        e += 1
+                    at = np.arange(j, e)
+                    odds = float((score[r, at, path[r, at]] - score[r, at, 0]).mean())
+                    s = texts[i][x + j:x + e]
+                    a, b = whole(texts[i], k, x + j + len(s) - len(s.lstrip()), x + e - (len(s) - len(s.rstrip())))
+                    if odds >= MARGIN and plausible(k, texts[i][a:b]):
+                        found[i].add((-odds, a, b, k))
+                    j = e
     out = []
     for spans, more in zip(base, found):
         taken = [(i, j) for _, i, j in spans]
         added = []
-        for _, a, b, k in sorted(more):  # of all windows at once
+        for _, a, b, k in sorted(more):  # of all stretches at once
             if all(b <= i or a >= j for i, j in taken):
                 taken.append((a, b))
                 added.append((int(k), a, b))
