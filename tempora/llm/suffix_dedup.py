@@ -17,7 +17,9 @@ anywhere else. The suffixes to compare are those that start a window of
    and 128 bytes are computed first; suffixes are then sorted by anchor,
    offset and leading bytes, and ties beyond are resolved by the ranks of
    their first cover positions, never by reading on. A bucket's memory is
-   bounded by the runs dealt to it.
+   bounded by the runs dealt to it; an anchor of more than ``HOT_RUNS`` opened
+   runs goes to no bucket: its windows are dealt by offset and bytes. Step 1
+   still takes all runs of an anchor (36 bytes each) in one task.
 3. Neighbours that agree on ``length`` bytes are repeats.
 
 Texts stay where they are: their spans come back by a size-checked join.
@@ -38,7 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm.text import (U64, RollingHash, attach, buckets_for, column, materialise, mix, pack, read_documents, signed,
+from tempora.llm.kneser_ney import lookup
+from tempora.llm.text import (BROADCAST_ROWS, BYTE_CODE, U64, RollingHash, attach, buckets_for, column, materialise, mix, pack, read_documents, signed,
                               slices, spread, text_bytes, unpack)
 
 LENGTH = 200
@@ -48,6 +51,8 @@ PERIOD = 32
 PIECE, PLACE_BITS = 8 << 20, 24
 #: Runs that one sorted bucket holds on average.
 RUNS_PER_BUCKET = 5_000
+#: Opened runs of one anchor beyond which its windows are dealt one by one.
+HOT_RUNS = 5_000
 
 RUN = np.dtype([("anchor", "<u8"), ("bytes", "<u8"), ("text", "<i8"), ("start", "<u4"), ("n", "<u2"), ("off", "<u2")])
 
@@ -233,6 +238,32 @@ def sorted_buckets(pieces: DataFrame, length: int, buckets: int) -> DataFrame:
             .applyInArrow(run, "key long, start long, stop long"))
 
 
+def dealt_windows(pieces: DataFrame, length: int) -> DataFrame:
+    """(key, start, stop) of the repeated windows among the runs of hot anchors.
+
+    Windows can only be equal at one offset from one anchor: they are dealt by
+    anchor, offset and two 64-bit hashes of all their bytes, and met again with
+    what is known of their kind; kinds of many windows are salted."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "bytes"):
+            c = {k: column(b, k).to_numpy() for k in ("anchor", "key", "start", "n", "off")}
+            buf, offs = text_bytes(column(b, "bytes"))
+            own = np.repeat(np.arange(b.num_rows), c["n"])
+            j = np.arange(len(own)) - np.repeat(np.cumsum(c["n"]) - c["n"], c["n"])
+            at = offs[own] + j
+            yield pa.record_batch({"anchor": pa.array(c["anchor"][own]), "place": pa.array(c["off"][own] - j),
+                                   "h": pa.array(signed(RollingHash(buf)(at, at + length))), "g": pa.array(signed(RollingHash(buf, mix(BYTE_CODE))(at, at + length))),
+                                   "key": pa.array(c["key"][own]), "start": pa.array(c["start"][own] + j)})
+
+    kind = ["anchor", "place", "h", "g"]
+    windows = materialise(pieces.mapInArrow(run, "anchor long, place long, h long, g long, key long, start long"), "suffix-windows")
+    where = F.struct("key", "start")  # repeated rows of a text are one place
+    kinds = windows.groupBy(*kind).agg(F.min(where).alias("lo"), F.max(where).alias("hi"), F.count("*").alias("rows")).filter("lo <> hi")
+    kinds = materialise(kinds.select(*kind, "rows"), "suffix-kinds")
+    hit = lookup(windows, kinds.select(*kind, F.lit(True).alias("hit")), kind, kinds).filter("hit")
+    return hit.select("key", "start", (F.col("start") + length).alias("stop")).distinct()
+
+
 def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each key's sorted spans, overlapping and touching ones as one."""
     for b in batches:
@@ -258,8 +289,16 @@ def find(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     texts = materialise(texts.filter(F.col("n_bytes") >= length), "suffix-texts")
     opened = found.filter("open").join(texts, "key").select("key", "rep", "anchor", "start", "n", "off")
     n_open = found.filter("open").count()
+    hot = materialise(found.filter("open").groupBy("anchor").count().filter(F.col("count") > HOT_RUNS).select("anchor"), "suffix-hot")
+    n_hot = hot.count()
+    if n_hot:
+        side = F.broadcast(hot.withColumn("hot", F.lit(True))) if n_hot <= BROADCAST_ROWS else hot.withColumn("hot", F.lit(True))
+        opened = materialise(opened.join(side, "anchor", "left"), "suffix-open")
+        many, opened = opened.filter("hot"), opened.filter("hot is null").drop("hot")
     pieces = ship(docs, opened, length, n_open)
     late = sorted_buckets(pieces, length, buckets_for(n_open, RUNS_PER_BUCKET))
+    if n_hot:
+        late = late.unionByName(dealt_windows(ship(docs, many.drop("hot"), length, n_open), length))
     spans = found.filter("same").select("key", "start", (F.col("start") + F.col("n") - 1 + length).alias("stop")).unionByName(late)
     spans = spans.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
     spans = spans.mapInArrow(joined, "key long, spans array<struct<start:bigint,stop:bigint>>")
