@@ -145,7 +145,8 @@ def variants(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     lists = wanted.groupBy("doc_id", "key").agg(F.collect_list("line").alias("lines"))
     lists = materialise(lists.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "lines"), "line-wanted")
-    texts = attach(docs, lists, lambda d, w: (d.key == w["_key"]) & d.doc_id.eqNullSafe(w["_id"]))
+    rows = lists.agg(F.sum(F.size("lines"))).first()[0] or 0
+    texts = attach(docs, lists, lambda d, w: (d.key == w["_key"]) & d.doc_id.eqNullSafe(w["_id"]), rows=rows)
     return texts.select("doc_id", "key", "lines", "text").mapInArrow(
         run, "k long, kind int, check long, full long, doc_id long, key long, line long")
 
