@@ -140,6 +140,39 @@ SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGIN
 FROM d LEFT JOIN gone USING (rid) LEFT JOIN kept USING (rid)
 """
 
+DIVERGENCE = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+groups AS (SELECT DISTINCT lang, source FROM d),
+per_doc AS (SELECT rid, lang, source, term, count(*) AS n FROM (SELECT rid, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n)::BIGINT AS n FROM per_doc GROUP BY lang, term HAVING count(*) >= 10),
+held AS (SELECT lang, source, term, sum(p.n)::BIGINT AS n FROM per_doc p SEMI JOIN kept k USING (lang, term) GROUP BY ALL),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+totals AS (SELECT lang, source, sum(n) AS total FROM held GROUP BY lang, source),
+-- every kept term in every group of its language
+dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(h.n, 0) AS n,
+         (1 + (1000000000::HUGEINT * (coalesce(h.n, 0) + 2)) // (coalesce(t.total, 0) + 2 * l.v))::BIGINT AS p,
+         (1 + (1000000000::HUGEINT * (k.n + 2)) // (l.total + 2 * l.v))::BIGINT AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+       LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+       LEFT JOIN held h ON h.lang = g.lang AND h.source = g.source AND h.term = k.term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::BIGINT AS value
+  FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT g.lang, g.source, 'pair' AS part, o.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM groups g JOIN groups o ON g.lang = o.lang AND g.source <> o.source
+       LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source AND s.item = o.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM dense WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM parts)
+WHERE part = 'pair' OR rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -148,4 +181,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_sharding": SHARDING,
         "op6_topk": TOPK,
         "op7_decontamination": DECONTAMINATION,
+        "op11_divergence": DIVERGENCE,
     }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tempora.llm.decontaminate import op7_decontamination
+from tempora.llm.divergence import op11_divergence
 from tempora.llm.jaccard import op1_ngram_jaccard
 from tempora.llm.langid import op9_langid
 from tempora.llm.line_dedup import op10_line_dedup
@@ -27,4 +28,5 @@ def queries() -> dict:
         "op8_quality": op8_quality,
         "op9_langid": op9_langid,
         "op10_line_dedup": op10_line_dedup,
+        "op11_divergence": op11_divergence,
     }
