@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tempora.llm.alignment import op13_alignment
 from tempora.llm.decontaminate import op7_decontamination
 from tempora.llm.divergence import op11_divergence
 from tempora.llm.jaccard import op1_ngram_jaccard
@@ -29,4 +30,5 @@ def queries() -> dict:
         "op9_langid": op9_langid,
         "op10_line_dedup": op10_line_dedup,
         "op11_divergence": op11_divergence,
+        "op13_alignment": op13_alignment,
     }
