@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 
+from tempora.llm.text import U64, RollingHash, text_bytes
+
 
 class BlockIds:
     """Numbers of the blocks of this task; no other task has them."""
@@ -50,3 +52,30 @@ def unsqueeze_rising(b: bytes, first: np.ndarray) -> np.ndarray:
     total = np.cumsum(step)
     before = total[first] - step[first]
     return total - np.repeat(before, np.diff(np.append(first, len(step))))
+
+
+def pack_strings(a: pa.Array) -> bytes:
+    """Strings as their zstd-compressed lengths and bytes."""
+    data, offs = text_bytes(a)
+    sizes = squeeze(np.diff(offs))
+    return len(sizes).to_bytes(8, "little") + len(data).to_bytes(8, "little") + sizes + pa.compress(data.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack_strings(b: bytes) -> pa.Array:
+    at, size = int.from_bytes(b[:8], "little"), int.from_bytes(b[8:16], "little")
+    sizes = unsqueeze(b[16:16 + at])
+    offs = np.append(0, np.cumsum(sizes)).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offs), pa.py_buffer(pa.decompress(b[16 + at:], size, codec="zstd", asbytes=True)))
+
+
+def string_hash(a: pa.Array) -> np.ndarray:
+    """A 64-bit hash of every string, the same in every task; it only deals strings to buckets."""
+    data, offs = text_bytes(a)
+    return RollingHash(data)(offs[:-1], offs[1:]) if len(data) else np.zeros(len(a), U64)
+
+
+def coded(a: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Codes of strings, and the distinct strings."""
+    d = a.dictionary_encode()
+    d = d.combine_chunks() if isinstance(d, pa.ChunkedArray) else d
+    return d.indices.to_numpy().astype(np.int64), d.dictionary
