@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tempora.llm.licenses import TEMPLATES
+
 WORD = r"[^\x20\x09-\x0D]+"
 ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -173,6 +175,44 @@ SELECT lang, source, part, item, value, rank FROM (
 WHERE part = 'pair' OR rank <= 10
 """
 
+LICENSES = rf"""
+WITH templates AS (
+  SELECT * FROM (VALUES
+    {", ".join(f"({i}, '{t.label}', '{t.text}', {t.k}, {t.slack}, {t.need}::DOUBLE, {t.base})" for i, t in enumerate(TEMPLATES))})
+  AS t(template, label, text, k, slack, need, base)),
+listed AS (SELECT *, string_split(text, ' ') AS w FROM templates),
+positions AS (
+  SELECT template, label, k, slack, need, base, len(w) AS size, tpos, array_to_string(w[tpos + 1:tpos + k], ' ') AS gram
+  FROM (SELECT *, unnest(range(0, len(w) - k + 1)) AS tpos FROM listed)),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{ITEM_WORD}') AS w
+  FROM documents),
+words AS (SELECT rid, unnest(w) AS w1, unnest(range(0, len(w))) AS pos FROM d),
+next AS (SELECT rid, pos, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM words WINDOW o AS (PARTITION BY rid ORDER BY pos)),
+grams AS (
+  SELECT rid, pos, 2 AS k, w1 || ' ' || w2 AS gram FROM next WHERE w2 IS NOT NULL
+  UNION ALL SELECT rid, pos, 3, w1 || ' ' || w2 || ' ' || w3 FROM next WHERE w3 IS NOT NULL),
+votes AS (SELECT g.rid, p.*, g.pos - p.tpos AS diagonal FROM grams g JOIN positions p USING (k, gram)),
+banded AS (
+  SELECT *, diagonal AS band FROM votes WHERE slack = 0
+  UNION ALL SELECT *, floor(diagonal / slack)::BIGINT FROM votes WHERE slack > 0
+  UNION ALL SELECT *, floor(diagonal / slack)::BIGINT + 1 FROM votes WHERE slack > 0),
+covered AS (
+  SELECT rid, template, band, label, base, need, size, unnest(range(tpos, tpos + k)) AS word FROM banded),
+spans AS (
+  SELECT rid, template, band, label, base, count(DISTINCT word) / size AS share, share >= need AS found
+  FROM covered GROUP BY rid, template, band, label, base, need, size),
+per AS (
+  SELECT rid, count(*) FILTER (base AND found) AS n_base, min(band) FILTER (base AND found) AS first_word, max(band) FILTER (base AND found) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base AND found) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (found) AS labels, max(share) AS score
+  FROM spans GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM d LEFT JOIN per USING (rid)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -182,4 +222,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_topk": TOPK,
         "op7_decontamination": DECONTAMINATION,
         "op11_divergence": DIVERGENCE,
+        "op12_licenses": LICENSES,
     }

@@ -7,6 +7,7 @@ from tempora.llm.decontaminate import op7_decontamination
 from tempora.llm.divergence import op11_divergence
 from tempora.llm.jaccard import op1_ngram_jaccard
 from tempora.llm.langid import op9_langid
+from tempora.llm.licenses import op12_licenses
 from tempora.llm.line_dedup import op10_line_dedup
 from tempora.llm.mixing import op3_mixing
 from tempora.llm.oracle import oracle_sql  # noqa: F401
@@ -30,5 +31,6 @@ def queries() -> dict:
         "op9_langid": op9_langid,
         "op10_line_dedup": op10_line_dedup,
         "op11_divergence": op11_divergence,
+        "op12_licenses": op12_licenses,
         "op13_alignment": op13_alignment,
     }
