@@ -179,6 +179,7 @@ class WindowPlan:
         self.blocked = block_rows is not None
         if not self.blocked:
             self.df = df
+            self.window_keys = self.keys
             self.base = (Window.partitionBy(*self.keys) if self.keys else Window.partitionBy()) \
                 .orderBy(*self.order)
             return
@@ -189,9 +190,10 @@ class WindowPlan:
         numbered = df if numbered else row_numbers(df, self.keys, self.order, bucket)
         self.df = (numbered
                    .withColumn("_home", F.floor(F.col("_rn") / B))
-                   .withColumn("_blk", F.explode(F.sequence(F.floor((F.col("_rn") - post) / B),
+                      .withColumn("_blk", F.explode(F.sequence(F.greatest(F.floor((F.col("_rn") - post) / B), F.lit(0)),
                                                            F.floor((F.col("_rn") + pre) / B)))))
-        self.base = Window.partitionBy(*self.keys, "_blk").orderBy("_rn")
+        self.window_keys = [*self.keys, "_blk"]
+        self.base = Window.partitionBy(*self.window_keys).orderBy("_rn")
 
     def frame(self, ini, fim):
         return self.base.rowsBetween(ini, fim)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tempora.functions import metrics as M
+from tempora.operators.sliding import sliding_extremes, sliding_mean
 from tempora.operators.windows import WindowPlan
 
 
@@ -33,23 +34,26 @@ def rolling_metrics(df: DataFrame, keys: Sequence[str], order: Sequence[str], va
     depend on the order in which a double sum is accumulated.
 
     One strategy serves every key: with ``block_rows`` all keys, NULL included,
-    go through ordered blocks of bounded size."""
+    go through ordered blocks of bounded size. The 252-row and forward extremes
+    and the exact mean take linear time (see ``operators.sliding``)."""
     keys, order = list(keys), list(order)
     base = df.select(*keys, *order, F.col(value).cast("double").alias("valor"))
     if value_scale is not None:
         base = base.withColumn("_vdec", F.col("valor").cast(f"decimal(18,{int(value_scale)})"))
     plan = WindowPlan(base, keys, order, block_rows, bucket=bucket, pre=251, post=horizon)
     w, frame = plan.base, plan.frame
-    x = plan.df.withColumn("ret", M.log_return("valor", F.lag("valor").over(w)))
+    x = plan.df if plan.blocked else plan.df.withColumn("_rn", F.row_number().over(w) - 1)
     x = x.withColumns({
-        "vol_21": F.stddev_samp("ret").over(frame(-20, 0)),
-        "mm_63": (F.avg("valor").over(frame(-62, 0)) if value_scale is None
-                  else F.round(F.avg("_vdec").over(frame(-62, 0)), 6).cast("double")),
-        "min_252": F.min("valor").over(frame(-251, 0)),
-        "max_252": F.max("valor").over(frame(-251, 0)),
+        "ret": M.log_return("valor", F.lag("valor").over(w)),
         "valor_futuro": F.lead("valor", horizon).over(w),
-        "_max_fut": F.max("valor").over(frame(1, horizon)),
     })
+    x = x.withColumn("vol_21", F.stddev_samp("ret").over(frame(-20, 0)))
+    if value_scale is None:
+        x = x.withColumn("mm_63", F.avg("valor").over(frame(-62, 0)))
+    else:
+        x = sliding_mean(plan, x, "_vdec", 63, "_mean_63").withColumn("mm_63", F.round("_mean_63", 6).cast("double"))
+    x = sliding_extremes(plan, x, "valor", -251, 0, "_rn", low="min_252", high="max_252")
+    x = sliding_extremes(plan, x, "valor", 1, horizon, "_rn", high="_max_fut")
     x = plan.finish(x)
     return x.select(
         *keys, *order, "valor", "ret", "vol_21", "mm_63",
