@@ -15,11 +15,13 @@ Spark adds up the pair counts of all blocks, finds the highest of every B id,
 joins both back to the blocks' lists of pairs (a pair has one row per block at
 most, see ``factor``), and each block adds them up per document.
 
-Token bytes come from the vocabulary files alone. A long text is encoded in
-parts: neither vocabulary has a token that goes on from a non-space into a
-space, so cutting before a single space between two non-spaces changes no
-token (B's own leading space then stands for that space). Joins run over ranges
-of byte positions, so a long text is not joined at once.
+Token bytes come from the vocabulary files alone. Neither vocabulary has a
+token that goes on from a non-space into a space (checked when they are read),
+so cutting a text before a single space between two non-spaces changes no token
+(B's own leading space then stands for that space). A block's texts are cut
+there, and every distinct piece of the block is encoded once; lists of ids are
+put together by Arrow again. Joins run over ranges of tokens, so a long text
+is not joined at once.
 
 Defined results: a text that is null or empty, or whose joined A or B bytes
 differ from space+text, has no tokens: zeros and ''; equal rows are documents
@@ -35,6 +37,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,13 +45,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm.factor import BlockIds, squeeze, squeeze_rising, unsqueeze, unsqueeze_rising
+from tempora.llm.factor import BlockIds, coded, rising, squeeze, squeeze_rising, unsqueeze, unsqueeze_rising
 from tempora.llm.text import column, materialise, read_documents, slices, text_bytes
 
 VOCABULARIES = "/opt/tokenizers"
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-#: text bytes encoded and joined at once, and of a block; characters of a part of a long text
-SLICE, BLOCK_BYTES, PART = 1 << 20, 16 << 20, 1 << 16
+#: text bytes joined at once, and of a block
+SLICE, BLOCK_BYTES = 1 << 20, 16 << 20
 
 BLOCKS = ("block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups_sha256 array<string>, "
           "sizes binary, at binary, m binary, a array<int>, b array<int>, n array<long>")
@@ -100,37 +103,54 @@ class Vocabularies:
             cls._kept[folder] = cls(folder)
         return cls._kept[folder]
 
-    def cut(self, text: str) -> list[str]:
-        """Parts of a long text; every part but the first begins with the space it was cut at."""
-        if len(text) <= PART or not self.parts:
-            return [text]
-        out, start = [], 0
-        while len(text) - start > PART:
-            at = text.find(" ", start + PART)
-            while at > 0 and (at + 1 >= len(text) or text[at - 1].isspace() or text[at + 1].isspace()):
-                at = text.find(" ", at + 1)
-            if at < 0:
-                break
-            out.append(text[start:at])
-            start = at
-        return [*out, text[start:]]
-
-    def encode(self, texts: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
-        """Token ids of every text by A (of space+text) and by B; '' has none."""
-        parts = [self.cut(t) if t else [] for t in texts]
-        many = np.array([len(p) for p in parts], np.int64)
-        flat = [x for p in parts for x in p]
-        lead = [x for p in parts for x in (p[:1] and [" " + p[0], *p[1:]])]
-        bare = [x for p in parts for x in (p[:1] and [p[0], *(y[1:] for y in p[1:])])]
+    def encode(self, texts: pa.Array) -> Encoded:
+        """Token ids of a block of texts by A (of space+text) and by B; '' has none."""
+        lead = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), texts.cast(pa.large_string()), pa.scalar(" ", pa.large_string()))
+        buf, offs = text_bytes(pc.if_else(pc.equal(texts, ""), pa.scalar("", pa.large_string()), lead))
+        start = rising(np.append(cuts(buf) if self.parts else np.zeros(0, np.int64), offs[:-1][np.diff(offs) > 0]))
+        pieces = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(np.append(start, len(buf)).astype(np.int64)), pa.py_buffer(buf))
+        code, distinct = coded(pieces)
+        whole = distinct.to_pylist()
+        sides = []
+        for ids in ([e.ids for e in self.a.encode_batch_fast(whole, add_special_tokens=False)] if whole else [],
+                    self.b.encode([x[1:] for x in whole], num_threads=1) if whole else []):
+            sides.append(pa.array(ids, pa.list_(pa.int32())))
+        return Encoded(np.searchsorted(start, offs), code, sides[0], sides[1])
+
+
+class Encoded(NamedTuple):
+    """Every text's pieces (from ``first``, one more entry than texts) as codes of distinct pieces, and these pieces' ids."""
+    first: np.ndarray
+    code: np.ndarray
+    a: pa.ListArray
+    b: pa.ListArray
+
+    def ids(self, i: int, j: int) -> tuple[pa.ListArray, pa.ListArray]:
+        """The ids of texts i to j - 1 by A and by B."""
+        code = pa.array(self.code[self.first[i]:self.first[j]])
         out = []
-        for ids in ([e.ids for e in self.a.encode_batch_fast(lead, add_special_tokens=False)] if flat else [],
-                    self.b.encode(bare, num_threads=1) if flat else []):
-            rows = pa.array(ids, pa.list_(pa.int32()))
-            ends = np.append(0, np.cumsum(pc.list_value_length(rows).to_numpy()))[np.append(0, np.cumsum(many))]
-            out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pc.list_flatten(rows)))
+        for side in (self.a, self.b):
+            mine = side.take(code)
+            ends = np.append(0, np.cumsum(pc.list_value_length(mine).to_numpy()))[self.first[i:j + 1] - self.first[i]]
+            out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pc.list_flatten(mine)))
         return out[0], out[1]
 
 
+def cuts(buf: np.ndarray) -> np.ndarray:
+    """Places of the single spaces between two characters that are not white
+    space. Control characters, and the characters of the four lead bytes that
+    other white space begins with, count as white space: no cut, no harm."""
+    if len(buf) < 3:
+        return np.zeros(0, np.int64)
+    plain = (buf > 0x20) & (buf != 0x7F)
+    two, three = buf == 0xC2, (buf >= 0xE1) & (buf <= 0xE3)
+    for lead, size in ((two, 2), (three, 3)):
+        at = np.flatnonzero(lead)
+        for k in range(size):
+            plain[np.minimum(at + k, len(buf) - 1)] = False
+    return np.flatnonzero((buf[1:-1] == 0x20) & plain[:-2] & plain[2:]) + 1
+
+
 def _tokens(ids: pa.ListArray, names: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """doc, id and end of every token, and all token bytes with every document's first (one more entry)."""
     doc, flat = pc.list_parent_indices(ids).to_numpy(), pc.list_flatten(ids)
@@ -169,11 +189,9 @@ def _listed(ids: np.ndarray, group: np.ndarray, groups: int) -> pa.Array:
     return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), text), ",")
 
 
-def align(texts: pa.Array, vocabularies: Vocabularies) -> tuple[dict[str, np.ndarray | list], pa.Table]:
+def align(texts: pa.Array, ids: tuple[pa.ListArray, pa.ListArray], vocabularies: Vocabularies) -> tuple[dict[str, np.ndarray | list], pa.Table]:
     """n_a, n_b, n_groups, n_links and groups_sha256 of every text, and its counted id pairs (doc, a, b, m)."""
-    texts = texts.fill_null("")
     n = len(texts)
-    ids = vocabularies.encode(texts.to_pylist())
     want, offs = text_bytes(pc.binary_join_element_wise(pa.scalar("", pa.large_string()), texts.cast(pa.large_string()), pa.scalar(" ", pa.large_string())))
     sides = [_tokens(x, t) for x, t in zip(ids, (vocabularies.bytes_a, vocabularies.bytes_b))]
     good = np.array(pc.not_equal(texts, "").to_numpy(zero_copy_only=False), bool)
@@ -181,7 +199,7 @@ def align(texts: pa.Array, vocabularies: Vocabularies) -> tuple[dict[str, np.nda
         good &= _same_bytes(data, first, want, offs)
     a, b = (tuple(x[good[doc]] for x in (doc.astype(np.int64), ident, end)) for doc, ident, end, _, _ in sides)
     links = _links(a, b)
-    ends = np.unique((links.column("doc").to_numpy() << 40) + links.column("end").to_numpy())
+    ends = rising((links.column("doc").to_numpy() << 40) + links.column("end").to_numpy())
     of = ends >> 40
     joined = pc.binary_join_element_wise(*(_listed(x[1], np.searchsorted(ends, (x[0] << 40) + x[2]), len(ends)) for x in (a, b)), "|")
     first = np.searchsorted(of, np.arange(n + 1))
@@ -216,20 +234,17 @@ def aligned_blocks(docs: DataFrame, folder: str = VOCABULARIES) -> DataFrame:
     """Blocks of documents (doc_id, text) with their alignment and id pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new, vocabularies = BlockIds(), Vocabularies.at(folder)
-        doc_id, per, pairs, size = [], [], [], 0
-        for b in slices(batches, "text", SLICE):
-            text = column(b, "text")
-            got, found = align(text, vocabularies)
-            found = found.set_column(0, "doc", pc.add(found.column("doc"), len(doc_id)))
-            doc_id += column(b, "doc_id").to_pylist()
-            per.append(got)
-            pairs.append(found)
-            size += pc.sum(pc.binary_length(text)).as_py() or 0
-            if size >= BLOCK_BYTES:
-                yield _block(new(), doc_id, per, pairs)
-                doc_id, per, pairs, size = [], [], [], 0
-        if doc_id:
-            yield _block(new(), doc_id, per, pairs)
+        for b in slices(batches, "text", BLOCK_BYTES):
+            texts, per, pairs, i = column(b, "text").fill_null(""), [], [], 0
+            encoded = vocabularies.encode(texts)
+            size = pc.binary_length(texts).to_numpy().cumsum()
+            while i < len(texts):
+                j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + SLICE)))
+                got, found = align(texts.slice(i, j - i), encoded.ids(i, j), vocabularies)
+                per.append(got)
+                pairs.append(found.set_column(0, "doc", pc.add(found.column("doc"), i)))
+                i = j
+            yield _block(new(), column(b, "doc_id").to_pylist(), per, pairs)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, BLOCKS)
 

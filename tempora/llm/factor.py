@@ -79,3 +79,9 @@ def coded(a: pa.Array) -> tuple[np.ndarray, pa.Array]:
     d = a.dictionary_encode()
     d = d.combine_chunks() if isinstance(d, pa.ChunkedArray) else d
     return d.indices.to_numpy().astype(np.int64), d.dictionary
+
+
+def rising(x: np.ndarray) -> np.ndarray:
+    """The distinct values of integers, in order."""
+    x = np.sort(x, kind="stable")
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x

@@ -2,7 +2,10 @@
 import hashlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tempora.llm import alignment as al
 
@@ -60,18 +63,30 @@ def test_a_piece_sign_in_the_text_has_no_tokens(spark):
     assert got == Counter([(8, 0, 0, 0, 0, 0, 0, "")])
 
 
-def test_small_blocks_and_parts_of_long_texts(spark, monkeypatch):
-    rows = [(i, " ".join(["alpha", "beta,", "gamma\n", "  delta"][(i * j) % 4] for j in range(40 + i))) for i in range(30)]
-    want = brute(rows)
-    monkeypatch.setattr(al, "PART", 20)
+def test_pieces_change_no_token():
+    v = al.Vocabularies.at(al.VOCABULARIES)
+    texts = [t for _, t in EDGES if t] + ["  ".join("alpha beta, gamma\n delta".split(" ")) for _ in range(3)] + ["a b\u00a0 c \u3000d e\u2003 f é è\u0085 g\x1f h \x7f i",
+             "it's  we 'll x" * 50, " lead and trail ", "1 2 3 4 11 22 ! ?", "\u00e9 \u00e8 \u4e2d \u6587 \u00a0"]
+    got = v.encode(pa.array(texts)).ids(0, len(texts))
+    assert v.parts
+    assert got[0].to_pylist() == [v.a.encode(" " + t, add_special_tokens=False).ids for t in texts]
+    assert got[1].to_pylist() == [v.b.encode(t) for t in texts]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab'1. \n\té\u00a0\u3000\u2003中😀-"), max_size=40), max_size=6))
+def test_pieces_of_any_text(texts):
     v = al.Vocabularies.at(al.VOCABULARIES)
-    assert v.parts and len(v.cut(rows[3][1])) > 3 and "".join(v.cut(rows[3][1])) == rows[3][1]
-    import pyarrow as pa
-    whole = [v.a.encode(" " + t, add_special_tokens=False).ids for _, t in rows], [v.b.encode(t) for _, t in rows]
-    cut = v.encode([t for _, t in rows])
-    assert [x.to_pylist() for x in cut] == list(whole)
-    per, _ = al.align(pa.array([t for _, t in rows]), v)
-    assert {(r[0], r[7]) for r in want} == {(i, h) for (i, _), h in zip(rows, per["groups_sha256"])}
+    got = v.encode(pa.array(texts, pa.string())).ids(0, len(texts))
+    assert got[0].to_pylist() == [v.a.encode(" " + t, add_special_tokens=False).ids if t else [] for t in texts]
+    assert got[1].to_pylist() == [v.b.encode(t) if t else [] for t in texts]
+
+
+def test_small_blocks(spark, monkeypatch):
+    rows = [(i, " ".join(["alpha", "beta,", "gamma\n", "  delta"][(i * j) % 4] for j in range(40 + i))) for i in range(30)]
+    monkeypatch.setattr(al, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(al, "SLICE", 100)
+    assert run(spark, rows) == brute(rows)
 
 
 def test_whole_table(spark):
