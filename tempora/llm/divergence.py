@@ -306,13 +306,16 @@ def audit(docs: DataFrame, least: int = LEAST, top: int = TOP, bucket_bytes: int
     per_group = (kept.select("lang", F.explode(F.arrays_zip("names", "totals")).alias("x"))
                  .groupBy("lang", F.col("x.names").alias("source")).agg(F.sum("x.totals").alias("total")))
     stats = materialise(groups.join(per_lang, "lang").join(per_group, ["lang", "source"], "left").na.fill(0, ["total"]), "divergence-stats")
-    parts = (bucket_parts(kept, stats, top, cells).groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value")))
+    parts = materialise(bucket_parts(kept, stats, top, cells), "divergence-parts")
     # pairs of languages without a kept term
-    pairs = groups.join(groups.select("lang", F.col("source").alias("item")), "lang").filter("source <> item").select("lang", "source", F.lit("pair").alias("part"), "item", F.lit(0).cast("long").alias("value"))
-    none = pairs.join(per_lang.select("lang"), "lang", "left_anti")
-    order = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
-    return (parts.unionByName(none.select(parts.columns)).withColumn("rank", F.row_number().over(order))
-            .filter((F.col("part") == "pair") | (F.col("rank") <= top)))
+    zero = groups.join(groups.select("lang", F.col("source").alias("item")), "lang").filter("source <> item").select("lang", "source", F.lit("pair").alias("part"), "item", F.lit(0).cast("long").alias("value"))
+    none = zero.join(per_lang.select("lang"), "lang", "left_anti")
+    pairs = parts.filter("part = 'pair'").groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
+    terms = parts.filter("part = 'term'").select(*pairs.columns)  # a term is in one bucket
+    order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
+    ranked = lambda df: df.withColumn("rank", F.row_number().over(order))
+    # apart, so that every task keeps only the first terms of a group before they are shuffled
+    return ranked(pairs.unionByName(none.select(*pairs.columns))).unionByName(ranked(terms).filter(F.col("rank") <= top))
 
 
 def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
