@@ -19,10 +19,11 @@ if _ROOT not in sys.path:   # importable when loaded by file path from another f
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import duck_library
 import duck_oracle as O
 from tempora.functions.metrics import round_exact
 from tempora.operators import quality as Q
-from tempora.plans import gold, keyed, reports, study
+from tempora.plans import gold, keyed, reports, study, timelines
 from tempora.plans.series_catalogue import OUTLIER_CODES, REFERENCE_CODE
 from tempora.plans.study import round_doubles
 from tempora.session import scratch_path
@@ -333,6 +334,8 @@ def _study_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # phase 8: keyed / scale variants
         "user_rolling_metrics": q_user_rolling_metrics,
         "block_window_equiv": q_block_window_equiv,
+        # as-of joins and frames by time
+        **timelines.QUERIES,
     }
 
 
@@ -342,4 +345,4 @@ def oracle_sql() -> dict[str, str]:
     q["sql_publication_lag"] = q["dq_lag"]
     q["block_window_equiv"] = ("SELECT COUNT(*) AS linhas_keyed, COUNT(*) AS linhas_blocos, "
                                "CAST(0 AS BIGINT) AS diferentes FROM events")
-    return q | _corpus()[1]
+    return q | duck_library.sql() | _corpus()[1]
