@@ -41,9 +41,57 @@ SELECT p.data, p.indicador, s.data AS data_obs, s.valor
 FROM pedidos p ASOF LEFT JOIN silver s ON p.indicador = s.indicador AND p.data >= s.data"""
 
 
+#: the landing files: every row and its faults, and on every 61st day a record that cannot be read
+FILES = """,
+dated AS (SELECT *, year(DATE '1970-01-01' + dia::INTEGER) AS ano FROM good),
+files AS (
+  SELECT * FROM dated
+  UNION ALL SELECT * FROM dated WHERE dia % 17 = 0
+  UNION ALL SELECT * REPLACE ('n/d' AS data_txt) FROM dated WHERE dia % 101 = 0
+  UNION ALL SELECT * REPLACE ('.' AS valor_txt) FROM dated WHERE dia % 53 = 0
+  UNION ALL SELECT * REPLACE ('-' || valor_txt AS valor_txt) FROM dated WHERE dia % 71 = 0),
+broken AS (
+  SELECT tabela, indicador, ano,
+         CASE fmt WHEN 'dmy' THEN printf('{"data":"%s","valor" "%s"}', data_txt, coalesce(valor_txt, ''))
+                  ELSE data_txt || ',' || coalesce(valor_txt, '') || ',x' END AS registro
+  FROM dated WHERE dia % 61 = 0)"""
+
+BRONZE_JSON_ARRAYS = FILES + """
+SELECT tabela, tabela || '/' || ano AS arquivo, data_txt, valor_txt, '2026-09-27 00:00:00' AS ingestao FROM files WHERE fmt = 'dmy'"""
+
+BRONZE_QUARANTINE = FILES + """
+SELECT tabela, tabela || '/' || ano AS arquivo, registro FROM broken"""
+
+LEDGER_BY_FILE = FILES + """,
+t AS (
+  SELECT indicador, tabela || '/' || ano AS arquivo,
+         CAST(CASE WHEN fmt = 'dmy' THEN try_strptime(data_txt, '%d/%m/%Y') ELSE try_strptime(data_txt, '%Y-%m-%d') END AS DATE) AS data,
+         TRY_CAST(trim(valor_txt) AS DECIMAL(18,6)) AS valor
+  FROM files),
+l AS (
+  SELECT *, CASE WHEN data IS NULL THEN 'data_invalida' WHEN data < DATE '1996-01-01' THEN 'fora_periodo'
+                 WHEN valor IS NULL THEN 'sem_valor' WHEN valor <= 0 THEN 'valor_invalido' END AS regra
+  FROM t
+  UNION ALL SELECT indicador, tabela || '/' || ano, NULL, NULL, 'ilegiveis' FROM broken)
+SELECT indicador, arquivo, COUNT(*) AS linhas_bronze, COUNT(*) FILTER (regra = 'ilegiveis') AS ilegiveis,
+       COUNT(*) FILTER (regra = 'data_invalida') AS data_invalida, COUNT(*) FILTER (regra = 'fora_periodo') AS fora_periodo,
+       COUNT(*) FILTER (regra = 'sem_valor') AS sem_valor, COUNT(*) FILTER (regra = 'valor_invalido') AS valor_invalido,
+       COUNT(*) FILTER (regra IS NULL) - COUNT(DISTINCT data) FILTER (regra IS NULL) AS duplicadas,
+       COUNT(DISTINCT data) FILTER (regra IS NULL) AS linhas_silver
+FROM l GROUP BY indicador, arquivo"""
+
+LANDING_MANIFEST = FILES + """,
+esperado(arquivo) AS (SELECT tabela FROM spec UNION ALL VALUES ('bcb_selic'))
+SELECT e.arquivo, COUNT(DISTINCT f.ano) AS arquivos, COUNT(f.ano) > 0 AS presente FROM esperado e LEFT JOIN files f ON f.tabela = e.arquivo GROUP BY e.arquivo"""
+
+
 def sql() -> dict[str, str]:
     return {
         "asof_events_orders": ASOF_EVENTS_ORDERS,
         "user_time_frames": USER_TIME_FRAMES,
+        "bronze_json_arrays": O.with_(O.bronze_ctes(), BRONZE_JSON_ARRAYS),
+        "bronze_quarantine": O.with_(O.bronze_ctes(), BRONZE_QUARANTINE),
+        "ledger_by_file": O.with_(O.bronze_ctes(), LEDGER_BY_FILE),
+        "landing_manifest": O.with_(O.bronze_ctes(), LANDING_MANIFEST),
         "align_all_series": O.with_(O.silver_ctes(), ALIGN_ALL_SERIES),
     }

@@ -40,12 +40,12 @@ def parse_text(df: DataFrame, date_col: str, date_fmt: str, value_col: str,
 
 def normalise_long(long: DataFrame, specs: Sequence[SeriesSpec], table_col: str = "tabela",
                    date_col: str = "data_txt", value_col: str = "valor_txt",
-                   decimal_type: str = "decimal(18,6)") -> DataFrame:
+                   decimal_type: str = "decimal(18,6)", keep: Sequence[Column] = ()) -> DataFrame:
     """Typed long table ``(data, indicador, valor, fonte, unidade
     [, _data_ingestao])`` from a stacked raw table ``(tabela, date text,
     value text)`` (C3). One pass: each row is parsed with its own source's
     date format via a CASE over the catalogue. Rows are only parsed here;
-    nothing is dropped yet (see ``waterfall``)."""
+    nothing is dropped yet (see ``waterfall``). ``keep``: further columns."""
     t = F.col(table_col)
 
     def case(then) -> Column:
@@ -62,7 +62,7 @@ def normalise_long(long: DataFrame, specs: Sequence[SeriesSpec], table_col: str
         cols.append(F.col(LINEAGE_TS))
     listed = t.isin([s.table for s in specs])
     known = F.when(listed, True).otherwise(F.raise_error(F.concat(F.lit("source not in the catalogue: "), F.coalesce(t, F.lit("NULL")))).cast("boolean"))
-    return long.filter(known).select(*cols)
+    return long.filter(known).select(*cols, *keep)
 
 
 def _sql_str(text: str) -> str:
@@ -151,6 +151,39 @@ def waterfall(df: DataFrame, keys: Sequence[str] = ("indicador",), date: str = "
     return clean, ledger
 
 
+def ledger_by_source(df: DataFrame, keys: Sequence[str], source: Sequence[str], date: str = "data", value: str = "valor",
+                     cutoff="2017-01-01", unreadable: Column | None = None, materialise=None) -> DataFrame:
+    """The discard ledger per key and source of the rows (file, load, ...):
+    every row is counted where it came from, and the surviving row of a date is
+    counted in its own source. ``unreadable`` marks rows that could not be read
+    at all; they are counted first, as ``ilegiveis``. The counters add up:
+    bronze = ilegiveis + sum(rules) + duplicadas + silver, in every source.
+
+    One aggregate by key, date and source (map-side combined); the survivor of
+    a date is then chosen among the few sources that hold it."""
+    keys, source = list(keys), list(source)
+    lost = F.lit(False) if unreadable is None else unreadable
+    labelled = label_rules(df, date, value, cutoff).withColumn("_lost", lost)
+    valid = F.col(RULE).isNull() & ~F.col("_lost")
+    per = labelled.groupBy(*keys, date, *source).agg(
+        F.count("*").alias("_n"), F.count_if("_lost").alias("_n_lost"), F.count_if(valid).alias("_n_valid"),
+        *[F.count_if((F.col(RULE) == r) & ~F.col("_lost")).alias(r) for r in LEDGER_RULES],
+        F.max(F.when(valid, F.struct(*([F.col(LINEAGE_TS)] if LINEAGE_TS in df.columns else []), F.col(value)))).alias("_best"))
+    if materialise is not None:
+        per = materialise(per)
+    tie = F.struct("_best", *source)
+    chosen = (per.filter("_n_valid > 0").groupBy(*keys, date).agg(F.max_by(F.struct(*source), tie).alias("_s"))
+              .groupBy(*keys, *[F.col(f"_s.{c}").alias(c) for c in source]).agg(F.count("*").alias("linhas_silver")))
+    sums = per.groupBy(*keys, *source).agg(
+        F.sum("_n").cast("bigint").alias("linhas_bronze"), F.sum("_n_lost").cast("bigint").alias("ilegiveis"),
+        *[F.sum(r).cast("bigint").alias(r) for r in LEDGER_RULES], F.sum("_n_valid").cast("bigint").alias("_valid"))
+    on = [*keys, *source]
+    kept = chosen.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    j = sums.join(kept, [sums[c].eqNullSafe(kept[f"_on_{c}"]) for c in on], "left")
+    silver = F.coalesce("linhas_silver", F.lit(0).cast("bigint"))
+    return j.select(*on, "linhas_bronze", "ilegiveis", *LEDGER_RULES, (F.col("_valid") - silver).alias("duplicadas"), silver.alias("linhas_silver"))
+
+
 def dedup_latest(df: DataFrame, grain: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Keep one row per ``grain``: the one with the largest ``order`` struct.
     Aggregate-based (map-side combine), safe for hot keys."""

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tempora.plans import gold
 from tempora.plans.series_catalogue import RANGE_BOUNDS
 from tempora.session import cut_lineage, scratch_path
+from tempora.sources.arrays import render_landing_files
 from tempora.sources.fixtures import bronze_long, render_landing
 
 
@@ -37,6 +38,15 @@ def landing(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, str]]:
     return _memo(spark, ("landing", sf_dir), build)
 
 
+def landing_files(spark: SparkSession, sf_dir: str) -> str:
+    """The landing files by table and year, as the sources publish them; rendered once per session."""
+    def build():
+        folder = scratch_path(spark, "landing-files")
+        render_landing_files(spark, sf_dir, folder)
+        return folder
+    return _memo(spark, ("landing_files", sf_dir), build)
+
+
 def silver(spark: SparkSession, sf_dir: str, materialise: bool = True) -> tuple[DataFrame, DataFrame]:
     """Silver layer; by default materialised in the shared checkpoint folder
     (the layer boundary the study writes as a table)."""

@@ -128,9 +128,10 @@ def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .alias("valor_txt")))
 
 
-def bronze_long(spark: SparkSession, sf_dir: str, materialise: bool = True) -> DataFrame:
+def bronze_days(spark: SparkSession, sf_dir: str, materialise: bool = True) -> DataFrame:
     """All six raw-layout series in one long text table
-    ``(tabela, data_txt, valor_txt)``.
+    ``(tabela, data_txt, valor_txt, dia, falha)``: ``dia`` is the day's number,
+    ``falha`` 0 for its own row and above 0 for faulty rows beside it.
 
     JSON-like tables list observed days (``dd/MM/yyyy``); CSV-like tables list
     every calendar day between their first and last observation
@@ -156,13 +157,18 @@ def bronze_long(spark: SparkSession, sf_dir: str, materialise: bool = True) -> D
     return _with_faults(json_like.unionByName(csv_like))
 
 
+def bronze_long(spark: SparkSession, sf_dir: str, materialise: bool = True) -> DataFrame:
+    """The raw-layout series as ``(tabela, data_txt, valor_txt)``."""
+    return bronze_days(spark, sf_dir, materialise).select("tabela", "data_txt", "valor_txt")
+
+
 def _with_faults(rows: DataFrame) -> DataFrame:
     """Every row, and beside it on some days (by day number) a faulty one:
     a repeat, an unreadable date, an unreadable value, a negative value."""
-    made = ", ".join(f"if(dia % {every} = 0, named_struct('data_txt', {date}, 'valor_txt', {value}), NULL)"
-                     for every, date, value in FAULTS)
-    every_row = F.expr(f"array_compact(array(named_struct('data_txt', data_txt, 'valor_txt', valor_txt), {made}))")
-    return rows.select("tabela", F.explode(every_row).alias("r")).select("tabela", "r.data_txt", "r.valor_txt")
+    made = ", ".join(f"if(dia % {every} = 0, named_struct('data_txt', {date}, 'valor_txt', {value}, 'falha', {i}), NULL)"
+                     for i, (every, date, value) in enumerate(FAULTS, 1))
+    every_row = F.expr(f"array_compact(array(named_struct('data_txt', data_txt, 'valor_txt', valor_txt, 'falha', 0), {made}))")
+    return rows.select("tabela", "dia", F.explode(every_row).alias("r")).select("tabela", "r.data_txt", "r.valor_txt", "dia", "r.falha")
 
 
 def bronze_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
