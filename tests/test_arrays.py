@@ -56,7 +56,7 @@ def test_csv_lines_of_another_width(spark, tmp_path):
 
 
 def test_rendered_arrays_are_arrays(spark):
-    folder = study.landing_files(spark, SF_SMALL)
+    folder = study.landing_files(spark, SF_SMALL).removeprefix("file:")
     years = 0
     for root, _, files in os.walk(os.path.join(folder, "tabela=bcb_ptax")):
         for f in files:
