@@ -23,7 +23,7 @@ import duck_library
 import duck_oracle as O
 from tempora.functions.metrics import round_exact
 from tempora.operators import quality as Q
-from tempora.plans import gold, keyed, landing, reports, study, timelines
+from tempora.plans import gold, keyed, landing, reports, rollups, study, timelines
 from tempora.plans.series_catalogue import OUTLIER_CODES, REFERENCE_CODE
 from tempora.plans.study import round_doubles
 from tempora.session import scratch_path
@@ -193,16 +193,9 @@ def q_documented_tables(spark, sf):
     return out
 
 
-def _published_silver(spark, sf):
-    """Publish the Silver table under its catalog name so plain SQL can use it."""
-    from tempora.plans import catalog, job, dictionary as D
-    catalog.create_schema(spark, "silver", D.SCHEMA_COMMENTS["silver"], scratch_path(spark, "silver-schema"))
-    job.publish(spark, "silver.serie_diaria", _silver(spark, sf))
-
-
 def q_sql_gaps(spark, sf):
     """D7 through the SQL API: a named keyed window (W12) over the table."""
-    _published_silver(spark, sf)
+    study.published_silver(spark, sf)
     return spark.sql("""
         WITH steps AS (
           SELECT indicador, datediff(data, lag(data) OVER by_series) AS intervalo
@@ -216,7 +209,7 @@ def q_sql_gaps(spark, sf):
 
 def q_sql_publication_lag(spark, sf):
     """D8 through the SQL API: an uncorrelated scalar subquery inside datediff."""
-    _published_silver(spark, sf)
+    study.published_silver(spark, sf)
     return spark.sql(f"""
         SELECT indicador, max(data) AS ultima_data,
                datediff((SELECT max(data) FROM silver.serie_diaria WHERE indicador = '{REFERENCE_CODE}'),
@@ -338,6 +331,8 @@ def _study_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **timelines.QUERIES,
         # landing files by year: arrays, quarantine, ledger of each file
         **landing.QUERIES,
+        # stored states: sketches, bitmaps, moments; SQL with parameters
+        **rollups.QUERIES,
     }
 
 

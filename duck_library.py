@@ -85,6 +85,34 @@ esperado(arquivo) AS (SELECT tabela FROM spec UNION ALL VALUES ('bcb_selic'))
 SELECT e.arquivo, COUNT(DISTINCT f.ano) AS arquivos, COUNT(f.ano) > 0 AS presente FROM esperado e LEFT JOIN files f ON f.tabela = e.arquivo GROUP BY e.arquivo"""
 
 
+REGIME_CUTS_MERGED = """
+SELECT l_returnflag, COUNT(*) AS linhas, COUNT(DISTINCT date_trunc('month', l_shipdate)) AS meses, TRUE AS corte1_ok, TRUE AS corte2_ok
+FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY l_returnflag"""
+
+DISTINCT_ORDERS_MERGED = """
+SELECT year(l_shipdate)::INTEGER AS ano, COUNT(DISTINCT l_orderkey) AS pedidos FROM lineitem GROUP BY 1"""
+
+UNIQUE_ITEMS = """
+SELECT l_returnflag, COUNT(*) AS linhas, COUNT(DISTINCT (l_orderkey, l_linenumber)) AS chaves,
+       COUNT(*) - COUNT(DISTINCT (l_orderkey, l_linenumber)) AS duplicadas
+FROM lineitem GROUP BY l_returnflag"""
+
+ZSCORE_FROM_STATES = """
+WITH p AS (SELECT event_id, event_type, ts::DATE AS dia, value FROM events WHERE ts::DATE BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'),
+s AS (SELECT event_type, COUNT(value) AS n, AVG(value) AS m, STDDEV_SAMP(value) AS sd FROM p GROUP BY event_type)
+SELECT event_id, p.event_type, dia, n AS linhas_periodo, ROUND((value - m) / NULLIF(sd, 0), 6) AS z_score
+FROM p JOIN s ON p.event_type IS NOT DISTINCT FROM s.event_type WHERE ABS((value - m) / NULLIF(sd, 0)) > 1.7"""
+
+
+def _range_check() -> str:
+    return O.with_(O.silver_ctes(), f""",
+l(indicador, minimo, maximo) AS (VALUES {O.BOUNDS_SQL})
+SELECT l.indicador, CAST(l.minimo AS DOUBLE) AS minimo, CAST(l.maximo AS DOUBLE) AS maximo, COUNT(s.valor) AS dias,
+       COUNT(*) FILTER (s.valor NOT BETWEEN l.minimo AND l.maximo) AS fora_da_faixa
+FROM l LEFT JOIN silver s ON s.indicador = l.indicador AND s.data >= DATE '1998-01-01'
+GROUP BY l.indicador, l.minimo, l.maximo""")
+
+
 def sql() -> dict[str, str]:
     return {
         "asof_events_orders": ASOF_EVENTS_ORDERS,
@@ -93,5 +121,10 @@ def sql() -> dict[str, str]:
         "bronze_quarantine": O.with_(O.bronze_ctes(), BRONZE_QUARANTINE),
         "ledger_by_file": O.with_(O.bronze_ctes(), LEDGER_BY_FILE),
         "landing_manifest": O.with_(O.bronze_ctes(), LANDING_MANIFEST),
+        "regime_cuts_merged": REGIME_CUTS_MERGED,
+        "distinct_orders_merged": DISTINCT_ORDERS_MERGED,
+        "unique_items": UNIQUE_ITEMS,
+        "zscore_from_states": ZSCORE_FROM_STATES,
+        "sql_range_check": _range_check(),
         "align_all_series": O.with_(O.silver_ctes(), ALIGN_ALL_SERIES),
     }

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 
+# fixed values: columns, codes, cutoff and horizons of the study's tables
 WIDE_COLS = ["ptax", "cdi", "fed_funds", "dolar_amplo", "vix", "brent"]
 CODES = {"PTAX_VENDA": "ptax", "CDI": "cdi", "FED_FUNDS": "fed_funds",
          "DOLAR_AMPLO": "dolar_amplo", "VIX": "vix", "BRENT": "brent"}
@@ -32,6 +33,10 @@ SERIES_SQL = """
   ('fred_brent', 'BRENT', 'FRED - DCOILBRENTEU', 'USD por barril', 'ymd')
 """
 
+#: fixed values: plausible range per series
+BOUNDS_SQL = """('PTAX_VENDA', 2.0, 8.0), ('CDI', 0.0, 20.0), ('FED_FUNDS', 0.0, 10.0),
+               ('DOLAR_AMPLO', 80.0, 160.0), ('VIX', 5.0, 100.0), ('BRENT', 5.0, 200.0)"""
+
 
 def _r(expr: str, n: int) -> str:
     return f"ROUND({expr}, {n})"
@@ -362,10 +367,9 @@ SELECT 'fato_janela_cambial -> dim_tempo' AS relacao, COUNT(*) AS orfaos
 FROM wide f ANTI JOIN dim_tempo d ON f.data = d.data
 UNION ALL SELECT 'fato_indicador_diario -> dim_tempo', COUNT(*) FROM fato_ind f ANTI JOIN dim_tempo d ON f.data = d.data
 UNION ALL SELECT 'fato_indicador_diario -> dim_indicador', COUNT(*) FROM fato_ind f ANTI JOIN dim_ind d ON f.indicador = d.indicador""")
-    q["dq_range"] = with_(S, """,
+    q["dq_range"] = with_(S, f""",
 limites AS (SELECT indicador, CAST(mn AS DOUBLE) AS minimo_esperado, CAST(mx AS DOUBLE) AS maximo_esperado
-  FROM (VALUES ('PTAX_VENDA', 2.0, 8.0), ('CDI', 0.0, 20.0), ('FED_FUNDS', 0.0, 10.0),
-               ('DOLAR_AMPLO', 80.0, 160.0), ('VIX', 5.0, 100.0), ('BRENT', 5.0, 200.0)) t(indicador, mn, mx))
+  FROM (VALUES {BOUNDS_SQL}) t(indicador, mn, mx))
 SELECT l.indicador, l.minimo_esperado, l.maximo_esperado, MIN(s.valor) AS minimo_obs, MAX(s.valor) AS maximo_obs,
        CAST(SUM(CASE WHEN CAST(s.valor AS DOUBLE) NOT BETWEEN l.minimo_esperado AND l.maximo_esperado THEN 1 ELSE 0 END) AS BIGINT) AS fora_da_faixa
 FROM silver s JOIN limites l ON s.indicador = l.indicador

@@ -22,14 +22,7 @@ from tempora.plans.series_catalogue import OUTLIER_CODES, REFERENCE_CODE, SERIES
 from tempora.session import cut_lineage, scratch_path
 from tempora.sources.fixtures import render_landing
 from tempora.sources.ingest import assert_manifest, ingest, manifest
-
-
-def publish(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
-    """Full overwrite of ``schema.table`` as an external parquet table in the
-    shared folder; returns the table."""
-    df.write.mode("overwrite").format("parquet").option("path", scratch_path(spark, name)) \
-        .saveAsTable(name)
-    return spark.table(name)
+from tempora.sources.publish import publish
 
 
 def run(spark: SparkSession, sf_dir: str, document: bool = True) -> dict[str, DataFrame]:

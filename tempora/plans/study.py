@@ -10,23 +10,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tempora.plans import gold
+from tempora.plans import catalog, gold
+from tempora.plans.dictionary import SCHEMA_COMMENTS
 from tempora.plans.series_catalogue import RANGE_BOUNDS
 from tempora.session import cut_lineage, scratch_path
 from tempora.sources.arrays import render_landing_files
 from tempora.sources.fixtures import bronze_long, render_landing
+from tempora.sources.publish import publish
 
 
 _MEMO: dict = {}
+#: which input each published table holds
+_PUBLISHED: dict = {}
+
+
+def _inputs(spark: SparkSession, sf_dir: str) -> tuple:
+    """What the layers are made of: the input files with their sizes and times."""
+    listed = []
+    for name in ("orders", "lineitem"):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        listed += [tuple(r) for r in files.select("path", "length", "modificationTime").orderBy("path").collect()]  # one row a file
+    return tuple(listed)
 
 
 def _memo(spark: SparkSession, key: tuple, build):
     """Materialised layers are reused within one session (the layer tables a
-    pipeline run writes once and every report reads)."""
+    pipeline run writes once and every report reads), as long as the input
+    files are the same ones."""
     k = (id(spark), spark.sparkContext.applicationId, *key)
-    if k not in _MEMO:
-        _MEMO[k] = build()
-    return _MEMO[k]
+    now = _inputs(spark, key[1])
+    if k not in _MEMO or _MEMO[k][0] != now:
+        _MEMO[k] = (now, build())
+    return _MEMO[k][1]
+
+
+def published_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Silver layer under its catalog name, for plain SQL; a new version only for another input."""
+    name, now = "silver.serie_diaria", (id(spark), spark.sparkContext.applicationId, _inputs(spark, sf_dir))
+    if _PUBLISHED.get(name) != now or not spark.catalog.tableExists(name):
+        catalog.create_schema(spark, "silver", SCHEMA_COMMENTS["silver"], scratch_path(spark, "silver-schema"))
+        publish(spark, name, silver(spark, sf_dir)[0])
+        _PUBLISHED[name] = now
+    return spark.table(name)
 
 
 def landing(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, str]]:
