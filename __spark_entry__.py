@@ -168,10 +168,11 @@ def q_dq_row_counts(spark, sf):
 
 
 def q_documented_tables(spark, sf):
-    """Write the Gold tables as external tables in the shared
-    folder, document schema, tables and columns, and read the dictionary back
-    from the catalog: (tabela, coluna, comentario)."""
+    """Publish the Gold tables, document schema, tables and
+    columns, and read the dictionary back from the catalog beside what the
+    tables hold: (tabela, coluna, tipo, documentada, linhas, nulos)."""
     from tempora.plans import catalog, dictionary as D
+    from tempora.sources.publish import publish
     s, _, daily, wide, dim_t, dim_i = _gold_tables(spark, sf)
     catalog.create_schema(spark, "gold", D.SCHEMA_COMMENTS["gold"], scratch_path(spark, "gold-schema"))
     tables = {"dim_tempo": dim_t, "dim_indicador": dim_i, "fato_indicador_diario": daily,
@@ -179,20 +180,32 @@ def q_documented_tables(spark, sf):
     parts = []
     for name, df in tables.items():
         full = f"gold.{name}"
-        df.write.mode("overwrite").option("path", scratch_path(spark, f"gold-{name}")).saveAsTable(full)
+        table = publish(spark, full, df)
         cols = dict(D.COLUMN_COMMENTS.get(name, {}))
         if name == "fato_janela_cambial":
             cols.update(catalog.horizon_comments(D.HORIZON_TEMPLATES))
         catalog.document(spark, full, D.TABLE_COMMENTS[name], cols)
-        parts.append(catalog.column_comments(spark, full)
-                     .select(F.lit(name).alias("tabela"), F.col("col_name").alias("coluna"),
-                             F.col("comment").alias("comentario")))
+        listed = catalog.columns(spark, full)
+        held = Q.null_profile(table).withColumn("linhas", table.agg(F.count("*")).scalar())
+        parts.append(listed.join(held, "coluna").select(
+            F.lit(name).alias("tabela"), "coluna", "tipo", (F.coalesce("comentario", F.lit("")) != "").alias("documentada"), "linhas", "nulos"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def q_orphan_rows(spark, sf):
+    """D5 where rows do lack their match: items whose order is not a finished
+    one, orders whose customer has no credit."""
+    orders = fixtures.read_table(spark, sf, "orders")
+    done = orders.filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("chave"))
+    rich = fixtures.read_table(spark, sf, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("chave"))
+    items = fixtures.read_table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("chave"))
+    return Q.orphans({"lineitem -> orders (F)": (items, done, "chave"),
+                      "orders -> customer (saldo > 0)": (orders.select(F.col("o_custkey").alias("chave")), rich, "chave")})
+
+
 def q_sql_gaps(spark, sf):
     """D7 through the SQL API: a named keyed window (W12) over the table."""
     study.published_silver(spark, sf)
@@ -302,6 +315,7 @@ def _study_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_nulls": q_dq_nulls,
         "dq_unique": q_dq_unique,
         "dq_orphans": q_dq_orphans,
+        "orphan_rows": q_orphan_rows,
         "dq_range": q_dq_range,
         "dq_gaps": q_dq_gaps,
         "dq_lag": q_dq_lag,

@@ -113,6 +113,30 @@ FROM l LEFT JOIN silver s ON s.indicador = l.indicador AND s.data >= DATE '1998-
 GROUP BY l.indicador, l.minimo, l.maximo""")
 
 
+ORPHAN_ROWS = """
+SELECT 'lineitem -> orders (F)' AS relacao, COUNT(*) AS orfaos FROM lineitem
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus = 'F')
+UNION ALL
+SELECT 'orders -> customer (saldo > 0)', COUNT(*) FROM orders
+WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal > 0)"""
+
+
+def _documented(q: dict[str, str]) -> str:
+    day, text, flag = "date", "string", "boolean"
+    tables = {
+        "dim_tempo": (q["dim_time"], {"data": day, "ano": "int", "trimestre": "int", "mes": "int", "ano_mes": text, "semana_ano": "int",
+                                      "dia_semana": text, "eh_dia_util_ptax": flag}),
+        "dim_indicador": (q["dim_indicator"], dict.fromkeys(["indicador", "nome", "categoria", "unidade", "fonte", "periodicidade"], text)),
+        "fato_indicador_diario": (q["daily_change"], {"data": day, "indicador": text, **dict.fromkeys(["valor", "variacao_abs", "variacao_pct"], "double")}),
+        "fato_janela_cambial": (q["wide_fact"], {"data": day, **{c: text if c in ("regime_vol", "faixa_252d") else "double" for c in O.WIDE_ALL}}),
+    }
+    parts = []
+    for name, (body, cols) in tables.items():
+        listed = ", ".join(f"{{'coluna': '{c}', 'tipo': '{t}', 'nulos': COUNT(*) - COUNT({c})}}" for c, t in cols.items())
+        parts.append(f"SELECT '{name}' AS tabela, unnest(l, recursive := true), TRUE AS documentada, linhas FROM (SELECT COUNT(*) AS linhas, [{listed}] AS l FROM ({body}))")
+    return "\nUNION ALL BY NAME\n".join(parts)
+
+
 def sql() -> dict[str, str]:
     return {
         "asof_events_orders": ASOF_EVENTS_ORDERS,
@@ -121,6 +145,8 @@ def sql() -> dict[str, str]:
         "bronze_quarantine": O.with_(O.bronze_ctes(), BRONZE_QUARANTINE),
         "ledger_by_file": O.with_(O.bronze_ctes(), LEDGER_BY_FILE),
         "landing_manifest": O.with_(O.bronze_ctes(), LANDING_MANIFEST),
+        "orphan_rows": ORPHAN_ROWS,
+        "documented_tables": _documented(O.all_sql("2000-01-01")),
         "regime_cuts_merged": REGIME_CUTS_MERGED,
         "distinct_orders_merged": DISTINCT_ORDERS_MERGED,
         "unique_items": UNIQUE_ITEMS,

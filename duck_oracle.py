@@ -191,8 +191,8 @@ w1 AS (
          {logret('vix', 'LAG(vix) OVER w')} AS ret_vix,
          {logret('brent', 'LAG(brent) OVER w')} AS ret_brent,
          {pct('ptax', 'LAG(ptax, 5) OVER w')} AS var_ptax_5d_pct,
-         CAST((2 * SUM(CAST(ROUND(ptax * 1000000) AS HUGEINT)) OVER f63 + COUNT(ptax) OVER f63)
-              // (2 * COUNT(ptax) OVER f63) AS DOUBLE) / 1000000.0 AS mm_63d,
+         SUM(CAST(ROUND(ptax * 1000000) AS HUGEINT)) OVER f63 AS soma_63d, COUNT(ptax) OVER f63 AS n_63d,
+         CAST(soma_63d AS DOUBLE) / n_63d / 1000000.0 AS mm_63d,
          MIN(ptax) OVER (ORDER BY data ROWS BETWEEN 251 PRECEDING AND CURRENT ROW) AS min_252d,
          MAX(ptax) OVER (ORDER BY data ROWS BETWEEN 251 PRECEDING AND CURRENT ROW) AS max_252d,
          cdi - fed_funds AS diferencial_juros_pp,

@@ -7,7 +7,7 @@ is the number of days in the range, independent of the data volume.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tempora.plans.series_catalogue import WEEKDAY_NAMES
@@ -21,22 +21,22 @@ def date_spine(df: DataFrame, col: str = "data", name: str = "data") -> DataFram
             .select(F.explode(F.sequence("_ini", "_fim", F.expr("INTERVAL 1 DAY"))).alias(name)))
 
 
-#: Attributes of a day, as SQL over the day column.
-ATTRIBUTES = {
-    "ano": "year({day})",
-    "trimestre": "quarter({day})",
-    "mes": "month({day})",
-    "ano_mes": "substring(cast({day} as string), 1, 7)",
-    "semana_ano": "extract(week from {day})",
-    "dia_semana": "elt(1 + weekday({day}), {names})",
-}
+def attributes(day: Column) -> dict[str, Column]:
+    """Calendar attributes of a day."""
+    return {
+        "ano": F.year(day),
+        "trimestre": F.quarter(day),
+        "mes": F.month(day),
+        "ano_mes": F.date_format(day, "yyyy-MM"),
+        "semana_ano": F.weekofyear(day),
+        "dia_semana": F.elt(F.dayofweek(day), *[F.lit(n) for n in WEEKDAY_NAMES]),
+    }
 
 
 def dim_time(spine: DataFrame, flag_dates: DataFrame, col: str = "data", flag: str = "eh_dia_util_ptax") -> DataFrame:
-    """The spine's days with their ``ATTRIBUTES`` and whether ``flag_dates``
+    """The spine's days with their ``attributes`` and whether ``flag_dates``
     has the day. Both sides are bounded by the calendar."""
-    names = ", ".join(f"'{n}'" for n in WEEKDAY_NAMES[1:] + WEEKDAY_NAMES[:1])  # from Monday on
-    days = spine.withColumns({a: F.expr(sql.format(day=f"`{col}`", names=names)) for a, sql in ATTRIBUTES.items()})
+    days = spine.withColumns(attributes(F.col(col)))
     listed = flag_dates.groupBy(F.col(col).alias("_listed")).agg(F.count("*").alias("_n"))
     return (days.join(listed, days[col] == F.col("_listed"), "left")
             .withColumn(flag, F.col("_n").isNotNull()).drop("_listed", "_n"))

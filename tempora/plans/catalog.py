@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tempora.plans.series_catalogue import HORIZONS
 
@@ -67,6 +68,12 @@ def horizon_comments(templates: dict[str, str],
     return out
 
 
+def columns(spark: SparkSession, table: str) -> DataFrame:
+    """(coluna, tipo, comentario) as recorded in the catalog."""
+    return spark.sql(f"DESCRIBE TABLE {_ident(table)}").select(
+        F.col("col_name").alias("coluna"), F.col("data_type").alias("tipo"), F.col("comment").alias("comentario"))
+
+
 def column_comments(spark: SparkSession, table: str) -> DataFrame:
     """Column name -> comment as recorded in the catalog."""
     return spark.sql(f"DESCRIBE TABLE {_ident(table)}").select("col_name", "comment")

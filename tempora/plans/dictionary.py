@@ -36,6 +36,10 @@ COLUMN_COMMENTS = {
             "ano_mes": "Text yyyy-MM", "semana_ano": "ISO week number", "dia_semana": "Name of the weekday"}.items()},
         "eh_dia_util_ptax": "Whether Silver has a row of the reference series for data.",
     },
+    "dim_indicador": {
+        "indicador": "Code of the series; key of the dimension.", "nome": "Name for reports.", "categoria": "What the series measures.",
+        "unidade": "Unit of its values.", "fonte": "Publisher and the publisher's own code.", "periodicidade": "How often it is published.",
+    },
     "serie_diaria": {
         "data": _DAY, "indicador": "Code of the series.", "valor": "Parsed number, six decimals, above zero.",
         "fonte": "Publisher of the raw file.", "unidade": "Unit of valor.",

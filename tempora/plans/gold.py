@@ -175,8 +175,8 @@ def wide_fact(silver_df: DataFrame, block_rows: int | None = DEFAULT_BLOCK_ROWS,
         if vol_min_periods is None else
         F.when(F.count("ret_ptax").over(frame(-20, 0)) >= vol_min_periods,
                M.annualised_vol(F.stddev_samp("ret_ptax").over(frame(-20, 0)))),
-        # exact mean of the 6-decimal levels, rounded half-up to 6 decimals
-        "mm_63d": F.round(F.avg("_ptax_dec").over(frame(-62, 0)), 6).cast("double"),
+        # mean of the 6-decimal levels as DECIMAL: no dependence on the order of a double sum
+        "mm_63d": F.avg("_ptax_dec").over(frame(-62, 0)).cast("double"),
         "min_252d": F.min("ptax").over(frame(-251, 0)),
         "max_252d": F.max("ptax").over(frame(-251, 0)),
     })
