@@ -82,14 +82,16 @@ def main(argv=None) -> None:
     and print the row count of every published table (one small job each)."""
     import sys
 
-    from tempora.session import local_session
+    from tempora.session import clear_layers, layer_mark, local_session
     args = list(sys.argv[1:] if argv is None else argv)
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     spark = local_session()
+    mark = layer_mark()
     out = run(spark, sf_dir)
     for name, df in out.items():
         if name.split(".")[0] in ("bronze", "silver", "gold"):
             print(f"{name:32s} {df.count():>10d}")
+    clear_layers(spark, mark)   # the tables are published; nothing reads the layers any more
     spark.stop()
 
 

@@ -25,12 +25,15 @@ _PUBLISHED: dict = {}
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> tuple:
-    """What the layers are made of: the input files with their sizes and times."""
-    listed = []
+    """What the layers are made of: the input files with their sizes and times, as the file system lists them."""
+    conf, listed = spark._jsparkSession.sessionState().newHadoopConf(), []
     for name in ("orders", "lineitem"):
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        listed += [tuple(r) for r in files.select("path", "length", "modificationTime").orderBy("path").collect()]  # one row a file
-    return tuple(listed)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        files = path.getFileSystem(conf).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            listed.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(listed))
 
 
 def _memo(spark: SparkSession, key: tuple, build):

@@ -74,9 +74,30 @@ def cut_lineage(df, name: str = "layer"):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    _LAYERS.append(path)
     return spark.read.parquet(path)
 
 
+#: what ``cut_lineage`` wrote in this process, in order
+_LAYERS: list[str] = []
+
+
+def layer_mark() -> int:
+    """A place among the written layers, for ``clear_layers``."""
+    return len(_LAYERS)
+
+
+def clear_layers(spark: SparkSession, since: int = 0) -> int:
+    """Delete the layers written after a mark, once nothing reads them any
+    more (a batch job's results are published by then); returns how many."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    done = 0
+    while len(_LAYERS) > since:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_LAYERS.pop())
+        done += bool(path.getFileSystem(conf).delete(path, True))
+    return done
+
+
 # Runtime SQL settings for a large cluster (100 TB inputs): many initial
 # shuffle partitions that AQE coalesces to ~256 MB each, skew-join splitting,
 # scan splits sized to executor memory. Broadcasts stay behind the default

@@ -1,3 +1,4 @@
+import pytest
 """Session helpers: the shared folder comes from the session; scale settings."""
 from tempora.session import SCALE_CONF, configure_for_scale, cut_lineage, ensure_checkpoint_dir, scratch_path
 
@@ -21,3 +22,14 @@ def test_configure_for_scale(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_layers_after_a_mark_are_deleted(spark):
+    from tempora.session import clear_layers, cut_lineage, layer_mark
+    first = cut_lineage(spark.range(3), "kept")
+    mark = layer_mark()
+    gone = cut_lineage(spark.range(4), "gone")
+    assert gone.count() == 4 and clear_layers(spark, mark) == 1
+    assert first.count() == 3
+    with pytest.raises(Exception):
+        spark.read.parquet(gone.inputFiles()[0]).count()
