@@ -4,15 +4,17 @@ The patterns give the base spans. The tagger is a character-level
 bidirectional LSTM with CRF transitions, trained here in numpy from labelled
 spans: windows around base spans of a bounded sample of texts
 (``TRAIN_WINDOWS``), and the same windows with the personal data rewritten in
-forms that the patterns miss (``variants``). It runs over every stretch of a
-text that may hold a span (``stretches``: the run of fitting characters around
-a digit or @, as long as it is, with ``STRIDE`` characters on either side), and
-decodes each in one path (Viterbi), so that no span is cut by an edge. The ends
-of a span are drawn out to the ends of its address or numbers, and the spans of
-a text are reconciled at once: by score, an earlier start breaking ties,
-non-overlapping, none that touches a base span, and only forms that hold the
-digits or the @ that their kind needs. That last rule makes text outside the
-stretches empty by definition; nothing else is skipped.
+forms that the patterns miss (``variants``). Every stretch of a text that may
+hold a span (``stretches``: the run of fitting characters around a digit or @,
+as long as it is, with ``STRIDE`` characters on either side) is covered by
+windows of ``WINDOW`` characters that overlap by half. Each window is decoded
+(Viterbi), the tags of a stretch are stitched from the middles of its windows,
+and a span goes on over as many windows as its tags do. The ends of a span are
+drawn out to the ends of its address or numbers, and the spans of a text are
+reconciled at once: by score, an earlier start breaking ties, non-overlapping,
+none that touches a base span, and only forms that hold the digits or the @
+that their kind needs. That last rule makes text outside the stretches empty by
+definition; nothing else is skipped. Time and memory are linear in the text.
 
 Defined results: a null text is empty and has no spans; offsets are code
 points, ends exclusive; repeated rows each get their row; without any base
@@ -23,7 +25,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, insort
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +41,7 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 TRIGGER = re.compile(r"[0-9@]")
+_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 
 #: Labelled windows that the tagger is trained on, and the texts read for them, at most.
 TRAIN_WINDOWS, TRAIN_TEXTS = 1500, 4000
@@ -45,6 +49,8 @@ WINDOW, STRIDE = 64, 32
 HIDDEN, EMBED, EPOCHS, BATCH, RATE = 16, 8, 30, 64, 0.02
 SEED = 7
 TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
+#: Windows decoded at once.
+DECODED = 2048
 #: Mean log odds per character that a span needs over being outside.
 MARGIN = 1.0
 
@@ -78,13 +84,27 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     if "@" in text:
         out += [(0, m.start(), m.end()) for m in _emails(text)]
     if TRIGGER.search(text):
-        for kind, rx in ((1, IP), (2, CARD), (3, PHONE)):
+        out += [(1, i, j) for i, j in _ips(text) if valid(1, text[i:j])]
+        for kind, rx in ((2, CARD), (3, PHONE)):
             if kind == 3 and "+" not in text:
                 continue
             out += [(kind, m.start(), m.end()) for m in rx.finditer(text) if valid(kind, m[0])]
     return out
 
 
+def _ips(text: str) -> Iterator[tuple[int, int]]:
+    """The matches of ``IP``: of every run of numbers with single dots between
+    them, four by four from its start. A run is read once, however long."""
+    for m in _DOTTED.finditer(text):
+        if m[0].count(".") < 3:
+            continue
+        at, parts = m.start(), m[0].split(".")
+        for i in range(0, len(parts) - 3, 4):
+            size = sum(map(len, parts[i:i + 4])) + 3
+            yield at, at + size
+            at += size + 1
+
+
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+$")
 
 
@@ -112,11 +132,16 @@ for _i in range(128):
 CLASSES = 15  # 14: other scripts; 0: padding
 
 
+def codes(text: str) -> np.ndarray:
+    """The class of every character."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.where(c < 128, _CLASS[np.minimum(c, 127)], 14)
+
+
 def classes(texts: list[str], width: int) -> np.ndarray:
     out = np.zeros((len(texts), width), np.int64)
     for i, t in enumerate(texts):
-        c = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
-        out[i, :len(c)] = np.where(c < 128, _CLASS[np.minimum(c, 127)], 14)
+        out[i, :len(t)] = codes(t)
     return out
 
 
@@ -265,7 +290,7 @@ def variants(kind: int, s: str, g: np.random.Generator) -> str:
     return g.choice([f"({d[-10:-7]}) {d[-7:-4]}-{d[-4:]}", f"{d[-10:-7]}-{d[-7:-4]}-{d[-4:]}"])
 
 
-def labelled_windows(texts: list[str]) -> tuple[list[str], np.ndarray]:
+def labelled_windows(texts: Iterable[str]) -> tuple[list[str], np.ndarray]:
     """Windows around base spans, as they are and rewritten, and around other digits, with their tags."""
     g = np.random.default_rng(SEED)
     rows: list[tuple[str, list[int]]] = []
@@ -300,7 +325,7 @@ def train(docs: DataFrame) -> Tagger | None:
     some = docs.filter(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("h"))
     first = some.select("h").distinct().orderBy("h").limit(TRAIN_TEXTS).withColumnRenamed("h", "_h")
     some = some.join(F.broadcast(first), F.col("h") == F.col("_h")).groupBy("h").agg(F.min("text").alias("text")).orderBy("h").select("text")
-    texts, y = labelled_windows([r.text for r in some.toLocalIterator()])
+    texts, y = labelled_windows(r.text for r in some.toLocalIterator())  # no text is fetched once the windows are enough
     if not texts:
         return None
     model = Tagger()
@@ -344,19 +369,26 @@ def stretches(text: str) -> list[tuple[int, int]]:
     return [(i, j) for i, j in out]
 
 
-def whole(text: str, kind: int, a: int, b: int) -> tuple[int, int]:
-    """A decoded span, drawn out to the ends of its address or numbers."""
-    if kind == 0:
-        at = text.find("@", max(0, a - 2), b + 2)
-        if at >= 0:
-            a, b = around(text, at)
-            b -= len(text[a:b]) - len(text[a:b].rstrip(".-"))
-        return a, b
-    while a > 0 and text[a - 1].isascii() and text[a - 1].isdigit():
-        a -= 1
-    while b < len(text) and text[b].isascii() and text[b].isdigit():
-        b += 1
-    return a, b
+class Edges:
+    """Where the digits around a place of a text end, and the address around an @; each is looked up once."""
+
+    def __init__(self, text: str, code: np.ndarray):
+        self.text, self._address = text, {}
+        at, other = np.arange(len(code)), code != 1
+        self._before = np.maximum.accumulate(np.where(other, at, -1)) + 1
+        self._after = np.minimum.accumulate(np.where(other, at, len(code))[::-1])[::-1]
+
+    def whole(self, kind: int, a: int, b: int) -> tuple[int, int]:
+        """A decoded span, drawn out to the ends of its address or numbers."""
+        if kind == 0:
+            at = self.text.find("@", max(0, a - 2), b + 2)
+            if at >= 0:
+                if at not in self._address:
+                    i, j = around(self.text, at)
+                    self._address[at] = i, j - (j - i - len(self.text[i:j].rstrip(".-")))
+                return self._address[at]
+            return a, b
+        return (int(self._before[a - 1]) if a else a), (int(self._after[b]) if b < len(self.text) else b)
 
 
 def plausible(kind: int, s: str) -> bool:
@@ -377,46 +409,83 @@ def spans_of(texts: list[str], model: Tagger | None) -> list[list[tuple[int, int
     base = [base_spans(t) for t in texts]
     if model is None:
         return base
-    sized: dict[int, list[tuple[int, int, int]]] = {}  # stretches with what stands around them, by padded length
-    for i, t in enumerate(texts):
-        for lo, hi in stretches(t):
-            lo, hi = max(0, lo - STRIDE), min(len(t), hi + STRIDE)
-            sized.setdefault(max(WINDOW, -(-(hi - lo) // STRIDE) * STRIDE), []).append((i, lo, hi))
-    found: list[set[tuple[float, int, int, int]]] = [set() for _ in texts]
-    for width, where in sorted(sized.items()):
-        step = max(1, 2048 * WINDOW // width)
-        for lo in range(0, len(where), step):
-            part = where[lo:lo + step]
-            path, score = model.decode(classes([texts[i][x:y] for i, x, y in part], width))
-            for r, (i, x, y) in enumerate(part):
-                j = 0
-                while j < y - x:
-                    tag = path[r, j]
-                    if tag == 0:
-                        j += 1
-                        continue
-                    k, e = (tag - 1) // 2, j + 1
-                    while e < y - x and path[r, e] == 2 + 2 * k:
-                        e += 1
-                    at = np.arange(j, e)
-                    odds = float((score[r, at, path[r, at]] - score[r, at, 0]).mean())
-                    s = texts[i][x + j:x + e]
-                    a, b = whole(texts[i], k, x + j + len(s) - len(s.lstrip()), x + e - (len(s) - len(s.rstrip())))
-                    if odds >= MARGIN and plausible(k, texts[i][a:b]):
-                        found[i].add((-odds, a, b, k))
-                    j = e
     out = []
-    for spans, more in zip(base, found):
-        taken = [(i, j) for _, i, j in spans]
+    for t, spans, more in zip(texts, base, _decoded(texts, model)):
+        taken: list[tuple[int, int]] = []  # disjoint, in order
+        for _, i, j in sorted(spans, key=lambda x: x[1:]):
+            if taken and i < taken[-1][1]:
+                taken[-1] = taken[-1][0], max(j, taken[-1][1])
+            else:
+                taken.append((i, j))
         added = []
         for _, a, b, k in sorted(more):  # of all stretches at once
-            if all(b <= i or a >= j for i, j in taken):
-                taken.append((a, b))
+            at = bisect_left(taken, (a, b))
+            if (at == 0 or taken[at - 1][1] <= a) and (at == len(taken) or taken[at][0] >= b):
+                insort(taken, (a, b))
                 added.append((int(k), a, b))
         out.append(sorted(spans + added))
     return out
 
 
+def windows(size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of stretches of these sizes, every window: its stretch, its start in it, and the columns that count."""
+    n = 1 + np.maximum(0, -(-(size - WINDOW) // STRIDE))
+    of = np.repeat(np.arange(len(size)), n)
+    number = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    edge = (WINDOW - STRIDE) // 2
+    return of, number * STRIDE, np.where(number == 0, 0, edge), np.where(number == n[of] - 1, WINDOW, WINDOW - edge)
+
+
+def _decoded(texts: list[str], model: Tagger) -> list[set[tuple[float, int, int, int]]]:
+    """(minus the odds, start, end, kind) of the plausible spans of each text, stitched from windows."""
+    found: list[set[tuple[float, int, int, int]]] = [set() for _ in texts]
+    where = [(i, max(0, lo - STRIDE), min(len(t), hi + STRIDE)) for i, t in enumerate(texts) for lo, hi in stretches(t)]
+    if not where:
+        return found
+    code = {i: codes(texts[i]) for i in {w[0] for w in where}}
+    size = np.array([hi - lo for _, lo, hi in where])
+    first = np.append(0, np.cumsum(size))
+    flat = np.concatenate([code[i][lo:hi] for i, lo, hi in where])  # the stretches, end to end
+    tag, odds = np.zeros(len(flat), np.int64), np.zeros(len(flat), np.float32)
+    of, start, lo_col, hi_col = windows(size)
+    cols = np.arange(WINDOW)
+    for w in range(0, len(of), DECODED):
+        part = slice(w, w + DECODED)
+        at = (first[of[part]] + start[part])[:, None] + cols
+        inside = at < first[of[part] + 1][:, None]
+        path, score = model.decode(np.where(inside, flat[np.minimum(at, len(flat) - 1)], 0))
+        keep = inside & (cols >= lo_col[part][:, None]) & (cols < hi_col[part][:, None])
+        tag[at[keep]] = path[keep]
+        odds[at[keep]] = (np.take_along_axis(score, path[:, :, None], 2)[:, :, 0] - score[:, :, 0])[keep]
+    # spans: a begin, or an inside that follows another kind or nothing, opens one
+    kind = np.where(tag > 0, (tag - 1) // 2, -1)
+    opens = np.append(True, kind[1:] != kind[:-1]) | (tag % 2 == 1)
+    opens[first[:-1]] = True
+    cut = np.flatnonzero(opens)
+    mean = np.add.reduceat(odds, cut) / np.diff(np.append(cut, len(flat)))
+    edges: dict[int, Edges] = {}
+    stop = np.append(cut[1:], len(flat))
+    best: dict[tuple[int, int, int, int], float | None] = {}  # each form is judged once
+    for n in np.flatnonzero((kind[cut] >= 0) & (mean >= MARGIN)):
+        stretch = int(np.searchsorted(first, cut[n], side="right")) - 1
+        i, lo, _ = where[stretch]
+        x, y, k = int(cut[n] - first[stretch]) + lo, int(stop[n] - first[stretch]) + lo, int(kind[cut[n]])
+        s = texts[i][x:y]
+        if not s.strip():
+            continue
+        edge = edges.get(i) or edges.setdefault(i, Edges(texts[i], code[i]))
+        a, b = edge.whole(k, x + len(s) - len(s.lstrip()), y - (len(s) - len(s.rstrip())))
+        key, score = (i, k, a, b), float(mean[n])
+        if key not in best:
+            best[key] = score if plausible(k, texts[i][a:b]) else None
+        elif best[key] is not None:
+            best[key] = max(best[key], score)
+    for (i, k, a, b), score in best.items():
+        if score is not None:
+            found[i].add((-score, a, b, k))
+    return found
+
+
 def render(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{i}:{j}" for k, i, j in sorted(spans))
 
