@@ -2,9 +2,9 @@
 
 Training counts every n-gram of every labelled training text (no sample): each
 task sums the counts of its texts per language and bucket, Spark adds them up.
-The log-probability matrix (languages x buckets, at most ``MAX_LANGS`` x
-``BUCKETS`` numbers whatever the input) is broadcast, and whole texts are
-scored in numpy batches.
+The log-probability matrix (languages x buckets) does not grow with the input
+but with the number of languages; it is broadcast, in parts of at most
+``MAX_LANGS`` languages, and whole texts are scored in numpy batches.
 
 A text is lower-cased; runs of non-letters count as one space. The score is the posterior
 of the predicted language. Defined results: a null or empty text, and one
@@ -17,6 +17,7 @@ count as often as they stand. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ _LETTER: list[np.ndarray] = []
 def _letters() -> np.ndarray:
     if not _LETTER:
         t = np.zeros(0x110000, bool)
-        t[[i for i in range(0x30000) if chr(i).isalpha()]] = True
+        t[[i for i in range(0x110000) if chr(i).isalpha()]] = True
         _LETTER.append(t)
     return _LETTER[0]
 
@@ -95,64 +96,64 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                "n": pa.array(np.append(counts[at], texts[name]).astype(np.int64))})
 
 
-class Model:
-    """Language names in order and their log probabilities, buckets by rows."""
+class Part(NamedTuple):
+    """Some languages, in order of their names, and their log probabilities, buckets by rows."""
+    names: list[str]
+    table: np.ndarray
+    prior: np.ndarray
 
-    def __init__(self, names: list[str], table: np.ndarray, prior: np.ndarray):
-        self.names, self.table, self.prior = names, table, prior
 
-
-def train(labelled: DataFrame) -> Model:
-    """From (text, lang); rows without a language are left out."""
+def train(labelled: DataFrame) -> list[Part]:
+    """From (text, lang); rows without a language are left out. One part, or
+    as many as it takes to have at most ``MAX_LANGS`` languages in each."""
     counts = (labelled.filter(F.col("lang").isNotNull()).select("text", "lang")
               .mapInArrow(_count, "lang string, bucket int, n long")
               .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
     counts = materialise(counts, "lang-counts")
-    names = [r.lang for r in counts.select("lang").distinct().orderBy("lang").limit(MAX_LANGS + 1).collect()]
-    if len(names) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages: the matrix would not stay small")
-    table = np.zeros((BUCKETS, len(names)))
-    prior = np.zeros(len(names))
-    at = {x: i for i, x in enumerate(names)}
-    got = counts.toArrow()
-    lang = np.array([at[x] for x in got.column("lang").to_pylist()], np.int64)
-    bucket, n = got.column("bucket").to_numpy(), got.column("n").to_numpy()
-    if len(names):
-        t = bucket < 0
-        prior[lang[t]] = n[t]
-        table[bucket[~t], lang[~t]] = n[~t]
+    texts = {r.lang: r.n for r in counts.filter("bucket < 0").select("lang", "n").collect()}  # a row a language
+    names, parts = sorted(texts, key=lambda x: x.encode()), []
+    for i in range(0, len(names), MAX_LANGS):
+        mine = names[i:i + MAX_LANGS]
+        at = {x: j for j, x in enumerate(mine)}
+        got = counts.filter((F.col("lang") >= mine[0]) & (F.col("lang") <= mine[-1]) & (F.col("bucket") >= 0)).toArrow()
+        table = np.zeros((BUCKETS, len(mine)))
+        table[got.column("bucket").to_numpy(), [at[x] for x in got.column("lang").to_pylist()]] = got.column("n").to_numpy()
         table = np.log(table + SMOOTHING) - np.log(table.sum(0) + SMOOTHING * BUCKETS)
-        prior = np.log(prior / prior.sum())
-    return Model(names, table, prior)
+        parts.append(Part(mine, table, np.log(np.array([texts[x] for x in mine]) / sum(texts.values()))))
+    return parts
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: list[Part], keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` of ``docs``, lang_pred and score. ``text`` may be a field of a kept struct."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    shared = [spark.sparkContext.broadcast(p) for p in model]
     fields = docs.select(*keep)
     sent = docs.select(*keep) if text.split(".")[0] in keep else docs.select(*keep, text)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
         for b in slices(batches, text, SLICE):
             h, d, has = ngrams(column(b, text))
-            n, k = b.num_rows, len(m.names)
-            pred, best = np.full(n, UNKNOWN, object), np.zeros(n)
-            if k:
-                like = np.stack([np.bincount(d, m.table[h, i], n) for i in range(k)], 1) + m.prior
-                top = like.argmax(1)
-                post = 1 / np.exp(like - like.max(1, keepdims=True)).sum(1)
-                pred = np.where(has, np.asarray(m.names, object)[top], UNKNOWN)
-                best = np.where(has, post, 0.0)
-            yield pa.RecordBatch.from_arrays([column(b, c) for c in keep] + [pa.array(pred, pa.string()), pa.array(best, pa.float64())],
+            n = b.num_rows
+            pred, best, total = np.full(n, UNKNOWN, object), np.full(n, -np.inf), np.zeros(n)
+            for part in shared:
+                m = part.value
+                like = np.stack([np.bincount(d, m.table[h, i], n) for i in range(len(m.names))], 1) + m.prior
+                top, most = like.argmax(1), like.max(1)
+                higher = np.maximum(best, most)
+                total = total * np.exp(best - higher) + np.exp(like - most[:, None]).sum(1) * np.exp(most - higher)
+                pred = np.where(most > best, np.asarray(m.names, object)[top], pred)  # an earlier name wins a tie
+                best = higher
+            known = has & bool(shared)
+            pred = np.where(known, pred, UNKNOWN)
+            post = np.where(known, 1 / np.where(known, total, 1), 0.0)
+            yield pa.RecordBatch.from_arrays([column(b, c) for c in keep] + [pa.array(pred, pa.string()), pa.array(post, pa.float64())],
                                              names=[*keep, "lang_pred", "score"])
 
     schema = fields.schema.add("lang_pred", "string").add("score", "double")
     return sent.mapInArrow(score, schema)
 
 
-def learn(docs: DataFrame) -> Model:
+def learn(docs: DataFrame) -> list[Part]:
     """Train on the documents that are not held out."""
     return train(docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))))
 
@@ -168,6 +169,8 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def accepted_documents(docs: DataFrame) -> DataFrame:
-    """The documents whose language is known; the others (no text, or no letter) are rejected."""
+    """The documents whose language is known, with their columns as they are;
+    those without text or without a letter are rejected (null text included),
+    and all are where no document teaches a language. Rows count one by one."""
     rows = docs.select(F.struct("*").alias("_row"))
     return predict(rows, learn(docs), ["_row"], "_row.text").filter(F.col("lang_pred") != UNKNOWN).select("_row.*")

@@ -79,11 +79,11 @@ TOPK = """
 WITH v AS (
   SELECT vec_id::BIGINT AS vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)) AS v
   FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
 q AS (SELECT vec_id, min(v) AS v FROM v WHERE vec_id % 100 = 0 GROUP BY vec_id),
 scored AS (
-  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.v, v.v)::BIGINT AS score
+  SELECT q.vec_id AS query_id, v.vec_id, CASE WHEN len(q.v) = 0 OR len(v.v) = 0 THEN 0 ELSE list_inner_product(q.v, v.v) END::BIGINT AS score
   FROM q JOIN v ON q.vec_id <> v.vec_id),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)

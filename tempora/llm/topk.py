@@ -14,8 +14,9 @@ are merged by a last top-k.
 The queries are a stated set; they meet the shards in blocks (``QUERY_BLOCK``
 by ``SHARD_ROWS`` rows), never as single pairs.
 
-Defined results: vectors that are null, empty or hold null or non-finite
-components take no part; vectors of different lengths are padded with zeros; a null
+Defined results: vectors that are null or hold null or non-finite components
+take no part; vectors of different lengths are padded with zeros, so an empty
+one scores 0; a null
 vec_id is never a query and no candidate; rows with the query's vec_id are the
 query's own; with fewer than k candidates all are returned; ties go to the
 smaller vec_id. Repeated rows are candidates as often as they stand; a query
@@ -43,7 +44,7 @@ SEED_ROWS, STEP = 64, 8
 def integers(vectors: DataFrame) -> DataFrame:
     """(vec_id, v): floor(1024 x) of every vector that takes part."""
     x = F.col("embedding").cast("array<double>")
-    ok = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.forall(
+    ok = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall(
         x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
     return vectors.filter(F.coalesce(ok, F.lit(False))).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda e: F.floor(e * SCALE)).alias("v"))
 
@@ -114,11 +115,11 @@ def _search(k: int):
         for b in batches:
             for i in range(b.num_rows):
                 get = lambda n: column(b, n)[i].as_py()  # noqa: E731, B023
-                q, x = (np.frombuffer(get(f"{s}_rows"), np.int64).reshape(-1, get(f"{s}_width")) for s in "qx")
                 qid, xid = (np.frombuffer(get(f"{s}_ids"), np.int64) for s in "qx")
+                q, x = (np.frombuffer(get(f"{s}_rows"), np.int64).reshape(len(n), get(f"{s}_width")) for s, n in (("q", qid), ("x", xid)))
                 width = max(q.shape[1], x.shape[1])
                 q, x = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (q, x))
-                exact = float(np.abs(q).max()) * float(np.abs(x).max()) * width < 2 ** 52
+                exact = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * width < 2 ** 52
                 order = np.argsort(xid, kind="stable")
                 x, xid = x[order], xid[order]
                 if exact:  # integers that a double holds exactly

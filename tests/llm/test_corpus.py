@@ -340,4 +340,4 @@ def test_pipeline(spark, docs):
 
 
 def test_names():
-    assert {f"op{n}_" for n in range(1, 11)} == {re.match(r"op\d+_", k)[0] for k in corpus.queries()}
+    assert {f"op{n}_" for n in range(1, 14)} == {re.match(r"op\d+_", k)[0] for k in corpus.queries()}
