@@ -23,7 +23,7 @@ import duck_library
 import duck_oracle as O
 from tempora.functions.metrics import round_exact
 from tempora.operators import quality as Q
-from tempora.plans import gold, keyed, landing, reports, rollups, study, timelines
+from tempora.plans import gold, keyed, landing, regional, reports, rollups, study, timelines
 from tempora.plans.series_catalogue import OUTLIER_CODES, REFERENCE_CODE
 from tempora.plans.study import round_doubles
 from tempora.session import scratch_path
@@ -345,6 +345,8 @@ def _study_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **timelines.QUERIES,
         # landing files by year: arrays, quarantine, ledger of each file
         **landing.QUERIES,
+        # the study by customer region
+        **regional.QUERIES,
         # stored states: sketches, bitmaps, moments; SQL with parameters
         **rollups.QUERIES,
     }

@@ -137,6 +137,53 @@ def _documented(q: dict[str, str]) -> str:
     return "\nUNION ALL BY NAME\n".join(parts)
 
 
+def regional_ctes() -> str:
+    """Silver and ledger of the six series by customer region, straight from the tables."""
+    return """
+lugar AS (SELECT o_orderkey, r_name AS regiao FROM orders JOIN customer ON c_custkey = o_custkey
+          JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey),
+soma AS (
+  SELECT regiao, CASE o_orderpriority WHEN '1-URGENT' THEN 'PTAX_VENDA' WHEN '2-HIGH' THEN 'DOLAR_AMPLO' ELSE 'VIX' END AS indicador,
+         o_orderdate::DATE AS data, SUM(CAST(ROUND(o_totalprice * 100) AS HUGEINT)) * 10000 AS c, COUNT(o_totalprice) AS n
+  FROM orders JOIN lugar USING (o_orderkey) WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') GROUP BY ALL
+  UNION ALL
+  SELECT regiao, CASE l_returnflag WHEN 'R' THEN 'CDI' ELSE 'FED_FUNDS' END, l_shipdate::DATE,
+         SUM(CAST(ROUND(CASE WHEN l_returnflag = 'R' THEN l_discount ELSE l_tax END * 100) AS HUGEINT)) * 1000000,
+         COUNT(CASE WHEN l_returnflag = 'R' THEN l_discount ELSE l_tax END)
+  FROM lineitem JOIN lugar ON l_orderkey = o_orderkey WHERE l_returnflag IN ('R', 'A') GROUP BY ALL
+  UNION ALL
+  SELECT regiao, 'BRENT', data, SUM(u), 100 * COUNT(u) FROM (
+    SELECT regiao, l_shipdate::DATE AS data, (2 * CAST(ROUND(l_extendedprice * 100) AS HUGEINT) * 100000000 + CAST(ROUND(l_quantity * 100) AS HUGEINT))
+           // NULLIF(2 * CAST(ROUND(l_quantity * 100) AS HUGEINT), 0) AS u
+    FROM lineitem JOIN lugar ON l_orderkey = o_orderkey WHERE l_linestatus = 'O') GROUP BY ALL),
+medias AS (SELECT regiao, indicador, data, (2 * c + n) // (2 * n) AS m FROM soma WHERE n > 0),
+silver AS (SELECT regiao, data, indicador, CAST(m / 1000000.0 AS DECIMAL(18,6)) AS valor FROM medias WHERE data >= DATE '1996-01-01' AND m > 0)"""
+
+
+def _regional() -> dict[str, str]:
+    base = regional_ctes()
+    wide = base + O.wide_ctes("regiao")
+    sel = [c if c in ("regime_vol", "faixa_252d") else O.R6(c) for c in O.WIDE_ALL]
+    return {
+        "ledger_by_region": O.with_(base, """
+SELECT regiao, indicador, COUNT(*) AS linhas_bronze, 0::BIGINT AS data_invalida, COUNT(*) FILTER (data < DATE '1996-01-01') AS fora_periodo,
+       0::BIGINT AS sem_valor, COUNT(*) FILTER (data >= DATE '1996-01-01' AND m <= 0) AS valor_invalido, 0::BIGINT AS duplicadas,
+       COUNT(*) FILTER (data >= DATE '1996-01-01' AND m > 0) AS linhas_silver
+FROM medias GROUP BY regiao, indicador"""),
+        "daily_change_by_region": O.with_(base, f"""
+SELECT regiao, data, indicador, {O.R6('valor', 'CAST(valor AS DOUBLE)')},
+       {O.R6('variacao_abs', 'CAST(valor AS DOUBLE) - LAG(CAST(valor AS DOUBLE)) OVER w')},
+       {O.R6('variacao_pct', '(CAST(valor AS DOUBLE) / NULLIF(LAG(CAST(valor AS DOUBLE)) OVER w, 0) - 1) * 100')}
+FROM silver WINDOW w AS (PARTITION BY regiao, indicador ORDER BY data)"""),
+        "wide_fact_by_region": O.with_(wide, f"SELECT regiao, data, {', '.join(sel)} FROM wide"),
+        "regime_outcome_by_region": O.with_(wide, """
+SELECT regiao, regime_vol, COUNT(*) AS dias, ROUND(AVG(maior_alta_90d_pct), 2) AS media_maior_alta_90d, ROUND(MAX(maior_alta_90d_pct), 2) AS pior_caso_90d,
+       ROUND(quantile_disc(maior_alta_90d_pct, 0.95), 2) AS p95_maior_alta_90d,
+       ROUND(100 * AVG(CASE WHEN maior_alta_90d_pct > 5 THEN 1.0 ELSE 0.0 END), 1) AS pct_dias_alta_acima_5pct
+FROM wide WHERE regime_vol IS NOT NULL AND maior_alta_90d_pct IS NOT NULL GROUP BY regiao, regime_vol"""),
+    }
+
+
 def sql() -> dict[str, str]:
     return {
         "asof_events_orders": ASOF_EVENTS_ORDERS,
@@ -145,6 +192,7 @@ def sql() -> dict[str, str]:
         "bronze_quarantine": O.with_(O.bronze_ctes(), BRONZE_QUARANTINE),
         "ledger_by_file": O.with_(O.bronze_ctes(), LEDGER_BY_FILE),
         "landing_manifest": O.with_(O.bronze_ctes(), LANDING_MANIFEST),
+        **_regional(),
         "orphan_rows": ORPHAN_ROWS,
         "documented_tables": _documented(O.all_sql("2000-01-01")),
         "regime_cuts_merged": REGIME_CUTS_MERGED,

@@ -153,17 +153,20 @@ fato_ind AS (
   FROM silver WINDOW w AS (PARTITION BY indicador ORDER BY data))"""
 
 
-def wide_ctes() -> str:
+def wide_ctes(key: str = "") -> str:
+    """The wide fact of the CTE ``silver``; with ``key``, of each key by itself."""
+    K, P = (f"{key}, ", f"PARTITION BY {key} ") if key else ("", "")
+    mine = f"WHERE w2.{key} IS NOT DISTINCT FROM cuts.{key}" if key else ""
     piv = ",\n         ".join(
         f"MAX(CASE WHEN indicador = '{k}' THEN CAST(valor AS DOUBLE) END) AS {v}" for k, v in CODES.items())
     fill = ",\n         ".join(
-        f"LAST_VALUE({v} IGNORE NULLS) OVER (ORDER BY data ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {v}"
+        f"LAST_VALUE({v} IGNORE NULLS) OVER ({P}ORDER BY data ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {v}"
         for v in WIDE_COLS[1:])
     s252 = math.sqrt(252.0)
     fwd = []
     for du, dc in HORIZONS:
         fwd.append(f"LEAD(ptax, {du}) OVER w AS ptax_em_{dc}d")
-        fwd.append(f"MAX(ptax) OVER (ORDER BY data ROWS BETWEEN 1 FOLLOWING AND {du} FOLLOWING) AS mx_{dc}d")
+        fwd.append(f"MAX(ptax) OVER ({P}ORDER BY data ROWS BETWEEN 1 FOLLOWING AND {du} FOLLOWING) AS mx_{dc}d")
     fwd_sql = ",\n         ".join(fwd)
     outs = []
     for du, dc in HORIZONS:
@@ -176,11 +179,11 @@ def wide_ctes() -> str:
     outs_sql = ",\n         ".join(outs)
     return f""",
 piv AS (
-  SELECT data,
+  SELECT {K}data,
          {piv}
-  FROM silver GROUP BY data),
+  FROM silver GROUP BY {K}data),
 filled AS (
-  SELECT data, ptax,
+  SELECT {K}data, ptax,
          {fill}
   FROM piv),
 ref AS (SELECT * FROM filled WHERE ptax IS NOT NULL),
@@ -193,21 +196,21 @@ w1 AS (
          {pct('ptax', 'LAG(ptax, 5) OVER w')} AS var_ptax_5d_pct,
          SUM(CAST(ROUND(ptax * 1000000) AS HUGEINT)) OVER f63 AS soma_63d, COUNT(ptax) OVER f63 AS n_63d,
          CAST(soma_63d AS DOUBLE) / n_63d / 1000000.0 AS mm_63d,
-         MIN(ptax) OVER (ORDER BY data ROWS BETWEEN 251 PRECEDING AND CURRENT ROW) AS min_252d,
-         MAX(ptax) OVER (ORDER BY data ROWS BETWEEN 251 PRECEDING AND CURRENT ROW) AS max_252d,
+         MIN(ptax) OVER ({P}ORDER BY data ROWS BETWEEN 251 PRECEDING AND CURRENT ROW) AS min_252d,
+         MAX(ptax) OVER ({P}ORDER BY data ROWS BETWEEN 251 PRECEDING AND CURRENT ROW) AS max_252d,
          cdi - fed_funds AS diferencial_juros_pp,
          {fwd_sql}
-  FROM ref WINDOW w AS (ORDER BY data),
-              f63 AS (ORDER BY data ROWS BETWEEN 62 PRECEDING AND CURRENT ROW)),
+  FROM ref WINDOW w AS ({P}ORDER BY data),
+              f63 AS ({P}ORDER BY data ROWS BETWEEN 62 PRECEDING AND CURRENT ROW)),
 w2 AS (
   SELECT *,
-         STDDEV_SAMP(ret_ptax) OVER (ORDER BY data ROWS BETWEEN 20 PRECEDING AND CURRENT ROW)
+         STDDEV_SAMP(ret_ptax) OVER ({P}ORDER BY data ROWS BETWEEN 20 PRECEDING AND CURRENT ROW)
            * {s252!r} * 100 AS vol_21d_anual_pct
   FROM w1),
 cuts AS (
-  SELECT quantile_disc(vol_21d_anual_pct, 1/3) AS q1, quantile_disc(vol_21d_anual_pct, 2/3) AS q2 FROM w2),
+  SELECT {K}quantile_disc(vol_21d_anual_pct, 1/3) AS q1, quantile_disc(vol_21d_anual_pct, 2/3) AS q2 FROM w2 {f'GROUP BY {key}' if key else ''}),
 wide AS (
-  SELECT data, ptax, cdi, fed_funds, dolar_amplo, vix, brent,
+  SELECT {"w2." + K if key else ""}data, ptax, cdi, fed_funds, dolar_amplo, vix, brent,
          ret_ptax, ret_dolar_amplo, ret_vix, ret_brent, var_ptax_5d_pct, vol_21d_anual_pct,
          mm_63d, {pct('ptax', 'mm_63d')} AS desvio_mm63_pct, min_252d, max_252d,
          (ptax - min_252d) / NULLIF(max_252d - min_252d, 0) AS posicao_faixa_252d,
@@ -220,7 +223,7 @@ wide AS (
               WHEN (ptax - min_252d) / NULLIF(max_252d - min_252d, 0) >= 0.75 THEN '3-Parte alta (≥75%)'
               ELSE '2-Intermediária' END AS faixa_252d,
          {outs_sql}
-  FROM w2, cuts)"""
+  FROM w2, cuts {mine})"""
 
 
 def gold_ctes() -> str:

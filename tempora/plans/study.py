@@ -36,7 +36,7 @@ def _inputs(spark: SparkSession, sf_dir: str) -> tuple:
     return tuple(sorted(listed))
 
 
-def _memo(spark: SparkSession, key: tuple, build):
+def memo(spark: SparkSession, key: tuple, build):
     """Materialised layers are reused within one session (the layer tables a
     pipeline run writes once and every report reads), as long as the input
     files are the same ones."""
@@ -63,7 +63,7 @@ def landing(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, str]]:
     def build():
         folder = scratch_path(spark, "landing")
         return folder, render_landing(spark, sf_dir, folder)
-    return _memo(spark, ("landing", sf_dir), build)
+    return memo(spark, ("landing", sf_dir), build)
 
 
 def landing_files(spark: SparkSession, sf_dir: str) -> str:
@@ -72,7 +72,7 @@ def landing_files(spark: SparkSession, sf_dir: str) -> str:
         folder = scratch_path(spark, "landing-files")
         render_landing_files(spark, sf_dir, folder)
         return folder
-    return _memo(spark, ("landing_files", sf_dir), build)
+    return memo(spark, ("landing_files", sf_dir), build)
 
 
 def silver(spark: SparkSession, sf_dir: str, materialise: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -83,7 +83,7 @@ def silver(spark: SparkSession, sf_dir: str, materialise: bool = True) -> tuple[
         # both Silver and the ledger are read from it
         return gold.silver(bronze_long(spark, sf_dir, materialise), cutoff=gold.FIXTURE_CUTOFF,
                            run_ts=gold.FIXED_RUN_TS, materialise=cut_lineage if materialise else None)
-    return _memo(spark, ("silver", sf_dir), build) if materialise else build()
+    return memo(spark, ("silver", sf_dir), build) if materialise else build()
 
 
 def wide(spark: SparkSession, sf_dir: str, materialise: bool = True, **kw) -> DataFrame:
@@ -93,7 +93,7 @@ def wide(spark: SparkSession, sf_dir: str, materialise: bool = True, **kw) -> Da
         # top of it are cheap projections (the cut points are a scalar subquery)
         return gold.wide_fact(silver(spark, sf_dir, materialise)[0],
                               materialise=cut_lineage if materialise else None, **kw)
-    return _memo(spark, ("wide", sf_dir, tuple(sorted(kw.items()))), build) if materialise else build()
+    return memo(spark, ("wide", sf_dir, tuple(sorted(kw.items()))), build) if materialise else build()
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,8 @@ partial+final aggregate per table, grouped by (day, series selector).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,23 +61,25 @@ def _cents(col: str):
     return F.rint(F.col(col) * 100).cast("bigint")
 
 
-def _stack(df: DataFrame, parts: list[tuple[str, str, str, int, int]]) -> DataFrame:
-    """One row per (day, series) from per-day conditional sums:
+def _stack(df: DataFrame, parts: list[tuple[str, str, str, int, int]], keys: Sequence[str] = ()) -> DataFrame:
+    """One row per (keys, day, series) from per-day conditional sums:
     ``parts`` = (indicador, sum column, count column, k, j) with the average
     in micro-units = half-up((sum * k) / (count * j))."""
     structs = ", ".join(
         f"named_struct('indicador', '{code}', 'c', CAST(`{c}` AS DECIMAL(38,0)), 'n', `{n}`, "
         f"'k', CAST({k} AS DECIMAL(38,0)), 'j', CAST({j} AS DECIMAL(38,0)))"
         for code, c, n, k, j in parts)
-    return (df.select("d", F.expr(f"explode(array({structs}))").alias("s"))
-            .select("s.indicador", "d", "s.c", "s.n", "s.k", "s.j")
+    return (df.select(*keys, "d", F.expr(f"explode(array({structs}))").alias("s"))
+            .select(*keys, "s.indicador", "d", "s.c", "s.n", "s.k", "s.j")
             .filter(F.col("n") > 0)
-            .select("indicador", "d", F.expr("(2 * c * k + n * j) div (2 * n * j)").alias("m")))
+            .select(*keys, "indicador", "d", F.expr("(2 * c * k + n * j) div (2 * n * j)").alias("m")))
 
 
-def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long daily series ``(indicador, d DATE, valor_txt STRING)``, one row
-    per observed day per indicator.
+def daily_series(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None, lineitem: DataFrame | None = None,
+                 keys: Sequence[str] = ()) -> DataFrame:
+    """Long daily series ``(keys, indicador, d DATE, valor_txt STRING)``, one row
+    per observed day per indicator (and key: ``orders`` and ``lineitem`` may be
+    given with key columns).
 
     Each source table is scanned once: one aggregate grouped by day with a
     conditional sum and count per series (partial aggregation map-side, so
@@ -83,8 +87,9 @@ def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     exact, in integer micro-units (1e-6) with half-up rounding: sums of whole
     cents, then ``(2 * sum * k + n * j) div (2 * n * j)``.
     """
-    orders = (read_table(spark, sf_dir, "orders")
-              .select("o_orderdate", "o_orderpriority", "o_totalprice")
+    keys = list(keys)
+    orders = ((orders if orders is not None else read_table(spark, sf_dir, "orders"))
+              .select(*keys, "o_orderdate", "o_orderpriority", "o_totalprice")
               .filter(F.col("o_orderpriority").isin(list(ORDER_SERIES))))
     prio = F.col("o_orderpriority")
     o_aggs, o_parts = [], []
@@ -92,10 +97,10 @@ def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
         o_aggs += [F.sum(F.when(prio == k, _cents("o_totalprice"))).alias(f"c{i}"),
                    F.count(F.when(prio == k, F.col("o_totalprice"))).alias(f"n{i}")]
         o_parts.append((code, f"c{i}", f"n{i}", 10_000, 1))
-    o_day = _stack(orders.groupBy(F.to_date("o_orderdate").alias("d")).agg(*o_aggs), o_parts)
+    o_day = _stack(orders.groupBy(*keys, F.to_date("o_orderdate").alias("d")).agg(*o_aggs), o_parts, keys)
 
-    li = (read_table(spark, sf_dir, "lineitem")
-          .select("l_shipdate", "l_returnflag", "l_linestatus", "l_discount", "l_tax",
+    li = ((lineitem if lineitem is not None else read_table(spark, sf_dir, "lineitem"))
+          .select(*keys, "l_shipdate", "l_returnflag", "l_linestatus", "l_discount", "l_tax",
                   "l_extendedprice", "l_quantity")
           .filter(F.col("l_returnflag").isin(list(RETURNFLAG_SERIES))
                   | F.col("l_linestatus").isin(list(LINESTATUS_SERIES))))
@@ -117,13 +122,13 @@ def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.sum(F.expr(f"_u{i} % 1000000000")).alias(f"sl{i}"),
                    F.count(f"_u{i}").alias(f"sn{i}")]
         l_parts.append((code, f"sc{i}", f"sn{i}", 1, 100))
-    l_agg = li.groupBy(F.to_date("l_shipdate").alias("d")).agg(*l_aggs)
+    l_agg = li.groupBy(*keys, F.to_date("l_shipdate").alias("d")).agg(*l_aggs)
     l_agg = l_agg.withColumns({f"sc{i}": F.col(f"sh{i}").cast(DEC38) * 1_000_000_000 + F.col(f"sl{i}").cast(DEC38)
                                for i in range(len(LINESTATUS_SERIES))})
-    l_day = _stack(l_agg, l_parts)
+    l_day = _stack(l_agg, l_parts, keys)
 
     return (o_day.unionByName(l_day)
-            .select("indicador", "d",
+            .select(*keys, "indicador", "d",
                     F.format_string("%s%d.%06d", F.expr("if(m < 0, '-', '')"), F.expr("abs(m) div 1000000"), F.expr("abs(m) % 1000000"))
                     .alias("valor_txt")))
 
