@@ -212,7 +212,7 @@ cuts AS (
 wide AS (
   SELECT {"w2." + K if key else ""}data, ptax, cdi, fed_funds, dolar_amplo, vix, brent,
          ret_ptax, ret_dolar_amplo, ret_vix, ret_brent, var_ptax_5d_pct, vol_21d_anual_pct,
-         mm_63d, {pct('ptax', 'mm_63d')} AS desvio_mm63_pct, min_252d, max_252d,
+         mm_63d, CAST((2 * soma_63d + n_63d) // (2 * n_63d) AS DOUBLE) / 1000000.0 AS mm_63d_6, {pct('ptax', 'mm_63d')} AS desvio_mm63_pct, min_252d, max_252d,
          (ptax - min_252d) / NULLIF(max_252d - min_252d, 0) AS posicao_faixa_252d,
          diferencial_juros_pp,
          CASE WHEN vol_21d_anual_pct IS NULL THEN NULL
@@ -232,6 +232,8 @@ def gold_ctes() -> str:
 
 # ---------------------------------------------------------------- per query
 def R6(col: str, expr: str | None = None) -> str:
+    if (col, expr) == ("mm_63d", None):     # half-up on the exact sum: a double is rounded otherwise at ...5
+        return "mm_63d_6 AS mm_63d"
     return f"ROUND({expr or col}, 6) AS {col}"
 
 
