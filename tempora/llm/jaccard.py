@@ -372,10 +372,14 @@ def parts_of(members: DataFrame) -> DataFrame:
     ``PART``. A component with that many members has parts of its own
     (``pure`` is its root there), the others share parts."""
     cell = members.groupBy("g", "comp").agg(F.count("*").alias("_n"))
-    cell = cell.withColumn("pure", F.when(F.col("_n") >= PART, F.col("comp")))
-    pool = cell.filter("pure is null").groupBy("g").agg(F.sum("_n").alias("_pool"))
-    m = members.join(cell, ["g", "comp"]).join(pool, "g", "left")
-    n = F.ceil(F.coalesce(F.when(F.col("pure").isNull(), F.col("_pool")), F.col("_n")) / PART)
+    # only large components and groups need their sizes: at most one of either for every PART members,
+    # so the members of a hot group stay where they are
+    large = materialise(cell.filter(F.col("_n") >= PART).select(F.col("g").alias("_g"), F.col("comp").alias("pure"), "_n"), "jaccard-cells")
+    pool = cell.filter(F.col("_n") < PART).groupBy(F.col("g").alias("_h")).agg(F.sum("_n").alias("_pool"))
+    pool = materialise(pool.filter(F.col("_pool") > PART), "jaccard-pools")
+    m = attach(members, large, lambda x, c: (x.g == c["_g"]) & (x.comp == c["pure"]), "left")
+    m = attach(m, pool, lambda x, c: (x.g == c["_h"]) & x["pure"].isNull(), "left")
+    n = F.ceil(F.coalesce("_n", "_pool", F.lit(1).cast("long")) / PART)
     return m.select("sig", "g", "comp", "pure", F.xxhash64("pure", F.pmod(F.xxhash64("sig"), n)).alias("part"))
 
 
