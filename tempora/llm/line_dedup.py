@@ -13,9 +13,10 @@ doc_id (null last), text key and line number.
    line without each word. Equal keys join: the same gap in lines of one
    length is a replacement, the whole of one line against a gap of another an
    insertion. A key's group is never paired up: its earliest line is enough,
-   as every other member is within the bound of it. The word-level edit
-   distance is verified on the words' hashes and a second, independent hash
-   of the variant.
+   as every other member is within the bound of it.
+4. The edit distance is verified on the words: for the keys that could hold a
+   pair, the variants themselves are read from the texts again, and lines pair
+   up by equal words (and gap), not by hash.
 
 Blank lines are never removed. Defined results: a null text has no lines and
 stays null; rows with one doc_id and equal text are one document and keep the
@@ -32,11 +33,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm.text import (BYTE_CODE_LOWER, U64, WORD, RollingHash, attach, column, materialise, mix, read_documents, signed,
+from tempora.llm.text import (BYTE_CODE_LOWER, LOWER, U64, WORD, RollingHash, attach, column, materialise, mix, read_documents, signed,
                               slices, spread, text_bytes, word_spans)
 
 NEAR_WORDS = 8
-_P, _Q = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93)
+_P = U64(0x9E3779B97F4A7C15)
+LOWER_BYTES = bytes(LOWER)
 
 
 def lines(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -114,9 +116,9 @@ def order() -> Column:
 
 
 def variants(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The deletion neighbourhood of the wanted lines (doc_id, key, line, full):
-    (k, kind, check, full, at) with kind 0 for the line itself, 1 for a line
-    without a word, 2 for the same with the length and the gap in the key."""
+    """The deletion neighbourhood of the wanted lines (doc_id, key, line):
+    (k, kind, gap, full, doc_id, key, line) with kind 0 for the line itself, 1 for a line
+    without a word (the one at ``gap``), 2 for the same with the length and the gap in the key."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             owner, number, first, words = lines(column(b, "text"))
@@ -130,17 +132,16 @@ def variants(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             n = j - i
             gaps = np.where(n >= NEAR_WORDS, n, 0)  # a shorter line is only compared as a whole
             gap, run_ = spread(i, gaps), np.repeat(np.arange(len(n)), gaps)
-            sums = [_Sums(words, _P), _Sums(words, _Q)]
-            whole = [s.of(i, j) for s in sums]
-            less = [s.without(i[run_], j[run_], gap) for s in sums]
-            place = (gap - i[run_]).astype(U64) * U64(1 << 32) + n[run_].astype(U64)
+            s = _Sums(words, _P)
+            whole, less = s.of(i, j), s.without(i[run_], j[run_], gap)
+            place = gap - i[run_]
             own = np.concatenate((np.arange(len(n)), run_, run_))
-            keys = np.concatenate((whole[0], less[0], mix(less[0] + mix(place))))
-            checks = np.concatenate((whole[1], less[1], less[1]))
+            keys = variant_key(np.concatenate((whole, less, mix(less + mix(place.astype(U64) * U64(1 << 32) + n[run_].astype(U64))))))
             kinds = np.repeat(np.arange(3), [len(n), len(gap), len(gap)])
+            gaps = np.concatenate((np.full(len(n), -1), place, place))
             row = pa.array(text[own])
-            yield pa.record_batch({"k": pa.array(signed(keys)), "kind": pa.array(kinds.astype(np.int32)), "check": pa.array(signed(checks)),
-                                   "full": pa.array(signed(whole[0][own])), "doc_id": column(b, "doc_id").cast(pa.int64()).take(row),
+            yield pa.record_batch({"k": pa.array(signed(keys)), "kind": pa.array(kinds.astype(np.int32)), "gap": pa.array(gaps.astype(np.int32)),
+                                   "full": pa.array(signed(whole[own])), "doc_id": column(b, "doc_id").cast(pa.int64()).take(row),
                                    "key": column(b, "key").take(row), "line": pa.array(number[at][own])})
 
     lists = wanted.groupBy("doc_id", "key").agg(F.collect_list("line").alias("lines"))
@@ -148,7 +149,39 @@ def variants(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     rows = lists.agg(F.sum(F.size("lines"))).first()[0] or 0
     texts = attach(docs, lists, lambda d, w: (d.key == w["_key"]) & d.doc_id.eqNullSafe(w["_id"]), rows=rows)
     return texts.select("doc_id", "key", "lines", "text").mapInArrow(
-        run, "k long, kind int, check long, full long, doc_id long, key long, line long")
+        run, "k long, kind int, gap int, full long, doc_id long, key long, line long")
+
+
+def variant_key(h: np.ndarray) -> np.ndarray:
+    """What variants are joined by; the words decide afterwards, so any function of the hash will do."""
+    return h
+
+
+def exact_variants(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """(variant, kind, full, doc_id, key, line): the words of the asked variants
+    (doc_id, key, line, kind, gap, full), with the gap where kind is 2."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            out = {c: [] for c in ("variant", "kind", "full", "doc_id", "key", "line")}
+            for text, doc_id, key, wanted in zip(*(column(b, c).to_pylist() for c in ("text", "doc_id", "key", "wanted"))):
+                parts, words = text.encode("utf-8", "surrogatepass").split(b"\n"), {}
+                for w in wanted:
+                    at = w["line"]
+                    if at not in words:
+                        words[at] = parts[at].translate(LOWER_BYTES).split()  # white space as in ``WORD``
+                    mine, gap = words[at], w["gap"]
+                    variant = b" ".join(mine if gap < 0 else mine[:gap] + mine[gap + 1:])
+                    for c, x in zip(out, (variant + b"\n%d" % gap if w["kind"] == 2 else variant, w["kind"], w["full"], doc_id, key, at)):
+                        out[c].append(x)
+            kinds = {"variant": pa.binary(), "kind": pa.int32()}
+            yield pa.record_batch({c: pa.array(x, kinds.get(c, pa.int64())) for c, x in out.items()})
+
+    lists = asked.groupBy("doc_id", "key").agg(F.collect_list(F.struct("line", "kind", "gap", "full")).alias("wanted"))
+    lists = materialise(lists.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "wanted"), "line-asked")
+    rows = lists.agg(F.sum(F.size("wanted"))).first()[0] or 0
+    texts = attach(docs, lists, lambda d, w: (d.key == w["_key"]) & d.doc_id.eqNullSafe(w["_id"]), rows=rows)
+    return texts.select(F.col("doc_id").cast("long").alias("doc_id"), "key", "wanted", "text").mapInArrow(
+        run, "variant binary, kind int, full long, doc_id long, key long, line long")
 
 
 def near_lines(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -157,11 +190,15 @@ def near_lines(docs: DataFrame, classes: DataFrame) -> DataFrame:
     shared = half.groupBy("h").agg(F.min("full").alias("a"), F.max("full").alias("b")).filter("a <> b").select("h")
     wanted = half.join(shared, "h", "left_semi").select("full").distinct()
     wanted = classes.join(wanted, "full", "left_semi").select("first.doc_id", "first.key", "first.line")
-    v = materialise(variants(docs, wanted).withColumn("at", order()).select("k", "kind", "check", "full", "at"), "line-variants")
-    least = v.groupBy("k", "check").agg(
+    v = materialise(variants(docs, wanted), "line-variants")
+    # keys that could hold a pair: a whole line and a line with a gap, or two lines with the same gap
+    open_ = v.groupBy("k").agg(F.max(F.col("kind") == 0).alias("whole"), F.max(F.col("kind") == 1).alias("gap"), F.count_if(F.col("kind") == 2).alias("swaps"))
+    asked = v.join(open_.filter("(whole and gap) or swaps > 1").select("k"), "k", "left_semi").drop("k").distinct()
+    v = materialise(exact_variants(docs, asked).withColumn("at", order()).select("variant", "kind", "full", "at"), "line-exact")
+    least = v.groupBy("variant").agg(
         F.min(F.when(F.col("kind") == 0, F.col("at"))).alias("whole"), F.min(F.when(F.col("kind") == 1, F.col("at"))).alias("gap"),
-        F.min(F.when(F.col("kind") == 2, F.col("at"))).alias("swap"), F.count("*").alias("_c")).filter("_c > 1")
-    j = v.join(least, ["k", "check"])
+        F.min(F.when(F.col("kind") == 2, F.col("at"))).alias("swap"))
+    j = v.join(least, "variant")
     hit = (F.when(F.col("kind") == 0, F.col("gap") < F.col("at")).when(F.col("kind") == 1, F.col("whole") < F.col("at"))
            .otherwise(F.col("swap") < F.col("at")))
     return j.filter(hit).select("full").distinct()
