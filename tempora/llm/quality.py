@@ -2,8 +2,7 @@
 
 The model is one of words (``kneser_ney``), trained on the trusted texts
 (labels quality 1, toxic 0); counting, discounts and scoring are joins and
-aggregates on n-gram keys. The character model below (``count`` to ``dense``)
-judges nothing any more.
+aggregates on n-gram keys.
 
 Every document's perplexity is taken over its whole text. The threshold of a
 language is the ``QUANTILE`` of its trusted documents' perplexities (a
@@ -21,140 +20,16 @@ row; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tempora.llm.kneser_ney import lookup, perplexities
-from tempora.llm.text import attach, column, materialise, read_documents, slices
+from tempora.llm.text import attach, materialise, read_documents
 
-ORDER = 4
-BITS = 6
-SYMBOLS = 1 << BITS
 QUANTILE = 0.99
 STEP = 0.001
 
 
-def symbols(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Folded symbols of all texts, each led by ORDER - 1 zeros, and each text's first character (one more entry).
-
-    0 is the lead, 1-26 letters, 27 digit, 28 white space, 29-45 the common marks by their code, 46-63 other characters by code."""
-    texts = col.to_pylist()
-    pad = "\0" * (ORDER - 1)
-    joined = "".join(pad + (t or "") for t in texts)
-    c = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    table = _fold()
-    s = np.where(c < 256, table[np.minimum(c, 255)], 46 + c % 18).astype(np.int64)
-    n = np.array([len(t or "") for t in texts], np.int64)
-    start = np.cumsum(n + ORDER - 1) - n
-    at = np.arange(len(start))
-    lead = np.repeat(start - (ORDER - 1), ORDER - 1) + np.tile(np.arange(ORDER - 1), len(at))
-    s[lead] = 0
-    return s, np.stack([start, start + n], 1) if len(n) else np.zeros((0, 2), np.int64)
-
-
-_FOLD: list[np.ndarray] = []
-
-
-def _fold() -> np.ndarray:
-    if not _FOLD:
-        t = 46 + np.arange(256) % 18
-        t[:128] = 29 + np.arange(128) % 17
-        t[[9, 10, 11, 12, 13, 32]] = 28
-        t[48:58] = 27
-        t[65:91] = t[97:123] = np.arange(1, 27)
-        _FOLD.append(t)
-    return _FOLD[0]
-
-
-def _grams(s: np.ndarray) -> np.ndarray:
-    """The n-gram that ends at each place, as a number."""
-    g = np.zeros(len(s), np.int64)
-    for k in range(ORDER):
-        g[k:] += s[:len(s) - k] << (BITS * k)
-    return g
-
-
-def _inside(spans: np.ndarray, n: int) -> np.ndarray:
-    mark = np.zeros(n + 1, np.int32)
-    np.add.at(mark, spans[:, 0], 1)
-    np.add.at(mark, spans[:, 1], -1)
-    return np.cumsum(mark[:-1]) > 0
-
-
-def count(docs: DataFrame) -> DataFrame:
-    """(g, c): counts of all n-grams of the texts."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SYMBOLS ** ORDER, np.int32)
-        some = False
-        for b in slices(batches, "text"):
-            s, spans = symbols(column(b, "text"))
-            g = _grams(s)[_inside(spans, len(s))]
-            at, n = np.unique(g, return_counts=True)
-            total[at] += n.astype(np.int32)
-            some = True
-        at = np.flatnonzero(total) if some else np.zeros(0, np.int64)
-        yield pa.record_batch({"g": pa.array(at.astype(np.int64)), "c": pa.array(total[at].astype(np.int64))})
-
-    return docs.select("text").mapInArrow(run, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
-
-
-def estimate(grams: DataFrame) -> DataFrame:
-    """(k, g, a, b): for every order k, of n-gram g its discounted share a of
-    its context, and for every context (order k - 1) the weight b of the lower order."""
-    out, level = None, materialise(grams, "kn-counts")
-    for k in range(ORDER, 0, -1):
-        # counts of counts give the three discounts
-        n = [F.sum(F.when(F.col("c") == i, 1).otherwise(0)).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)]
-        d = level.agg(*n)
-        y = F.col("n1") / F.greatest(F.col("n1") + 2 * F.col("n2"), F.lit(1.0))
-        part = lambda i: F.greatest(F.lit(0.05), F.least(F.lit(float(i)), F.lit(float(i)) - (i + 1) * y * F.col(f"n{i + 1}") / F.greatest(F.col(f"n{i}"), F.lit(1.0))))
-        d = d.select(part(1).alias("d1"), part(2).alias("d2"), part(3).alias("d3")).first()
-        less = F.when(F.col("c") == 1, float(d.d1 or 0.5)).when(F.col("c") == 2, float(d.d2 or 0.5)).otherwise(float(d.d3 or 0.5))
-        less = F.least(less, F.col("c").cast("double"))
-        rows = level.withColumn("ctx", F.shiftright("g", BITS)).withColumn("less", less)
-        tot = rows.groupBy("ctx").agg(F.sum("c").cast("double").alias("total"), F.sum("less").alias("off"))
-        a = rows.join(tot, "ctx").select(F.lit(k).alias("k"), "g", ((F.col("c") - F.col("less")) / F.col("total")).alias("a"), F.lit(None).cast("double").alias("b"))
-        b = tot.select(F.lit(k).alias("k"), F.col("ctx").alias("g"), F.lit(None).cast("double").alias("a"), (F.col("off") / F.col("total")).alias("b"))
-        out = a.unionByName(b) if out is None else out.unionByName(a).unionByName(b)
-        # lower orders count the distinct characters before them
-        level = materialise(level.groupBy(F.col("g").bitwiseAND(F.lit((1 << (BITS * (k - 1))) - 1)).alias("g")).agg(F.count("*").alias("c")), f"kn-{k - 1}")
-    return materialise(out, "kn-model")
-
-
-def table(model: DataFrame) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """The model's rows by order: n-grams and their shares, contexts and their weights."""
-    got = model.toArrow()
-    k, g = got.column("k").to_numpy(), got.column("g").to_numpy()
-    a, b = got.column("a").to_numpy(zero_copy_only=False), got.column("b").to_numpy(zero_copy_only=False)
-    out = []
-    for order in range(1, ORDER + 1):
-        is_a, is_b = (k == order) & ~np.isnan(a), (k == order) & ~np.isnan(b)
-        out.append((order, g[is_a], a[is_a].astype(np.float32), g[is_b], b[is_b].astype(np.float32)))
-    return out
-
-
-_DENSE: dict[int, np.ndarray] = {}
-
-
-def dense(rows, ident: int) -> np.ndarray:
-    """Log probability of every n-gram; kept in the worker."""
-    if ident not in _DENSE:
-        _DENSE.clear()
-        p = np.full(1, 1 / SYMBOLS, np.float32)
-        for k, g, a, ctx, b in rows:
-            w = np.ones(SYMBOLS ** (k - 1), np.float32)
-            w[ctx] = b
-            low = np.tile(p, SYMBOLS) if k > 1 else np.full(SYMBOLS, p[0], np.float32)
-            p = np.repeat(w, SYMBOLS) * low
-            p[g] += a
-        _DENSE[ident] = np.log(np.maximum(p, 1e-12)).astype(np.float32)
-    return _DENSE[ident]
-
-
 def quantiles(scored: DataFrame, q: float = QUANTILE) -> DataFrame:
     """(_lang, log_limit) of every language with a trusted document that has a perplexity, from the histogram of these."""
     bins = scored.filter("trusted and log_ppl is not null").groupBy("lang", F.ceil(F.col("log_ppl") / STEP).alias("bin")).agg(F.count("*").alias("n"))

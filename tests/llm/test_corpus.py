@@ -274,12 +274,6 @@ def test_quality(spark):
     assert all(r.perplexity is None and not r.keep for r in none)
 
 
-def test_quality_model_sums_to_one(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    p = np.exp(quality.dense(quality.table(quality.estimate(quality.count(docs))), -1).reshape(-1, quality.SYMBOLS))
-    assert np.allclose(p.sum(1), 1, atol=1e-3)
-
-
 def test_langid(spark, docs):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     got = langid.identify(table, ["doc_id", "lang"]).withColumn("held", langid.held_out(F.col("doc_id")))

@@ -106,3 +106,15 @@ def test_limits_are_each_languages_own(tables):
         assert (r.threshold is None) == (r.lang not in limit)
         assert r.threshold is None or abs(math.log(r.threshold) - limit[r.lang]) < 1e-6
         assert r.keep == (r.threshold is not None and r.perplexity is not None and r.perplexity <= r.threshold)
+
+
+def test_long_text_and_clashing_columns(spark, tables):
+    """A long text among the others, and columns named as the model's own, change no other row's result."""
+    docs, labels = tables
+    want = {(r.doc_id, r.lang, r.keep, r.perplexity) for r in quality.classify(docs, labels).collect()}
+    clash = docs.selectExpr("*", "1 AS key", "'x' AS trusted", "2.0 AS log_ppl", "3 AS m", "4L AS rows", "'u' AS u", "5L AS c", "6 AS keep")
+    assert {(r.doc_id, r.lang, r.keep, r.perplexity) for r in quality.classify(clash, labels).collect()} == want
+    long = docs.unionByName(spark.createDataFrame([(5000, "the of größe 7 8 x " * 40_000, "en")], "doc_id long, text string, lang string"))
+    got = {(r.doc_id, r.lang, r.keep, r.perplexity) for r in quality.classify(long, labels).collect()}
+    (row,) = [r for r in got if r[0] == 5000]
+    assert row[3] is not None and got - {row} == want
