@@ -16,37 +16,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora.operators import quality as Q
+from tempora.operators.clean import ledger_by_source, normalise_long
 from tempora.plans import catalog, gold, reports
 from tempora.plans import dictionary as D
 from tempora.plans.series_catalogue import OUTLIER_CODES, REFERENCE_CODE, SERIES
 from tempora.session import cut_lineage, scratch_path
+from tempora.sources.arrays import INVALID, file_name, read_landing_files, render_landing_files, split_quarantine
 from tempora.sources.fixtures import render_landing
-from tempora.sources.ingest import assert_manifest, ingest, manifest
+from tempora.sources.ingest import LINEAGE_FILE, LINEAGE_TS, assert_manifest, ingest, manifest
 from tempora.sources.publish import publish
 
 
-def run(spark: SparkSession, sf_dir: str, document: bool = True) -> dict[str, DataFrame]:
+def run(spark: SparkSession, sf_dir: str, document: bool = True, files: bool = False) -> dict[str, DataFrame]:
     """Render the six raw files from the test tables into a landing folder in
-    the shared checkpoint folder, then ``run_from_landing``."""
+    the shared checkpoint folder, then ``run_from_landing``. With ``files``
+    they are array and CSV files by year, some records of which cannot be read."""
     landing = scratch_path(spark, "landing")
-    render_landing(spark, sf_dir, landing)
-    return run_from_landing(spark, landing, document=document, cutoff=gold.FIXTURE_CUTOFF)
+    (render_landing_files if files else render_landing)(spark, sf_dir, landing)
+    return run_from_landing(spark, landing, document=document, cutoff=gold.FIXTURE_CUTOFF, files=files)
+
+
+def _tables(spark: SparkSession, landing: str) -> dict[str, DataFrame]:
+    """Bronze frames of a landing folder with one folder of JSON lines or CSV for each table."""
+    frames = {}
+    for spec in SERIES:
+        json_like = spec.date_fmt == "dd/MM/yyyy"
+        frames[spec.table] = ingest(spark, f"{landing.rstrip('/')}/{spec.table}", "json" if json_like else "csv",
+                                    [spec.date_col, spec.value_col], **({} if json_like else {"header": "true"}))
+    return frames
+
+
+def _files(spark: SparkSession, landing: str, cutoff, out: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Bronze frames of a landing folder with array and CSV files by table and
+    year; publishes what could not be read, and what became of each file's records."""
+    raw = cut_lineage(read_landing_files(spark, landing), "landing-records")
+    good, bad = split_quarantine(raw)
+    out["bronze.quarentena"] = publish(spark, "bronze.quarentena", bad.withColumn("arquivo", file_name(F.col(LINEAGE_FILE))))
+    typed = normalise_long(raw, SERIES, keep=[file_name(F.col(LINEAGE_FILE)).alias("arquivo"), F.col(INVALID)])
+    out["silver.controle_por_arquivo"] = publish(spark, "silver.controle_por_arquivo", ledger_by_source(
+        typed, ["indicador"], ["arquivo"], cutoff=cutoff, unreadable=F.col(INVALID).isNotNull(), materialise=cut_lineage))
+    return {s.table: good.filter(F.col("tabela") == s.table).select(
+        F.col("data_txt").alias(s.date_col), F.col("valor_txt").alias(s.value_col), LINEAGE_FILE, LINEAGE_TS) for s in SERIES}
 
 
 def run_from_landing(spark: SparkSession, landing: str, document: bool = True,
-                     cutoff=gold.STUDY_CUTOFF) -> dict[str, DataFrame]:
+                     cutoff=gold.STUDY_CUTOFF, files: bool = False) -> dict[str, DataFrame]:
     """Landing manifest -> Bronze (six raw tables, all text, with lineage) ->
-    Silver -> Gold -> quality -> reports."""
-    m = manifest(spark, landing, [s.table for s in SERIES])
+    Silver -> Gold -> quality -> reports. ``files``: the landing folder holds
+    ``tabela=.../ano=...`` files (JSON arrays, CSV); records that cannot be
+    read go to ``bronze.quarentena`` and are counted by file."""
+    m = manifest(spark, landing, [f"tabela={s.table}" if files else s.table for s in SERIES])
     assert_manifest(m)
     for schema, comment in D.SCHEMA_COMMENTS.items():
         catalog.create_schema(spark, schema, comment, scratch_path(spark, f"schema-{schema}"))
     out: dict[str, DataFrame] = {"bronze.manifest": m}
-    for spec in SERIES:
-        json_like = spec.date_fmt == "dd/MM/yyyy"
-        raw = ingest(spark, f"{landing.rstrip('/')}/{spec.table}", "json" if json_like else "csv",
-                     [spec.date_col, spec.value_col], **({} if json_like else {"header": "true"}))
-        out[f"bronze.{spec.table}"] = publish(spark, f"bronze.{spec.table}", raw)
+    raw = _files(spark, landing, cutoff, out) if files else _tables(spark, landing)
+    for table, frame in raw.items():
+        out[f"bronze.{table}"] = publish(spark, f"bronze.{table}", frame)
     frames = {s.table: out[f"bronze.{s.table}"] for s in SERIES}
     clean, ledger = gold.silver(frames, cutoff=cutoff, materialise=cut_lineage)
     s = out["silver.serie_diaria"] = publish(spark, "silver.serie_diaria", clean)

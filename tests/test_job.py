@@ -19,3 +19,16 @@ def test_run_publishes_layers(spark):
     b = spark.table("bronze.bcb_ptax").first()
     assert "/bcb_ptax/" in b._arquivo_origem and b._data_ingestao is not None
     assert all(r.presente for r in out["bronze.manifest"].collect())
+
+
+def test_run_from_array_files(spark):
+    """The same Silver from array and CSV files by year; what cannot be read is kept aside and counted."""
+    plain = {tuple(r) for r in job.run(spark, SF_SMALL, document=False)["silver.serie_diaria"].select("data", "indicador", "valor").collect()}
+    out = job.run(spark, SF_SMALL, document=False, files=True)
+    assert {tuple(r) for r in out["silver.serie_diaria"].select("data", "indicador", "valor").collect()} == plain
+    led = spark.table("silver.controle_por_arquivo").collect()
+    assert all(r.linhas_bronze == r.ilegiveis + r.data_invalida + r.fora_periodo + r.sem_valor + r.valor_invalido
+               + r.duplicadas + r.linhas_silver for r in led)
+    assert sum(r.ilegiveis for r in led) == spark.table("bronze.quarentena").count() > 0
+    assert sum(r.linhas_silver for r in led) == len(plain)
+    assert spark.table("bronze.quarentena").select("arquivo").distinct().count() > 6
