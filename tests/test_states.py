@@ -88,3 +88,11 @@ def test_a_table_replaced_from_itself_and_a_changed_schema(spark, tmp_path):
     publish(spark, name, spark.createDataFrame([("x", dt.date(2020, 1, 1))], "b string, d date"), root)
     assert [tuple(r) for r in spark.table(name).collect()] == [("x", dt.date(2020, 1, 1))]
     spark.sql(f"DROP TABLE {name}")
+
+
+@pytest.mark.parametrize("rule", ["id > 10", "1 = 0"])
+def test_an_empty_table_is_published(spark, tmp_path, rule):
+    name = "default.versioned3"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    assert publish(spark, name, spark.range(5).filter(rule), str(tmp_path / "t")).count() == 0
+    spark.sql(f"DROP TABLE {name}")
