@@ -45,9 +45,10 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
                        .select(F.col("doc_id").alias("_id")), "kn-trusted")
     n = good.count()
     docs = docs.select("doc_id", "lang", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
-    trusted = attach(docs.select("doc_id", "key", "text"), good, lambda d, g: d.doc_id == g["_id"], "left_semi", rows=n)
-    ppl = perplexities(docs, trusted)
-    rows = attach(docs.select("doc_id", "lang", "key"), good.withColumn("trusted", F.lit(True)), lambda d, g: d.doc_id == g["_id"], "left", rows=n)
+    good = good.withColumn("trusted", F.lit(True))
+    flagged = attach(docs.select("doc_id", "key", "text"), good, lambda d, g: d.doc_id == g["_id"], "left", rows=n)
+    ppl = perplexities(docs, flagged.select("key", "text", F.coalesce("trusted", F.lit(False)).alias("trains")))
+    rows = attach(docs.select("doc_id", "lang", "key"), good, lambda d, g: d.doc_id == g["_id"], "left", rows=n)
     scored = materialise(lookup(rows, ppl, ["key"]).select("doc_id", "lang", F.coalesce("trusted", F.lit(False)).alias("trusted"), "log_ppl"), "kn-scores")
     log_limit = F.col("log_limit")
     return (scored.join(quantiles(scored), F.col("lang").eqNullSafe(F.col("_lang")), "left")

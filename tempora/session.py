@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -98,6 +100,19 @@ def clear_layers(spark: SparkSession, since: int = 0) -> int:
     return done
 
 
+@contextmanager
+def files_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within it, Spark drops the shuffle files of each finished job, so that
+    those of a loop's rounds are not on disk at the same time."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
+
+
 # Runtime SQL settings for a large cluster (100 TB inputs): many initial
 # shuffle partitions that AQE coalesces to ~256 MB each, skew-join splitting,
 # scan splits sized to executor memory. Broadcasts stay behind the default
