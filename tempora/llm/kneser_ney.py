@@ -36,7 +36,7 @@ from tempora.session import clear_layers, files_dropped, layer_mark
 #: rows of one key, and parts of all rows, beyond which the key is salted
 HOT_ROWS, HOT_PARTS = 20_000, 10_000
 #: words of the documents in a shard; words with a short code (broadcast); rounds of scoring
-SHARD_WORDS, SHORT_CODES, ROUNDS = 2_000_000, 1_000_000, 5
+SHARD_WORDS, SHORT_CODES, ROUNDS = 2_000_000, 1_000_000, 4
 #: text bytes packed at once
 SCAN_BYTES = 4 << 20
 MARK = ~ALNUM & ~SPACE
@@ -455,6 +455,8 @@ def perplexities(docs: DataFrame, flagged: DataFrame) -> DataFrame:
         first = np.cumsum(parts) - parts
         dests = F.broadcast(spark.createDataFrame([(s, int(first[s]), int(parts[s])) for s in range(made.shards)], "s int, first int, parts int"))
         base = base.join(dests, "s").select("kind", F.explode(F.sequence("first", F.col("first") + F.col("parts") - 1)).alias("s"), "m", "i", "n", "block", F.lit(None).cast("binary").alias("texts"))
+        base = materialise(base, "kn-model")
+        clear_layers(spark, mark, keep=1)  # all else has been read
         out = []
         for k in range(ROUNDS):
             mine = docs.filter(F.pmod(F.shiftright("key", 1), F.lit(ROUNDS)) == k)

@@ -89,14 +89,18 @@ def layer_mark() -> int:
     return len(_LAYERS)
 
 
-def clear_layers(spark: SparkSession, since: int = 0) -> int:
-    """Delete the layers written after a mark, once nothing reads them any
-    more (a batch job's results are published by then); returns how many."""
+def clear_layers(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
+    """Delete the layers written after a mark but the last ``keep``, once
+    nothing reads them any more (a batch job's results are published by then);
+    returns how many."""
     conf = spark._jsparkSession.sessionState().newHadoopConf()
     done = 0
+    kept = _LAYERS[len(_LAYERS) - keep:]
+    del _LAYERS[len(_LAYERS) - keep:]
     while len(_LAYERS) > since:
         path = spark._jvm.org.apache.hadoop.fs.Path(_LAYERS.pop())
         done += bool(path.getFileSystem(conf).delete(path, True))
+    _LAYERS.extend(kept)
     return done
 
 
