@@ -47,8 +47,8 @@ from tempora.llm.text import (BROADCAST_ROWS, BYTE_CODE, U64, RollingHash, attac
 LENGTH = 200
 GRAM = 40
 PERIOD = 32
-#: Bytes of a text whose windows are designated at once, and bits for a place in them.
-PIECE, PLACE_BITS = 8 << 20, 24
+#: Bytes whose windows are designated at once (some 100 bytes of memory each), and bits for a place in them.
+PIECE, PLACE_BITS = 1 << 18, 24
 #: Runs that one sorted bucket holds on average.
 RUNS_PER_BUCKET = 5_000
 #: Opened runs of one anchor beyond which its windows are dealt one by one.
@@ -66,12 +66,23 @@ def _least(key: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(m[:len(key) - width + 1], m[width - w:]) if width > w else m
 
 
+def pieces(offs: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Texts as pieces of at most ``PIECE`` bytes: several whole ones, or a part
+    of a longer one, cut at places of its own, so that equal texts are cut alike."""
+    i = 0
+    while i < len(offs) - 1:
+        j = max(i + 1, int(np.searchsorted(offs, offs[i] + PIECE, side="right")) - 1)
+        for lo in range(int(offs[i]), int(offs[j]), PIECE):
+            yield lo, min(lo + PIECE, int(offs[j]))
+        i = j
+
+
 def runs(buf: np.ndarray, offs: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Of all texts: the runs of windows with one anchor, and each run's text."""
     width = length - GRAM + 1
     out, owner = [], []
-    for lo in range(0, max(1, len(buf)), PIECE):
-        piece = buf[lo:lo + PIECE + length - 1]
+    for lo, hi in pieces(offs):
+        piece = buf[lo:hi + length - 1]
         if len(piece) < length:
             continue
         h = RollingHash(piece)
@@ -82,7 +93,7 @@ def runs(buf: np.ndarray, offs: np.ndarray, length: int) -> tuple[np.ndarray, np
         anchor = (low & U64((1 << PLACE_BITS) - 1)).astype(np.int64)
         start = np.arange(len(anchor)) + lo
         text = np.searchsorted(offs, start, side="right") - 1
-        ok = (start + length <= offs[text + 1]) & (start < lo + PIECE)
+        ok = (start + length <= offs[text + 1]) & (start < hi)
         start, text, anchor = start[ok] - lo, text[ok], anchor[ok]
         if not len(start):
             continue

@@ -47,8 +47,9 @@ BYTE_CODE_LOWER = BYTE_CODE[LOWER]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POW.get("p", ())) < n:
-        size = max(n, SLICE_BYTES + 4096)
+    have = len(_POW.get("p", ()))
+    if have < n:
+        size = max(n, 2 * have, 1 << 16)
         for name, base in (("p", _B), ("q", _BINV)):
             a = np.full(size, base, U64)
             a[0] = 1
