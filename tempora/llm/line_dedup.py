@@ -37,6 +37,8 @@ from tempora.llm.text import (BYTE_CODE_LOWER, LOWER, U64, WORD, RollingHash, at
                               slices, spread, text_bytes, word_spans)
 
 NEAR_WORDS = 8
+#: Text bytes handled at once, words whose variants are made at once, and bytes of variants sent at once.
+SCAN_BYTES, SCAN_WORDS, SENT_BYTES = 1 << 18, 50_000, 2 << 20
 _P = U64(0x9E3779B97F4A7C15)
 LOWER_BYTES = bytes(LOWER)
 
@@ -84,13 +86,13 @@ class _Sums:
 
 def _half(n):
     """Words of the half that two lines of n and n or n + 1 words share."""
-    return (n - 1) // 2
+    return np.maximum(n - 1, 0) // 2
 
 
 def describe(docs: DataFrame) -> DataFrame:
     """Written once: a row per line with words: doc_id, key, line, n, full and its halves' hashes (null for short lines)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SCAN_BYTES):
             owner, number, first, words = lines(column(b, "text"))
             i, j = first[:-1], first[1:]
             ok = j > i
@@ -120,7 +122,7 @@ def variants(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     (k, kind, gap, full, doc_id, key, line) with kind 0 for the line itself, 1 for a line
     without a word (the one at ``gap``), 2 for the same with the length and the gap in the key."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SCAN_BYTES):
             owner, number, first, words = lines(column(b, "text"))
             want = column(b, "lines")
             # the place of each wanted line among all
@@ -128,21 +130,26 @@ def variants(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             count = np.diff(want.offsets.to_numpy())
             text = np.repeat(np.arange(b.num_rows), count)
             at = start[text] + want.flatten().to_numpy()
-            i, j = first[at], first[at + 1]
-            n = j - i
-            gaps = np.where(n >= NEAR_WORDS, n, 0)  # a shorter line is only compared as a whole
-            gap, run_ = spread(i, gaps), np.repeat(np.arange(len(n)), gaps)
             s = _Sums(words, _P)
-            whole, less = s.of(i, j), s.without(i[run_], j[run_], gap)
-            place = gap - i[run_]
-            own = np.concatenate((np.arange(len(n)), run_, run_))
-            keys = variant_key(np.concatenate((whole, less, mix(less + mix(place.astype(U64) * U64(1 << 32) + n[run_].astype(U64))))))
-            kinds = np.repeat(np.arange(3), [len(n), len(gap), len(gap)])
-            gaps = np.concatenate((np.full(len(n), -1), place, place))
-            row = pa.array(text[own])
-            yield pa.record_batch({"k": pa.array(signed(keys)), "kind": pa.array(kinds.astype(np.int32)), "gap": pa.array(gaps.astype(np.int32)),
-                                   "full": pa.array(signed(whole[own])), "doc_id": column(b, "doc_id").cast(pa.int64()).take(row),
-                                   "key": column(b, "key").take(row), "line": pa.array(number[at][own])})
+            part = (np.cumsum(first[at + 1] - first[at]) - 1) // SCAN_WORDS
+            for mine in np.split(np.arange(len(at)), np.flatnonzero(np.diff(part)) + 1):
+                yield made(b, s, text[mine], at[mine], first, number)
+
+    def made(b: pa.RecordBatch, s: _Sums, text: np.ndarray, at: np.ndarray, first: np.ndarray, number: np.ndarray) -> pa.RecordBatch:
+        i, j = first[at], first[at + 1]
+        n = j - i
+        gaps = np.where(n >= NEAR_WORDS, n, 0)  # a shorter line is only compared as a whole
+        gap, run_ = spread(i, gaps), np.repeat(np.arange(len(n)), gaps)
+        whole, less = s.of(i, j), s.without(i[run_], j[run_], gap)
+        place = gap - i[run_]
+        own = np.concatenate((np.arange(len(n)), run_, run_))
+        keys = variant_key(np.concatenate((whole, less, mix(less + mix(place.astype(U64) * U64(1 << 32) + n[run_].astype(U64))))))
+        kinds = np.repeat(np.arange(3), [len(n), len(gap), len(gap)])
+        gaps = np.concatenate((np.full(len(n), -1), place, place))
+        row = pa.array(text[own])
+        return pa.record_batch({"k": pa.array(signed(keys)), "kind": pa.array(kinds.astype(np.int32)), "gap": pa.array(gaps.astype(np.int32)),
+                                "full": pa.array(signed(whole[own])), "doc_id": column(b, "doc_id").cast(pa.int64()).take(row),
+                                "key": column(b, "key").take(row), "line": pa.array(number[at][own])})
 
     lists = wanted.groupBy("doc_id", "key").agg(F.collect_list("line").alias("lines"))
     lists = materialise(lists.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "lines"), "line-wanted")
@@ -157,31 +164,48 @@ def variant_key(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def reread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of the wanted variants (line, kind, gap, full) of each text, ``SENT_BYTES`` at a time."""
+    for b in slices(batches, "text", SCAN_BYTES):
+        buf, offs = text_bytes(column(b, "text"))
+        wanted = column(b, "wanted")
+        flat, cut = wanted.flatten(), wanted.offsets.to_numpy() - wanted.offsets[0].as_py()
+        line, kind, gap, full = (flat.field(c).to_numpy() for c in ("line", "kind", "gap", "full"))
+
+        def sent(made: list[bytes], own: list[int], at: list[int]) -> pa.RecordBatch:
+            row = pa.array(own, pa.int64())
+            return pa.record_batch({"variant": pa.array(made, pa.binary()), "kind": pa.array(kind[at].astype(np.int32)), "full": pa.array(full[at]),
+                                    "doc_id": column(b, "doc_id").take(row), "key": column(b, "key").take(row), "line": pa.array(line[at])})
+
+        made, own, at, size = [], [], [], 0
+        for i in range(b.num_rows):
+            parts, last, words = buf[offs[i]:offs[i + 1]].tobytes().split(b"\n"), -1, []
+            for k in (cut[i] + np.argsort(line[cut[i]:cut[i + 1]], kind="stable")).tolist():  # a line's words are split once
+                if line[k] != last:
+                    last = line[k]
+                    words = parts[last].translate(LOWER_BYTES).split()  # white space as in ``WORD``
+                g = gap[k]
+                variant = b" ".join(words if g < 0 else words[:g] + words[g + 1:])
+                made.append(variant + b"\n%d" % g if kind[k] == 2 else variant)
+                own.append(i)
+                at.append(k)
+                size += len(variant) + 100
+                if size > SENT_BYTES:
+                    yield sent(made, own, at)
+                    made, own, at, size = [], [], [], 0
+        if made:
+            yield sent(made, own, at)
+
+
 def exact_variants(docs: DataFrame, asked: DataFrame) -> DataFrame:
     """(variant, kind, full, doc_id, key, line): the words of the asked variants
     (doc_id, key, line, kind, gap, full), with the gap where kind is 2."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
-            out = {c: [] for c in ("variant", "kind", "full", "doc_id", "key", "line")}
-            for text, doc_id, key, wanted in zip(*(column(b, c).to_pylist() for c in ("text", "doc_id", "key", "wanted"))):
-                parts, words = text.encode("utf-8", "surrogatepass").split(b"\n"), {}
-                for w in wanted:
-                    at = w["line"]
-                    if at not in words:
-                        words[at] = parts[at].translate(LOWER_BYTES).split()  # white space as in ``WORD``
-                    mine, gap = words[at], w["gap"]
-                    variant = b" ".join(mine if gap < 0 else mine[:gap] + mine[gap + 1:])
-                    for c, x in zip(out, (variant + b"\n%d" % gap if w["kind"] == 2 else variant, w["kind"], w["full"], doc_id, key, at)):
-                        out[c].append(x)
-            kinds = {"variant": pa.binary(), "kind": pa.int32()}
-            yield pa.record_batch({c: pa.array(x, kinds.get(c, pa.int64())) for c, x in out.items()})
-
     lists = asked.groupBy("doc_id", "key").agg(F.collect_list(F.struct("line", "kind", "gap", "full")).alias("wanted"))
     lists = materialise(lists.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "wanted"), "line-asked")
     rows = lists.agg(F.sum(F.size("wanted"))).first()[0] or 0
     texts = attach(docs, lists, lambda d, w: (d.key == w["_key"]) & d.doc_id.eqNullSafe(w["_id"]), rows=rows)
     return texts.select(F.col("doc_id").cast("long").alias("doc_id"), "key", "wanted", "text").mapInArrow(
-        run, "variant binary, kind int, full long, doc_id long, key long, line long")
+        reread, "variant binary, kind int, full long, doc_id long, key long, line long")
 
 
 def near_lines(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -223,7 +247,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     texts = attach(docs, gone, lambda d, g: (d.key == g["_key"]) & d.doc_id.eqNullSafe(g["_id"]), "left", rows=rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, "text", SCAN_BYTES):
             out = {"n_lines": [], "n_dropped": [], "kept_sha256": [], "kept": []}
             for text, lost in zip(column(b, "text").to_pylist(), column(b, "lines").to_pylist()):
                 parts = text.split("\n") if text is not None else []
