@@ -37,8 +37,8 @@ from tempora.session import clear_layers, files_dropped, layer_mark
 HOT_ROWS, HOT_PARTS = 20_000, 10_000
 #: words of the documents in a shard; words with a short code (broadcast); rounds of scoring
 SHARD_WORDS, SHORT_CODES, ROUNDS = 2_000_000, 1_000_000, 4
-#: text bytes packed at once
-SCAN_BYTES = 4 << 20
+#: text bytes packed at once, and hashed at once
+SCAN_BYTES, HASH_BYTES = 2 << 20, 1 << 18
 MARK = ~ALNUM & ~SPACE
 #: a code from here on is a word's hash
 HASHED = U64(1 << 63)
@@ -49,8 +49,19 @@ ROWS_DDL = "kind string, s int, m int, i long, n long, block binary"
 
 
 def words(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Text and hash of every word."""
+    """Text and hash of every word; what a byte takes is held for ``HASH_BYTES`` (or one longer text) at a time."""
     buf, offs = text_bytes(col)
+    text, out, i = [np.zeros(0, np.int64)], [np.zeros(0, U64)], 0
+    while i < len(offs) - 1:
+        j = max(i + 1, int(np.searchsorted(offs, offs[i] + HASH_BYTES, side="right")) - 1)
+        of, w = _words(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
+        text.append(of + i)
+        out.append(w)
+        i = j
+    return np.concatenate(text), np.concatenate(out)
+
+
+def _words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     start, end, _ = word_spans(buf, offs, ALNUM)
     marks = np.flatnonzero(MARK[buf])
     start, end = np.concatenate((start, marks)), np.concatenate((end, marks + 1))
@@ -304,8 +315,8 @@ class Model:
         self.total = [of(1, m, -1) for m in (0, 1)]
         less = [float(self.off[m, 1] @ [0, of(1, m, 1), of(1, m, 2), of(1, m, 0) - of(1, m, 1) - of(1, m, 2)]) for m in (0, 1)]
         self.low = [x / max(t, 1.0) / (of(1, m, 0) + 1) for m, (x, t) in enumerate(zip(less, self.total))]
-        self.words = np.zeros((2, codes + 1))
         m, w, c = unpacked(known, 3)
+        self.words = np.zeros((2, codes + 1), np.uint32 if c.max(initial=0) < 1 << 32 else U64)  # sent to every executor
         self.words[m.astype(np.int64), w.astype(np.int64)] = c
 
     def less(self, m: int, order: int, c: np.ndarray) -> np.ndarray:
@@ -316,17 +327,19 @@ def asked(docs: DataFrame, plan, parts: np.ndarray) -> DataFrame:
     """The n-grams of the texts by part of their shard (``s``), and the keys of the block's texts."""
     first = np.cumsum(parts) - parts
 
+    def shared(p: Plan, b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[list[np.ndarray]]]:
+        text, w = words(column(b, "text"))
+        key, of = np.unique(column(b, "key").to_numpy().view(U64), return_inverse=True)
+        s = p.shard(before(w, text, 2), before(w, text, 1))
+        to = first[s] + (mix(key)[of[text]] % parts[s].astype(U64)).astype(np.int64)
+        w = p.encode(w)
+        v, u = before(w, text, 1), before(w, text, 2)
+        return key, *dealt(to, near(v, u), v, u, w, of[text].astype(U64))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = plan.value
         for b in slices(batches, "text", SCAN_BYTES):
-            text, w = words(column(b, "text"))
-            c = p.encode(w)
-            key, of = np.unique(column(b, "key").to_numpy().view(U64), return_inverse=True)
-            doc = of[text].astype(U64)
-            s = p.shard(before(w, text, 2), before(w, text, 1))
-            to = first[s] + (mix(key)[of[text]] % parts[s].astype(U64)).astype(np.int64)
-            v, u = before(c, text, 1), before(c, text, 2)
-            at, grams = dealt(to, near(v, u), v, u, c, doc)
+            key, at, grams = shared(p, b)
             out = {"s": pa.array(at.astype(np.int32)), "block": [], "texts": []}
             for x in grams:
                 there = np.bincount(x[3].astype(np.int64), minlength=len(key)) > 0
@@ -454,9 +467,9 @@ def perplexities(docs: DataFrame, flagged: DataFrame) -> DataFrame:
         parts = np.maximum(1, -(-2 * size // (3 * SHARD_WORDS)))
         first = np.cumsum(parts) - parts
         dests = F.broadcast(spark.createDataFrame([(s, int(first[s]), int(parts[s])) for s in range(made.shards)], "s int, first int, parts int"))
-        base = base.join(dests, "s").select("kind", F.explode(F.sequence("first", F.col("first") + F.col("parts") - 1)).alias("s"), "m", "i", "n", "block", F.lit(None).cast("binary").alias("texts"))
-        base = materialise(base, "kn-model")
+        base = materialise(base, "kn-model")  # a shard's counts once, however many parts it has
         clear_layers(spark, mark, keep=1)  # all else has been read
+        base = base.join(dests, "s").select("kind", F.explode(F.sequence("first", F.col("first") + F.col("parts") - 1)).alias("s"), "m", "i", "n", "block", F.lit(None).cast("binary").alias("texts"))
         out = []
         for k in range(ROUNDS):
             mine = docs.filter(F.pmod(F.shiftright("key", 1), F.lit(ROUNDS)) == k)

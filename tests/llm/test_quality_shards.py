@@ -1,13 +1,17 @@
 """The shards, parts and rounds of op8_quality's word model, and the disk they take."""
 import math
 import threading
+import tracemalloc
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from test_quality_words import _want, tables  # noqa: F401
 
 from tempora.llm import kneser_ney, quality
+from tempora.llm.text import text_bytes
 from tempora.session import ensure_checkpoint_dir
 
 SF = "/root/testdata/sf0.01"
@@ -57,3 +61,34 @@ def test_disk(spark):
         done.set()
         t.join()
     assert 0 < most[0] < 12 * n, most[0] / n
+
+
+def test_model_is_written_once(tables, monkeypatch):  # noqa: F811
+    """The counts of a shard are one copy on disk, though several parts read them."""
+    monkeypatch.setattr(kneser_ney, "SHARD_WORDS", 60)
+    kept, parts = [], []
+    write, ask = kneser_ney.materialise, kneser_ney.asked
+    monkeypatch.setattr(kneser_ney, "materialise", lambda df, name: [kept.append((out := write(df, name), out.filter("kind = 'model'").groupBy("s").count().collect())) if name == "kn-model" else (out := write(df, name))] and out)
+    monkeypatch.setattr(kneser_ney, "asked", lambda docs, plan, n: parts.append(n) or ask(docs, plan, n))
+    quality.classify(*tables).count()
+    (_, model), = kept
+    assert max(parts[0]) > 1
+    assert model and {r["count"] for r in model} == {1} and max(r["s"] for r in model) < len(parts[0])
+
+
+def test_words_in_parts():
+    """Texts are hashed part by part, with the same words and hashes, in memory that the words take."""
+    r = np.random.default_rng(1)
+    say = lambda n: "".join(r.choice(list("abé ,.9\n"), n))
+    texts = ["", None, *(say(int(n)) for n in r.integers(0, 3000, 60)), "", say(300_000), "x", None]
+    col = pa.array(texts)
+    text, w = kneser_ney.words(col)
+    one = [kneser_ney._words(*text_bytes(pa.array([t]))) for t in texts]
+    assert (text == np.repeat(np.arange(len(texts)), [len(x) for _, x in one])).all()
+    assert (w == np.concatenate([x for _, x in one])).all()
+    long = pa.array(["abcdefghi jklmnopqr " * 50] * 4000)  # 4 MB
+    tracemalloc.start()
+    kneser_ney.words(long)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 << 20, peak
